@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -19,7 +18,7 @@ from tessera.fixed_values import (
 )
 from tessera.functions.bytes import byte_order, byte_token_count, byte_tokens
 from tessera.functions.words import split_pieces
-from tessera.operators.vocabulary import Vocabulary
+from tessera.operators.vocabulary import Vocabulary, merge_symbols
 
 # Entries a worker keeps in its word cache before it starts over.
 _CACHE_LIMIT = 1_000_000
@@ -27,31 +26,6 @@ _CACHE_LIMIT = 1_000_000
 _LITERAL_LIMIT = 512
 
 
-def merge_symbols(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merge one word's symbols, lowest rank first, leftmost first within a rank."""
-    size = len(ids)
-    symbol = list(ids)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    queue = [(ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
-    heapq.heapify(queue)
-    while queue:
-        _, i, pair = heapq.heappop(queue)
-        j = after[i]
-        if j >= size or (symbol[i], symbol[j]) != pair:
-            continue
-        symbol[i], symbol[j] = ranks[pair][1], -1
-        after[i] = after[j]
-        if after[j] < size:
-            before[after[j]] = i
-        for left in (before[i], i):
-            right = after[left] if left >= 0 else size
-            if right < size and (symbol[left], symbol[right]) in ranks:
-                fresh = (symbol[left], symbol[right])
-                heapq.heappush(queue, (ranks[fresh][0], left, fresh))
-    return [s for s in symbol if s >= 0]
-
-
 def _spread(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Indexes of consecutive slices ``starts[i] : starts[i] + lengths[i]``, back to back."""
     ends = np.cumsum(lengths)
@@ -65,12 +39,14 @@ def _row_bounds(lists: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def _word_encoder(spark: SparkSession, vocab: Vocabulary) -> Callable[[Column], Column]:
-    """An Arrow function from word arrays to id arrays; every distinct word is merged once."""
-    shared = spark.sparkContext.broadcast({(a, b): (r, new) for r, (a, b, new) in enumerate(vocab.merges)})
+def _words_to_ids(spark: SparkSession, vocab: Vocabulary) -> Callable[[pa.Array], pa.Array]:
+    """Word lists to id lists, for use inside tasks; every distinct word is merged once."""
+    shared = spark.sparkContext.broadcast(
+        {(a, b): (rank, new) for rank, (a, b, new) in enumerate(vocab.merges)}
+    )
     alphabet = {byte: i + FIRST_BYTE_ID for i, byte in enumerate(byte_order())}
-    cache: dict[str, list[int]] = {}
     specials = {UNK_TOKEN: [UNK_ID], PAD_TOKEN: [PAD_ID]}
+    cache: dict[str, list[int]] = {}
 
     def ids_of(word: str) -> list[int]:
         found = cache.get(word)
@@ -83,8 +59,7 @@ def _word_encoder(spark: SparkSession, vocab: Vocabulary) -> Callable[[Column],
             cache[word] = found
         return found
 
-    @F.arrow_udf("array<int>")
-    def encode(words: pa.Array) -> pa.Array:
+    def convert(words: pa.Array) -> pa.Array:
         flat = words.flatten().dictionary_encode()
         pieces = [ids_of(word) for word in flat.dictionary.to_pylist()]
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
@@ -97,20 +72,36 @@ def _word_encoder(spark: SparkSession, vocab: Vocabulary) -> Callable[[Column],
         mask = words.is_null() if words.null_count else None
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=mask)
 
-    return encode
+    return convert
 
 
 def encode_ids(text: Column, vocab: Vocabulary, spark: SparkSession) -> Column:
     """Token ids of a text. Without merges this is one native expression."""
     if not vocab.merges:
         return byte_tokens(text)
-    return _word_encoder(spark, vocab)(split_pieces(text))
+    convert = _words_to_ids(spark, vocab)
+
+    @F.arrow_udf("array<int>")
+    def encode(words: pa.Array) -> pa.Array:
+        return convert(words)
+
+    return encode(split_pieces(text))
 
 
-def token_count(text: Column, vocab: Vocabulary, spark: SparkSession) -> Column:
+def token_counts(texts: Column, vocab: Vocabulary, spark: SparkSession) -> Column:
+    """Token counts of an array of texts."""
     if not vocab.merges:
-        return byte_token_count(text)
-    return F.size(encode_ids(text, vocab, spark))
+        return F.transform(texts, byte_token_count)
+    convert = _words_to_ids(spark, vocab)
+
+    @F.arrow_udf("array<int>")
+    def count(texts_of_rows: pa.Array) -> pa.Array:
+        sizes = convert(texts_of_rows.flatten()).value_lengths().cast(pa.int32())
+        mask = texts_of_rows.is_null() if texts_of_rows.null_count else None
+        offsets = pa.array(_row_bounds(texts_of_rows).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, sizes, mask=mask)
+
+    return count(F.transform(texts, split_pieces))
 
 
 def _bytes_decoder(spark: SparkSession, table: list[bytes]) -> Callable[[Column], Column]:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +18,7 @@ from tessera.functions.words import split_words
 from tessera.session import checkpointed
 
 # Pairs looked at per round; a round merges as many of them as is provably in order.
-CANDIDATES = 256
+CANDIDATES = 512
 # Rounds between two checkpoints of the word table.
 CHECKPOINT_ROUNDS = 8
 
@@ -57,14 +60,12 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_symbols(words: DataFrame) -> DataFrame:
-    """(sym, n): each distinct word as its symbol ids, every id preceded by one space."""
-    ids = byte_tokens(F.col("word")).cast("array<string>")
-    return words.select(F.concat(F.lit(" "), F.array_join(ids, " ")).alias("sym"), "n")
+    """(ids, n): each distinct word as its byte symbols."""
+    return words.select(byte_tokens(F.col("word")).alias("ids"), "n")
 
 
-def _neighbours(sym: Column, width: int) -> Column:
+def _neighbours(ids: Column, width: int) -> Column:
     """Runs of ``width`` adjacent symbols of one word."""
-    ids = F.split(F.ltrim(sym), " ").cast("array<int>")
     count = F.greatest(F.size(ids) - (width - 1), F.lit(0))
     return F.arrays_zip(
         *(F.slice(ids, F.lit(i + 1), count).alias(name) for i, name in enumerate("abc"[:width]))
@@ -74,68 +75,174 @@ def _neighbours(sym: Column, width: int) -> Column:
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """(left_id, right_id, n): adjacent symbols, weighted by word count."""
     return (
-        symbols.select(F.explode(_neighbours(F.col("sym"), 2)).alias("p"), "n")
+        symbols.select(F.explode(_neighbours(F.col("ids"), 2)).alias("p"), "n")
         .groupBy(F.col("p.a").alias("left_id"), F.col("p.b").alias("right_id"))
         .agg(F.sum("n").alias("n"))
     )
 
 
-def _context_bounds(symbols: DataFrame, pairs: Sequence[tuple[int, int]]) -> dict:
-    """For each pair, the most frequent left and right neighbour.
+def _pair_key(left: Column, right: Column) -> Column:
+    return F.shiftleft(left.cast("bigint"), 32).bitwiseOR(right.cast("bigint"))
 
-    A pair that a merge creates occurs at most as often as the three symbols it comes from.
-    Returns ``{pair: (left count, smallest such left neighbour, right count)}``; one row per
-    candidate reaches the driver.
+
+@dataclass
+class _Context:
+    """What surrounds the candidate pairs, from the counts of three symbols in a row.
+
+    ``left`` and ``right``: how often the most frequent neighbour stands beside a pair, which
+    bounds every pair that merging it can create (for the left side with the smallest such
+    neighbour). ``overlaps``: for a pair (a, b), the candidates (b, c) or (x, a) that share a
+    symbol with it somewhere, and how often.
     """
-    wanted = [f"{a} {b}" for a, b in pairs]
-    first, second = F.concat_ws(" ", "t.a", "t.b"), F.concat_ws(" ", "t.b", "t.c")
+
+    left: dict
+    right: dict
+    overlaps: dict
+
+
+def _context(symbols: DataFrame, pairs: Sequence[tuple[int, int]]) -> _Context:
+    """At most two rows per candidate and one per overlapping pair of candidates reach the
+    driver."""
+    keys = [(a << 32) | b for a, b in pairs]
+    a, b, c = F.col("t.a"), F.col("t.b"), F.col("t.c")
     triples = (
-        symbols.select(F.explode(_neighbours(F.col("sym"), 3)).alias("t"), "n")
-        .where(first.isin(wanted) | second.isin(wanted))
-        .groupBy("t")
+        symbols.where(F.size("ids") > 2)
+        .select(F.explode(_neighbours(F.col("ids"), 3)).alias("t"), "n")
+        .select(
+            "t", "n", _pair_key(a, b).isin(keys).alias("first"), _pair_key(b, c).isin(keys).alias("second")
+        )
+        .where(F.col("first") | F.col("second"))
+        .groupBy(a.alias("a"), b.alias("b"), c.alias("c"), "first", "second")
         .agg(F.sum("n").alias("n"))
     )
-    sides = triples.select(
-        F.explode(
-            F.array(
-                F.struct(first.alias("pair"), F.lit("right").alias("side"), F.lit(0).alias("x")),
-                F.struct(second.alias("pair"), F.lit("left").alias("side"), F.col("t.a").alias("x")),
-            )
-        ).alias("s"),
-        "n",
-    ).where(F.col("s.pair").isin(wanted))
+
+    def fact(kind: str, left: str, right: str, x: Column, holds: Column) -> Column:
+        row = F.struct(
+            F.lit(kind).alias("kind"), F.col(left).alias("a"), F.col(right).alias("b"), x.alias("x")
+        )
+        return F.when(holds, row)
+
+    first, second, none = F.col("first"), F.col("second"), F.lit(-1)
+    facts = F.array_compact(
+        F.array(
+            fact("right", "a", "b", none, first),
+            fact("left", "b", "c", none, second),
+            fact("overlap", "a", "b", F.col("c"), first & second),
+        )
+    )
     rows = (
-        sides.groupBy("s.pair", "s.side")
-        .agg(F.max(F.struct("n", (-F.col("s.x")).alias("x"))).alias("top"))
+        triples.select(F.explode(facts).alias("f"), "n", (-F.col("a")).alias("negative"))
+        .groupBy("f.kind", "f.a", "f.b", "f.x")
+        .agg(F.max(F.struct("n", "negative")).alias("top"))
+        .select("kind", "a", "b", "x", "top.n", (-F.col("top.negative")).alias("beside"))
         .collect()
     )
-    best = {(r["pair"], r["side"]): (r["top"]["n"], -r["top"]["x"]) for r in rows}
-    bounds = {}
-    for pair, name in zip(pairs, wanted):
-        left_count, left_id = best.get((name, "left"), (0, 0))
-        bounds[pair] = (left_count, left_id, best.get((name, "right"), (0, 0))[0])
-    return bounds
-
-
-def _still_next(pair: tuple[int, int], count: int, accepted: list, bounds: dict) -> bool:
-    """Would one-merge-at-a-time training also take ``pair`` next, after ``accepted``?"""
-    for done in accepted:
-        if pair[0] == done[1] or pair[1] == done[0]:
-            return False  # its count may have dropped
-        left_count, left_id, right_count = bounds[done]
-        if count < max(left_count, right_count):
-            return False  # a pair created by ``done`` may be ahead
-        if count == left_count and left_id < pair[0]:
-            return False  # ... or tie with it and have the smaller ids
-    return True
-
-
-def _apply(symbols: DataFrame, merges: Sequence[tuple[int, int, int]]) -> DataFrame:
-    sym = F.col("sym")
-    for left, right, new in merges:
-        sym = F.regexp_replace(sym, f" {left} {right}(?= |$)", f" {new}")
-    # Words that are one symbol take no further part.
-    return symbols.select(sym.alias("sym"), "n").where(F.instr(F.ltrim("sym"), " ") > 0)
+    found = _Context({}, {}, {})
+    for row in rows:
+        pair = (row["a"], row["b"])
+        if row["kind"] == "right":
+            found.right[pair] = row["n"]
+        elif row["kind"] == "left":
+            found.left[pair] = (row["n"], row["beside"])
+        else:
+            later = (row["b"], row["x"])
+            found.overlaps.setdefault(pair, []).append((later, row["n"]))
+            found.overlaps.setdefault(later, []).append((pair, row["n"]))
+    return found
+
+
+def _safe_run(
+    ranked: Sequence[tuple[tuple[int, int], int]], context: _Context, floor: int
+) -> Iterator[tuple[int, int]]:
+    """Candidates in the order one-merge-at-a-time training would take them, as far as the
+    counts prove it. ``floor`` is the highest count a pair outside the candidates may have."""
+    queue = [(-count, pair) for pair, count in ranked]
+    heapq.heapify(queue)
+    current = dict(ranked)
+    changed: set = set()  # lowered once, by a known amount
+    unknown: set = set()  # lowered by an amount the counts do not tell
+    done: list[tuple[int, int]] = []
+    while queue:
+        negative, pair = heapq.heappop(queue)
+        count = -negative
+        if count != current.get(pair):
+            continue  # an entry from before the pair was lowered
+        if pair in unknown or (pair in changed and count <= floor):
+            return
+        for earlier in done:
+            left_count, left_id = context.left.get(earlier, (0, 0))
+            if count < max(left_count, context.right.get(earlier, 0)):
+                return  # a pair created by ``earlier`` may be ahead
+            if count == left_count and left_id < pair[0]:
+                return  # ... or tie with it and have the smaller ids
+        yield pair
+        done.append(pair)
+        del current[pair]
+        for other, shared in context.overlaps.get(pair, ()):
+            if other not in current:
+                continue
+            simple = len({*pair, *other}) == 3 and pair not in changed and other not in changed
+            if other == pair or not simple:
+                unknown.add(other)
+                continue
+            changed.add(other)
+            current[other] -= shared
+            heapq.heappush(queue, (-current[other], other))
+
+
+def _merge_words(spark: SparkSession, merges: Sequence[tuple[int, int, int]]):
+    """An Arrow function that applies one round's merges to the words that hold them."""
+    ranks = {(a, b): (r, new) for r, (a, b, new) in enumerate(merges)}
+    wanted = np.array([(a << 32) | b for a, b in ranks], dtype=np.int64)
+
+    @F.arrow_udf("array<int>")
+    def merge(words: pa.Array) -> pa.Array:
+        flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        hits = np.flatnonzero(np.isin((flat[:-1] << 32) | flat[1:], wanted))
+        rows = np.searchsorted(ends, hits, side="right")
+        rows = np.unique(rows[hits + 1 < ends[rows]])  # a pair never spans two words
+        out, done = [], 0
+        lengths = sizes.copy()
+        for row in rows:
+            start, end = ends[row] - sizes[row], ends[row]
+            merged = merge_symbols(flat[start:end].tolist(), ranks)
+            lengths[row] = len(merged)
+            out += [flat[done:start], np.array(merged, dtype=np.int64)]
+            done = end
+        out.append(flat[done:])
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(np.concatenate(out).astype(np.int32))
+        )
+
+    return merge
+
+
+def merge_symbols(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """Merge one word's symbols, lowest rank first, leftmost first within a rank."""
+    size = len(ids)
+    symbol = list(ids)
+    after = list(range(1, size + 1))
+    before = list(range(-1, size - 1))
+    queue = [(ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    heapq.heapify(queue)
+    while queue:
+        _, i, pair = heapq.heappop(queue)
+        j = after[i]
+        if j >= size or (symbol[i], symbol[j]) != pair:
+            continue
+        symbol[i], symbol[j] = ranks[pair][1], -1
+        after[i] = after[j]
+        if after[j] < size:
+            before[after[j]] = i
+        for left in (before[i], i):
+            right = after[left] if left >= 0 else size
+            if right < size and (symbol[left], symbol[right]) in ranks:
+                fresh = (symbol[left], symbol[right])
+                heapq.heappush(queue, (ranks[fresh][0], left, fresh))
+    return [s for s in symbol if s >= 0]
 
 
 def train_vocabulary(
@@ -145,11 +252,13 @@ def train_vocabulary(
 
     Each round counts pairs on the cluster and brings at most ``candidates`` of them to the
     driver, which takes the longest leading run that single merges would take in that order.
+    Words that have become one symbol take no further part.
     """
+    spark = words.sparkSession
     symbols_of = base_symbols()
     known = {s: i for i, s in enumerate(symbols_of) if i > 1}
     merges: list[tuple[int, int, int]] = []
-    current = word_symbols(words).where(F.instr(F.ltrim("sym"), " ") > 0).persist()
+    current = word_symbols(words).where(F.size("ids") > 1).persist()
     stale: list[DataFrame] = []
     rounds = 0
     while len(symbols_of) < vocab_size:
@@ -165,25 +274,25 @@ def train_vocabulary(
         if not top:
             break
         ranked = [((r["left_id"], r["right_id"]), r["n"]) for r in top]
-        one_left = len(symbols_of) + 1 == vocab_size or len(ranked) == 1
-        bounds = {} if one_left else _context_bounds(current, [p for p, _ in ranked])
-        accepted: list[tuple[int, int]] = []
+        floor = ranked[-1][1] if len(ranked) == candidates else 0
         fresh: list[tuple[int, int, int]] = []
-        for pair, count in ranked:
-            if len(symbols_of) >= vocab_size or not _still_next(pair, count, accepted, bounds):
-                break
+        for pair in _safe_run(ranked, _context(current, [p for p, _ in ranked]), floor):
             text = symbols_of[pair[0]] + symbols_of[pair[1]]
             reused = text in known
             if not reused:
                 known[text] = len(symbols_of)
                 symbols_of.append(text)
             fresh.append((*pair, known[text]))
-            accepted.append(pair)
-            if reused:
-                break  # counts of pairs with the reused symbol may have grown
+            # After a reused symbol, counts of pairs that hold it may have grown.
+            if reused or len(symbols_of) >= vocab_size:
+                break
         merges += fresh
         rounds += 1
-        merged = _apply(current, fresh).persist()
+        merged = (
+            current.select(_merge_words(spark, fresh)("ids").alias("ids"), "n")
+            .where(F.size("ids") > 1)
+            .persist()
+        )
         stale.append(current)
         if rounds % CHECKPOINT_ROUNDS == 0:
             stale.append(merged)
