@@ -46,3 +46,10 @@ def join_one_per_key(
     left = rows.withColumn("_salt", salt_of(*spread, salts=salts))
     right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores, for work that is heavy
+    per row. A large table has more and is left as it is, without a shuffle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -103,13 +103,15 @@ class _Context:
 def _context(symbols: DataFrame, pairs: Sequence[tuple[int, int]]) -> _Context:
     """At most two rows per candidate and one per overlapping pair of candidates reach the
     driver."""
-    keys = [(a << 32) | b for a, b in pairs]
     a, b, c = F.col("t.a"), F.col("t.b"), F.col("t.c")
+    # One SQL list instead of a column per candidate: planning it is what a round waits for.
+    listed = ", ".join(f"{(a << 32) | b}L" for a, b in pairs)
     triples = (
         symbols.where(F.size("ids") > 2)
         .select(F.explode(_neighbours(F.col("ids"), 3)).alias("t"), "n")
-        .select(
-            "t", "n", _pair_key(a, b).isin(keys).alias("first"), _pair_key(b, c).isin(keys).alias("second")
+        .select("t", "n", _pair_key(a, b).alias("ab"), _pair_key(b, c).alias("bc"))
+        .withColumns(
+            {"first": F.expr(f"ab IN ({listed})"), "second": F.expr(f"bc IN ({listed})")}
         )
         .where(F.col("first") | F.col("second"))
         .groupBy(a.alias("a"), b.alias("b"), c.alias("c"), "first", "second")
@@ -258,7 +260,10 @@ def train_vocabulary(
     symbols_of = base_symbols()
     known = {s: i for i, s in enumerate(symbols_of) if i > 1}
     merges: list[tuple[int, int, int]] = []
-    current = word_symbols(words).where(F.size("ids") > 1).persist()
+    # An explicit count, as every round is heavy on the processor for the table's size and would
+    # otherwise run on the few partitions that size calls for.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = word_symbols(words).where(F.size("ids") > 1).repartition(parts).persist()
     stale: list[DataFrame] = []
     rounds = 0
     while len(symbols_of) < vocab_size:

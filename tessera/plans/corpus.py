@@ -19,6 +19,7 @@ from tessera.operators.vocabulary import (
     word_counts,
     word_symbols,
 )
+from tessera.operators.skew import widen
 from tessera.plans.sql import byte_ids, fitted, seeded
 from tessera.plans.tables import table
 from tessera.session import scratch_path
@@ -36,6 +37,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for work that is heavy per row."""
+    return widen(_documents(spark, folder).select("doc_id", "text"))
+
+
 def shuffle_order(spark: SparkSession, folder: str) -> DataFrame:
     return ordering.with_positions(_documents(spark, folder).select("doc_id"), "doc_id")
 
@@ -77,7 +83,7 @@ def _one_space(docs: DataFrame) -> DataFrame:
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
-    return word_counts(_one_space(_documents(spark, folder)))
+    return word_counts(_one_space(_texts(spark, folder)))
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +99,7 @@ def bpe_merges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoded_docs(spark: SparkSession, folder: str) -> DataFrame:
-    coded = pretraining_examples(_documents(spark, folder).select("doc_id", "text"))
+    coded = pretraining_examples(_texts(spark, folder))
     return coded.select(
         "doc_id",
         "n_tokens",
@@ -107,7 +113,7 @@ def encoded_docs(spark: SparkSession, folder: str) -> DataFrame:
 def decoded_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding with merges and decoding again, checked against the text itself."""
     vocab = _small_vocabulary(spark, folder, 8)
-    coded = _documents(spark, folder).select("doc_id", "text").withColumn(
+    coded = _texts(spark, folder).withColumn(
         "ids", encode_ids(F.col("text"), vocab, spark)
     )
     return coded.select(
