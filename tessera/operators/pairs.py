@@ -7,6 +7,7 @@ identified by its key: a second run reads what is there and calls only for what
 from __future__ import annotations
 
 import json
+import logging
 import time
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,8 @@ from tessera.operators.encoding import decode_ids, encode_ids
 from tessera.operators.vocabulary import Vocabulary
 from tessera.sources.ledger import append_ledger, pending, read_ledger
 
+logger = logging.getLogger(__name__)
+
 # Given a list of token-id prompts and the sample's number, the full id sequences.
 Completer = Callable[[list[list[int]], int], list[list[int]]]
 # Given the request text, the judge's raw answer; raises on transport errors.
@@ -124,13 +127,14 @@ def judge_stage(
 def judge_pairs(
     pairs: DataFrame, judge_factory: Callable[[], Judge], ledger: str, key: str = "key",
     max_attempts: int = JUDGE_MAX_ATTEMPTS, retry_seconds: float = JUDGE_RETRY_SECONDS,
-    concurrency: int | None = None,
+    concurrency: int | None = None, commits: int = 1,
 ) -> DataFrame:
     """Judge (key, prompt, completion_a, completion_b) in both orders; see ``decide``.
 
     Degenerate pairs are never asked about, and the swapped order only where the forward order
     gave a verdict. Both orders are kept in tables below ``ledger``, so an interrupted run goes on
-    where it stopped. ``concurrency`` bounds the number of calls at a time.
+    where it stopped. ``concurrency`` bounds the number of calls at a time. Each stage is written
+    in ``commits`` equal parts: what an interruption can lose is one part.
     """
     spark = pairs.sparkSession
     a, b = F.col("completion_a"), F.col("completion_b")
@@ -141,10 +145,14 @@ def judge_pairs(
         requests = pending(todo, path, key).select(
             key, judge_request(F.col("prompt"), first, second).alias("request")
         )
-        if concurrency is not None:
-            requests = requests.repartition(concurrency)
-        verdicts = judge_stage(requests, judge_factory, key, max_attempts, retry_seconds)
-        append_ledger(verdicts, path)
+        for part in range(commits):
+            share = requests.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
+            if concurrency is not None:
+                share = share.repartition(concurrency)
+            verdicts = judge_stage(share, judge_factory, key, max_attempts, retry_seconds)
+            passed = F.count_if(F.col("status") == "ok").alias("with_verdict")
+            progress = append_ledger(verdicts, path, passed)
+            logger.info("%s part %d of %d: %s", name, part + 1, commits, progress)
         return read_ledger(spark, path, verdicts.schema)
 
     forward = stage("forward", askable, a, b)

@@ -17,8 +17,10 @@ from tessera.functions.bytes import byte_order, byte_tokens
 from tessera.functions.words import split_words
 from tessera.session import checkpointed
 
-# Pairs looked at per round; a round merges as many of them as is provably in order.
-CANDIDATES = 512
+# Most and fewest pairs looked at per round; a round merges as many of them as is provably in
+# order, and the next one looks at four times as many.
+CANDIDATES = 1024
+FEWEST_CANDIDATES = 64
 # Rounds between two checkpoints of the word table.
 CHECKPOINT_ROUNDS = 8
 
@@ -266,11 +268,12 @@ def train_vocabulary(
     current = word_symbols(words).where(F.size("ids") > 1).repartition(parts).persist()
     stale: list[DataFrame] = []
     rounds = 0
+    looked_at = min(FEWEST_CANDIDATES, candidates)
     while len(symbols_of) < vocab_size:
         top = (
             pair_counts(current)
             .orderBy(F.desc("n"), "left_id", "right_id")
-            .limit(candidates)
+            .limit(looked_at)
             .collect()
         )
         for old in stale:
@@ -279,7 +282,7 @@ def train_vocabulary(
         if not top:
             break
         ranked = [((r["left_id"], r["right_id"]), r["n"]) for r in top]
-        floor = ranked[-1][1] if len(ranked) == candidates else 0
+        floor = ranked[-1][1] if len(ranked) == looked_at else 0
         fresh: list[tuple[int, int, int]] = []
         for pair in _safe_run(ranked, _context(current, [p for p, _ in ranked]), floor):
             text = symbols_of[pair[0]] + symbols_of[pair[1]]
@@ -293,6 +296,7 @@ def train_vocabulary(
                 break
         merges += fresh
         rounds += 1
+        looked_at = min(max(FEWEST_CANDIDATES, 4 * len(fresh)), candidates)
         merged = (
             current.select(_merge_words(spark, fresh)("ids").alias("ids"), "n")
             .where(F.size("ids") > 1)

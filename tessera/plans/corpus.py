@@ -31,6 +31,7 @@ SAMPLE = 500
 NATIVE_VAL = 25
 EPOCHS = 2
 MERGES = 24
+FEW_MERGES = 8
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,9 +78,9 @@ def step_plan(spark: SparkSession, folder: str) -> DataFrame:
     return ordering.training_manifest(ordering.with_batches(docs, "doc_id"), plan)
 
 
-def _one_space(docs: DataFrame) -> DataFrame:
+def _one_space(docs: DataFrame, *keep: str) -> DataFrame:
     """White-space runs as one space, because the oracle's patterns cannot look ahead."""
-    return docs.select(F.regexp_replace("text", "[ \\t\\n\\r]+", " ").alias("text"))
+    return docs.select(*keep, F.regexp_replace("text", "[ \\t\\n\\r]+", " ").alias("text"))
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,9 +111,17 @@ def encoded_docs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def merged_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents (white space as in ``words``) encoded with trained merges."""
+    vocab = _small_vocabulary(spark, folder, FEW_MERGES)
+    docs = widen(_one_space(_documents(spark, folder), "doc_id"))
+    coded = docs.withColumn("ids", encode_ids(F.col("text"), vocab, spark))
+    return coded.select("doc_id", F.size("ids").alias("n_tokens"), ids_digest(F.col("ids")).alias("ids_md5"))
+
+
 def decoded_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding with merges and decoding again, checked against the text itself."""
-    vocab = _small_vocabulary(spark, folder, 8)
+    vocab = _small_vocabulary(spark, folder, FEW_MERGES)
     coded = _texts(spark, folder).withColumn(
         "ids", encode_ids(F.col("text"), vocab, spark)
     )
@@ -164,15 +173,38 @@ def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 _POSITIONS = f"""SELECT doc_id, text, source, row_number() OVER (ORDER BY {seeded('doc_id')}, doc_id) - 1 AS pos
     FROM documents"""
-_WORDS = r"""
+# The word pattern without look-ahead, for texts whose white space is single spaces.
+_WORD_SQL = r"''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+_WORDS = rf"""
     words AS (
-        SELECT unnest(regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'),
-            '''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+')) AS word
+        SELECT unnest(regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), '{_WORD_SQL}')) AS word
         FROM documents
     ),
     word_counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)
 """
 
+
+
+def _merging(merges: int) -> str:
+    """WITH RECURSIVE entries: the word table after every single merge. Each symbol stands between
+    two spaces, so replacing a pair's text never touches another symbol."""
+    return f"""{_WORDS},
+    merging AS (
+        SELECT 0 AS step, word, ' ' || array_to_string({byte_ids('word')}, '  ') || ' ' AS sym, n,
+            NULL::INT AS l, NULL::INT AS r FROM word_counts
+        UNION ALL
+        SELECT m.step + 1, word, replace(m.sym, ' ' || b.l || '  ' || b.r || ' ', ' ' || (258 + m.step) || ' '),
+            m.n, b.l, b.r
+        FROM merging m, (
+            SELECT p[1] AS l, p[2] AS r FROM (
+                SELECT unnest(list_zip(ids[1:len(ids) - 1], ids[2:])) AS p, n FROM (
+                    SELECT string_split(trim(sym), '  ')::INT[] AS ids, n FROM merging
+                ) WHERE len(ids) > 1
+            ) GROUP BY 1, 2 ORDER BY sum(n) DESC, 1, 2 LIMIT 1
+        ) b WHERE m.step < {merges}
+    )"""
+
+
 QUERIES = {
     "shuffle_order": (shuffle_order, f"SELECT doc_id, pos FROM ({_POSITIONS})"),
     "holdout_split": (
@@ -211,7 +243,24 @@ QUERIES = {
         pairs AS (SELECT unnest(list_zip(ids[1:len(ids) - 1], ids[2:])) AS p, n FROM coded WHERE len(ids) > 1)
         SELECT p[1] AS left_id, p[2] AS right_id, sum(n)::BIGINT AS n FROM pairs GROUP BY ALL""",
     ),
-    "bpe_merges": (bpe_merges, None),
+    "bpe_merges": (
+        bpe_merges,
+        f"""WITH RECURSIVE {_merging(MERGES)}
+        SELECT step - 1 AS rank, any_value(l) AS left_id, any_value(r) AS right_id, 257 + step AS new_id
+        FROM merging WHERE step > 0 GROUP BY step""",
+    ),
+    "merged_docs": (
+        merged_docs,
+        rf"""WITH RECURSIVE {_merging(FEW_MERGES)},
+        coded AS (SELECT word, string_split(trim(sym), '  ') AS ids FROM merging WHERE step = {FEW_MERGES}),
+        split AS (
+            SELECT doc_id, regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), '{_WORD_SQL}') AS words
+            FROM documents
+        ),
+        placed AS (SELECT doc_id, i, words[i] AS word FROM split, unnest(range(1, len(words) + 1)) AS u(i)),
+        joined AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM placed JOIN coded USING (word) GROUP BY doc_id)
+        SELECT doc_id, len(ids) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM joined""",
+    ),
     "encoded_docs": (
         encoded_docs,
         f"""WITH c AS (SELECT doc_id, {byte_ids('text')} AS ids FROM documents),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -17,9 +18,13 @@ def read_ledger(spark: SparkSession, path: str, schema: T.StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
-def append_ledger(rows: DataFrame, path: str) -> None:
-    """Add rows; the output committer makes each call all or nothing."""
-    rows.write.mode("append").parquet(path)
+def append_ledger(rows: DataFrame, path: str, *metrics: Column) -> dict:
+    """Add rows and return the metrics observed while they were written (their number, and any
+    given aggregates). The output committer makes each call all or nothing."""
+    progress = Observation()
+    observed = rows.observe(progress, F.count(F.lit(1)).alias("rows"), *metrics)
+    observed.write.mode("append").parquet(path)
+    return progress.get
 
 
 def pending(rows: DataFrame, path: str, key: str) -> DataFrame:
