@@ -13,8 +13,10 @@ from tessera.operators.encoding import encode_ids
 from tessera.operators.skew import first_rows
 from tessera.operators.vocabulary import Vocabulary
 
-# "<|", a role, "|>" and a line break can never be one word, so a turn is at least two tokens.
-MIN_TURN_TOKENS = 2
+# The markup of a turn alone is six bytes, which are six tokens without merges. With merges it is
+# at least two, as brackets and a line break are never one word.
+MIN_TURN_BYTES = 6
+MIN_TURN_WORDS = 2
 
 
 def pretraining_examples(
@@ -40,13 +42,14 @@ def chat_examples(
     it is supervised, all else is ignored.
 
     Turns that start at or behind ``max_seq_len`` cannot show in the example. Because each turn
-    has at least ``MIN_TURN_TOKENS`` tokens, only that many leading turns are encoded, and only
-    those that start in range are gathered: at most ``2 * max_seq_len`` ids and one turn's tail.
+    has a least number of tokens, only so many leading turns are encoded, and only those that start
+    in range are gathered: fewer than ``2 * max_seq_len`` ids of a conversation, however long.
     """
-    needed = max_seq_len // MIN_TURN_TOKENS + 1
+    vocab = vocab or Vocabulary()
+    needed = max_seq_len // (MIN_TURN_WORDS if vocab.merges else MIN_TURN_BYTES) + 1
     leading = first_rows(turns.select(key, order, role, content), [key], [order], needed)
     supervised = F.col(role) == "assistant"
-    ids = encode_ids(format_turn(F.col(role), F.col(content)), vocab or Vocabulary(), turns.sparkSession)
+    ids = encode_ids(format_turn(F.col(role), F.col(content)), vocab, turns.sparkSession)
     encoded = (
         leading.withColumn("_turn", ids)
         .withColumn(

@@ -8,6 +8,9 @@ ever sorting the whole table in one place, and without a layout that two passes
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,49 +75,55 @@ def with_positions(
     )
 
 
-def cut_at(df: DataFrame, key: str, n: int, seed: int = SEED, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """One row ``cut = (order key, key)`` of the n-th row; no row when there are fewer.
+def cuts_at(
+    df: DataFrame, key: str, *places: int, seed: int = SEED, digits: int = BUCKET_DIGITS
+) -> DataFrame:
+    """One row with a field ``at_<n>`` = (order key, key) for the n-th row of each ``n`` asked for;
+    NULL where the table is shorter.
 
-    Two narrow passes over the key column: counts per bucket, then one bucket ranked.
+    Two narrow passes over the key column: counts per bucket, then the buckets hit are ranked.
     """
     keyed = df.select(order_key(key, seed).alias("_k"), F.col(key).alias("_key"))
+    start, end = F.col("_start"), F.col("_start") + F.col("_rows")
     hit = _bucket_starts(keyed, digits).where(
-        (F.col("_start") < n) & (F.col("_start") + F.col("_rows") >= n)
+        reduce(or_, ((start < n) & (end >= n) for n in places))
     )
     in_bucket = Window.partitionBy("_bucket").orderBy("_k", "_key")
+    place = start + F.col("_no")
     return (
         keyed.withColumn("_bucket", _bucket(F.col("_k"), digits))
         .join(F.broadcast(hit.select("_bucket", "_start")), "_bucket")
         .withColumn("_no", F.row_number().over(in_bucket))
-        .where(F.col("_start") + F.col("_no") == n)
-        .agg(F.first(F.struct("_k", "_key")).alias("cut"))
+        .where(place.isin(*places))
+        .agg(*(F.max(F.when(place == n, F.struct("_k", "_key"))).alias(f"at_{n}") for n in places))
     )
 
 
-def _after(df: DataFrame, key: str, n: int, seed: int) -> Column:
-    """True for rows behind the n-th; false for all when the table is shorter."""
-    if n <= 0:
-        return F.lit(True)
+def _after(df: DataFrame, key: str, *places: int, seed: int = SEED) -> list[Column]:
+    """For each ``n``, true for rows behind the n-th; for all rows when n is 0, for none when the
+    table is shorter."""
+    real = sorted({n for n in places if n > 0})
+    if not real:
+        return [F.lit(True) for _ in places]
+    cut = cuts_at(df, key, *real, seed=seed).select(F.struct("*")).scalar()
     here = F.struct(order_key(key, seed).alias("_k"), F.col(key).alias("_key"))
-    return F.coalesce(here > cut_at(df, key, n, seed).scalar(), F.lit(False))
+    return [
+        F.coalesce(here > cut[f"at_{n}"], F.lit(False)) if n > 0 else F.lit(True) for n in places
+    ]
 
 
 def holdout_split(
     df: DataFrame, key: str, n: int = VAL_EXAMPLES, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
     """(train, val): the first ``n`` rows of the seeded order are validation."""
-    after = _after(df, key, n, seed)
+    (after,) = _after(df, key, n, seed=seed)
     return df.where(after), df.where(~after)
 
 
 def with_split(df: DataFrame, key: str, n: int = VAL_EXAMPLES, seed: int = SEED) -> DataFrame:
     """The same split as a column ``split``, in one scan of ``df``."""
-    return df.withColumn("split", F.when(_after(df, key, n, seed), "train").otherwise("val"))
-
-
-def native_val(df: DataFrame, key: str, n: int = VAL_EXAMPLES) -> DataFrame:
-    """The first ``n`` rows of a validation split in source order."""
-    return df.orderBy(key).limit(n)
+    (after,) = _after(df, key, n, seed=seed)
+    return df.withColumn("split", F.when(after, "train").otherwise("val"))
 
 
 def tokenizer_sample(
@@ -122,7 +131,13 @@ def tokenizer_sample(
     n: int = TOKENIZER_SAMPLE_SIZE, seed: int = SEED,
 ) -> DataFrame:
     """The first ``n`` rows of the training part."""
-    return df.where(_after(df, key, holdout, seed) & ~_after(df, key, holdout + n, seed))
+    behind_holdout, behind_sample = _after(df, key, holdout, holdout + n, seed=seed)
+    return df.where(behind_holdout & ~behind_sample)
+
+
+def native_val(df: DataFrame, key: str, n: int = VAL_EXAMPLES) -> DataFrame:
+    """The first ``n`` rows of a validation split in source order."""
+    return df.orderBy(key).limit(n)
 
 
 def split_leakage(

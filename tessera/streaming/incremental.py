@@ -47,13 +47,15 @@ def judge_stream(
 ) -> StreamingQuery:
     """Judge new pair files batch by batch and append the pairs kept as JSON lines.
 
-    A batch that is run again after a failure finds its verdicts in the ledger and makes no call
-    twice; its own folder is overwritten, so no pair is written twice either.
+    A batch that is run again after a failure finds its verdicts in its own part of the ledger and
+    makes no call twice; its output folder is overwritten, so no pair is written twice either.
     """
     def one_batch(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            judged = judge_pairs(batch, judge_factory, ledger, key, **judging)
+            judged = judge_pairs(
+                batch, judge_factory, f"{ledger}/batch={number}", key, **judging
+            )
             preference_pairs(judged).write.mode("overwrite").json(f"{output}/batch={number}")
         finally:
             batch.unpersist()
