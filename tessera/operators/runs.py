@@ -25,14 +25,16 @@ def flat_tail(log: DataFrame, run: str = "run", window: int = EVAL_INTERVAL) ->
     """Per run, how much the validation loss fell over the first and the last ``window`` steps.
 
     The loss at a step is the latest one measured at or before it. A run may hold most of the
-    log: its bounds are joined in spread over salts, and every sum is formed map-side.
+    log: the bounds of such runs are broadcast to their rows, and losses are picked map-side.
     """
     losses = log.where(F.col("val_loss").isNotNull()).select(run, "step", "val_loss")
     bounds = losses.groupBy(run).agg(
-        F.min("step").alias("first_step"), F.max("step").alias("last_step")
+        F.min("step").alias("first_step"),
+        F.max("step").alias("last_step"),
+        F.count(F.lit(1)).alias("_rows"),
     )
     step = F.col("step")
-    placed = join_one_per_key(losses, bounds, [run], ["step"])
+    placed = join_one_per_key(losses, bounds, [run], "_rows")
 
     def loss_at(limit: Column) -> Column:
         return F.max_by("val_loss", F.when(step <= limit, step))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SALTS = 64
+# Keys above this share of the rows (one in so many) are treated as hot; there are fewer of them.
+MAX_HEAVY = 1000
 
 
 def salt_of(*cols: str, salts: int = SALTS) -> Column:
@@ -36,16 +38,21 @@ def first_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int
 
 
 def join_one_per_key(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: Sequence[str],
-    how: str = "inner", salts: int = SALTS,
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight: str
 ) -> DataFrame:
-    """Join many rows to one row per key, spreading each key over ``salts`` partitions.
+    """Join many rows to one row per key, where a few keys may hold most rows.
 
-    ``per_key`` is repeated once per salt; ``spread`` names the columns that vary within a key.
+    ``weight`` is the column of ``per_key`` that counts a key's rows. Fewer than ``MAX_HEAVY`` keys
+    can hold more than one ``MAX_HEAVY``-th of all rows each: those are broadcast, so their rows
+    stay where they are. The rest is joined by shuffling, with no large key among it.
     """
-    left = rows.withColumn("_salt", salt_of(*spread, salts=salts))
-    right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    total = per_key.agg(F.sum(weight).alias("total")).scalar()
+    is_heavy = F.col(weight) * MAX_HEAVY > total
+    heavy = F.broadcast(per_key.where(is_heavy))
+    light = rows.join(heavy.select(*keys), list(keys), "left_anti")
+    return rows.join(heavy, list(keys)).unionByName(
+        light.join(per_key.where(~is_heavy), list(keys))
+    )
 
 
 def widen(scan: DataFrame) -> DataFrame:

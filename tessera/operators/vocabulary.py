@@ -18,7 +18,7 @@ from tessera.functions.words import split_words
 from tessera.session import checkpointed
 
 # Most and fewest pairs looked at per round; a round merges as many of them as is provably in
-# order, and the next one looks at four times as many.
+# order, and the next one looks at four times as many, or half as many as it did.
 CANDIDATES = 1024
 FEWEST_CANDIDATES = 64
 # Rounds between two checkpoints of the word table.
@@ -296,7 +296,7 @@ def train_vocabulary(
                 break
         merges += fresh
         rounds += 1
-        looked_at = min(max(FEWEST_CANDIDATES, 4 * len(fresh)), candidates)
+        looked_at = min(max(FEWEST_CANDIDATES, 4 * len(fresh), looked_at // 2), candidates)
         merged = (
             current.select(_merge_words(spark, fresh)("ids").alias("ids"), "n")
             .where(F.size("ids") > 1)
