@@ -72,6 +72,22 @@ def sample_pairs(
     )
 
 
+def generate_pairs(
+    prompts: DataFrame, completer_factory: Callable[[], Completer], path: str,
+    vocab: Vocabulary | None = None, key: str = "key", prompt: str = "prompt", commits: int = 1,
+) -> DataFrame:
+    """``sample_pairs`` written below ``path``; prompts already answered there are not asked again.
+
+    The table at ``path`` is its own ledger. It grows in ``commits`` equal parts, so that is what
+    an interruption can lose.
+    """
+    for part in range(commits):
+        share = prompts.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
+        pairs = sample_pairs(pending(share, path, key), completer_factory, vocab, key, prompt)
+        logger.info("pairs part %d of %d: %s", part + 1, commits, append_ledger(pairs, path))
+    return read_ledger(prompts.sparkSession, path, pairs.schema)
+
+
 def is_degenerate(a: Column, b: Column) -> Column:
     """Equal or blank answers, which are dropped without asking the judge."""
     return (a == b) | is_blank(a) | is_blank(b)

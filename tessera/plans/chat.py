@@ -22,7 +22,8 @@ from tessera.operators.conversations import (
 from tessera.operators.examples import chat_examples
 from tessera.operators.replies import assemble_replies
 from tessera.operators.requests import request_outcomes
-from tessera.plans.sql import byte_ids, fitted, prompt_markup, turn_markup
+from tessera.operators.ordering import with_batches
+from tessera.plans.sql import byte_ids, fitted, prompt_markup, seeded, turn_markup
 from tessera.plans.tables import (
     request_log,
     response_chunks,
@@ -31,6 +32,7 @@ from tessera.plans.tables import (
 )
 
 CONTEXT = 1200
+CHAT_BATCH = 8
 
 
 def _turns(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,6 +53,12 @@ def sft_examples(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def chat_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Chat examples put into full batches."""
+    batched = with_batches(chat_examples(_turns(spark, folder)), "conv_id", CHAT_BATCH)
+    return batched.select("conv_id", "batch_no", "slot", "kept_ids")
+
+
 def shift_targets(spark: SparkSession, folder: str) -> DataFrame:
     return chat_examples(_turns(spark, folder), max_seq_len=1024).select(
         "conv_id", target_count(F.col("labels")).alias("n_targets")
@@ -247,6 +255,13 @@ QUERIES = {
             md5(array_to_string({fitted('labels', MAX_SEQ_LEN, IGNORE_INDEX)}, ',')) AS labels_md5
         FROM v""",
     ),
+    "chat_batches": (
+        chat_batches,
+        f"""WITH {_EXAMPLES},
+        p AS (SELECT conv_id, len(ids) AS n, row_number() OVER (ORDER BY {seeded('conv_id')}, conv_id) - 1 AS pos FROM v)
+        SELECT conv_id, pos // {CHAT_BATCH} AS batch_no, pos % {CHAT_BATCH} AS slot, least(n, {MAX_SEQ_LEN}) AS kept_ids
+        FROM p WHERE pos // {CHAT_BATCH} < (SELECT count(*) FROM v) // {CHAT_BATCH}""",
+    ),
     "shift_targets": (
         shift_targets,
         f"""WITH {_EXAMPLES}

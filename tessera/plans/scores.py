@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import dense_scores as D
 from tessera.operators import scores as S
-from tessera.plans.tables import SCORES_SQL, TARGETS_SQL, loss_targets, scores, seen_tokens
+from tessera.plans.sql import seeded
+from tessera.plans.tables import (
+    LOSS_BATCH,
+    SCORES_SQL,
+    TARGETS_SQL,
+    dense_scores,
+    loss_targets,
+    scores,
+    seen_tokens,
+)
 
 PENALTY = 1.3
 K = 10
@@ -57,7 +67,40 @@ def masked_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def val_loss(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(S.validation_loss(loss_targets(spark, folder)), "batch_mean_loss", "token_mean_loss")
+    return _rounded(S.validation_loss(loss_targets(spark, folder, batched=True)), "batch_mean_loss", "token_mean_loss")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """(row_id, token_id) of the scores that are left in each vector."""
+    left = df.select("row_id", F.posexplode("logits").alias("token_id", "logit"))
+    return left.where(F.col("logit").isNotNull()).select("row_id", "token_id")
+
+
+def top_k_dense(spark: SparkSession, folder: str) -> DataFrame:
+    coarse = F.transform("logits", lambda x: F.round(x, 0))
+    return _kept(dense_scores(spark, folder).withColumn("logits", D.keep_top_k(coarse, K)))
+
+
+def top_p_dense(spark: SparkSession, folder: str) -> DataFrame:
+    return _kept(dense_scores(spark, folder).withColumn("logits", D.keep_top_p(F.col("logits"), P)))
+
+
+def softmax_greedy_dense(spark: SparkSession, folder: str) -> DataFrame:
+    hot = dense_scores(spark, folder).withColumn("logits", D.scaled(F.col("logits"), HEAT))
+    probs = hot.select(
+        "row_id", D.best_token(F.col("logits")).alias("best"),
+        F.posexplode(D.probabilities(F.col("logits"))).alias("token_id", "prob"),
+    )
+    return _rounded(
+        probs.select("row_id", "token_id", "prob", (F.col("token_id") == F.col("best")).alias("is_best")), "prob"
+    )
+
+
+def seeded_draw_dense(spark: SparkSession, folder: str) -> DataFrame:
+    row = F.col("row_id")
+    return dense_scores(spark, folder).select(
+        "row_id", D.drawn_token(F.col("logits"), S.uniform(row)).alias("token_id")
+    )
 
 
 _U = "('0x' || substr(md5('42:' || row_id), 1, 12))::BIGINT / 281474976710656.0"
@@ -119,9 +162,22 @@ QUERIES = {
     "val_loss": (
         val_loss,
         f"""WITH {TARGETS_SQL},
-        used AS (SELECT * FROM targets WHERE label <> -100 AND position >= 1),
+        placed AS (SELECT vec_id, (row_number() OVER (ORDER BY {seeded('vec_id')}, vec_id) - 1) // {LOSS_BATCH} AS batch_no
+            FROM embeddings),
+        used AS (SELECT t.*, p.batch_no FROM targets t JOIN placed p USING (vec_id)
+            WHERE label <> -100 AND position >= 1
+                AND p.batch_no < (SELECT count(*) FROM embeddings) // {LOSS_BATCH}),
         b AS (SELECT batch_no, avg(-log_prob) AS loss FROM used GROUP BY batch_no)
         SELECT round((SELECT avg(loss) FROM b), 6) AS batch_mean_loss,
             round((SELECT avg(-log_prob) FROM used), 6) AS token_mean_loss, (SELECT count(*) FROM b) AS n_batches""",
     ),
 }
+# The same results from score vectors.
+QUERIES.update(
+    {
+        "top_k_dense": (top_k_dense, QUERIES["top_k"][1]),
+        "top_p_dense": (top_p_dense, QUERIES["top_p"][1]),
+        "softmax_greedy_dense": (softmax_greedy_dense, QUERIES["softmax_greedy"][1]),
+        "seeded_draw_dense": (seeded_draw_dense, QUERIES["seeded_draw"][1]),
+    }
+)

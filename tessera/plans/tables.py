@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.conversations import heads
+from tessera.operators.ordering import with_batches
+from tessera.operators.scores import log_probs
 from tessera.operators.skew import first_rows
 from tessera.fixed_values import IGNORE_INDEX, MAX_MESSAGES
 
 
+# Rows per batch of the loss queries.
+LOSS_BATCH = 32
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -196,7 +202,7 @@ TARGETS_SQL = SCORES_SQL + f"""
         FROM (SELECT *, max(logit) OVER (PARTITION BY row_id) AS top FROM scores)
     ),
     targets AS (
-        SELECT e.vec_id // 8 AS example, e.vec_id % 8 AS position, e.vec_id // 32 AS batch_no,
+        SELECT e.vec_id, e.vec_id // 8 AS example, e.vec_id % 8 AS position,
             CASE WHEN e.vec_id % 5 = 0 THEN {IGNORE_INDEX} ELSE e.label END AS label, p.log_prob
         FROM embeddings e JOIN log_probs p ON p.row_id = e.vec_id AND p.token_id = e.label
     )
@@ -220,18 +226,27 @@ def seen_tokens(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("_twice")
 
 
-def loss_targets(spark: SparkSession, folder: str) -> DataFrame:
-    """(example, position, batch_no, label, log_prob): the score of each row's label."""
-    from tessera.operators.scores import log_probs
+def dense_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """(row_id, logits): the same scores as one vector per row."""
+    logits = F.transform("embedding", lambda x: x.cast("double") * 10)
+    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("row_id"), logits.alias("logits"))
+
 
+def loss_targets(spark: SparkSession, folder: str, batched: bool = False) -> DataFrame:
+    """(example, position, label, log_prob): the score of each row's label. ``batched`` puts rows
+    into full batches of ``LOSS_BATCH`` and adds ``batch_no``."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "label")
+    batch = []
+    if batched:
+        rows, batch = with_batches(rows, "vec_id", LOSS_BATCH), ["batch_no"]
     row = F.col("vec_id")
-    labels = table(spark, folder, "embeddings").select(
-        row.alias("row_id"), F.col("label").alias("token_id"),
-        F.floor(row / 8).alias("example"), (row % 8).alias("position"), F.floor(row / 32).alias("batch_no"),
-        F.when(row % 5 == 0, F.lit(IGNORE_INDEX)).otherwise(F.col("label")).alias("label"),
+    labels = rows.select(
+        row.alias("row_id"), F.col("label").alias("token_id"), F.floor(row / 8).alias("example"),
+        (row % 8).alias("position"),
+        F.when(row % 5 == 0, F.lit(IGNORE_INDEX)).otherwise(F.col("label")).alias("label"), *batch,
     )
     return log_probs(scores(spark, folder)).join(labels, ["row_id", "token_id"]).select(
-        "example", "position", "batch_no", "label", "log_prob"
+        "example", "position", "label", "log_prob", *batch
     )
 
 

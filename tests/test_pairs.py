@@ -140,6 +140,22 @@ def test_sampled_pairs(spark):
     assert rows[2]["completion_b"] == "<|user|>\nbye\n<|assistant|>\n" * 2
 
 
+@pytest.mark.parametrize("commits", [1, 3])
+def test_generated_pairs_resume(spark, tmp_path, commits):
+    path = str(tmp_path / "pairs")
+    df = spark.createDataFrame([(1, "hello"), (2, "bye"), (3, "hi")], "key int, prompt string")
+    P.generate_pairs(df.where("key = 1"), stub_completer, path)
+
+    def loud():
+        def complete(prompts, sample):
+            return [ids + ids[-1:] for ids in prompts]
+        return complete
+
+    rows = {r["key"]: r["completion_a"] for r in P.generate_pairs(df, loud, path, commits=commits).collect()}
+    assert rows == {1: "<|user|>\nhello\n<|assistant|>\n", 2: "\n", 3: "\n"}
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_pending_ignores_input_order(spark, tmp_path):
     path = str(tmp_path / "done")
     rows = spark.range(10).withColumnRenamed("id", "key")

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import dense_scores as D
 from tessera.operators import runs
 from tessera.operators import scores as S
 from tessera.operators.budget import corpus_report, tokens_per_step
@@ -71,6 +72,26 @@ def test_draws_follow_the_distribution_and_repeat(spark):
         assert abs(sum(t == token for t in first.values()) / 4000 - weight) < 0.03
 
 
+def test_dense_scores(spark):
+    def one(expr, *values):
+        df = spark.createDataFrame([(list(map(float, values)),)], "x array<double>")
+        return df.select(expr(F.col("x"))).first()[0]
+
+    assert one(lambda x: D.keep_top_k(x, 2), 5, 4, 3) == [5.0, 4.0, None]
+    assert one(lambda x: D.keep_top_k(x, 1), 1, 3, 3) == [None, 3.0, 3.0]
+    assert one(lambda x: D.keep_top_k(x, 9), 1, 3) == one(lambda x: D.keep_top_k(x, 0), 1, 3) == [1.0, 3.0]
+    logs = [math.log(v) for v in (0.15, 0.5, 0.05, 0.3)]
+    assert one(lambda x: D.keep_top_p(x, 0.4), *logs) == [None, logs[1], None, None]
+    assert one(lambda x: D.keep_top_p(x, 0.7), *logs) == [None, logs[1], None, logs[3]]
+    assert one(lambda x: D.keep_top_p(x, 0.0), 2, 2) == [2.0, None]
+    assert one(lambda x: D.keep_top_p(D.keep_top_k(x, 2), 0.99), *logs) == [None, logs[1], None, logs[3]]
+    assert one(lambda x: D.best_token(x), 1, 7, 7) == 1
+    assert one(lambda x: D.probabilities(D.keep_top_k(x, 1)), 1000, 2, -1000) == [1.0, 0.0, 0.0]
+    assert one(lambda x: D.drawn_token(x, F.lit(0.0)), *logs) == 0
+    assert one(lambda x: D.drawn_token(x, F.lit(0.6)), *logs) == 1
+    assert one(lambda x: D.drawn_token(D.keep_top_k(x, 1), F.lit(1.0)), *logs) == 1
+
+
 def test_losses(spark):
     rows = [(0, 0, 0, 5, -9.0), (0, 0, 1, -100, -9.0), (0, 0, 2, 2, -1.0), (1, 1, 1, 3, -2.0), (1, 1, 2, 3, -4.0)]
     df = spark.createDataFrame(rows, "batch_no long, example long, position long, label int, log_prob double")
