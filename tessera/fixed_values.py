@@ -34,10 +34,28 @@ MIN_POSITIVE_TEMPERATURE = 0.01
 MAX_TEMPERATURE = 2.0
 MAX_REPETITION_PENALTY = 2.0
 
+# Texts of rejected requests.
+NO_MESSAGES_TEXT = "messages must be a non-empty list"
+TOO_MANY_MESSAGES_TEXT = "messages has {count} entries, exceeds limit of {limit}"
+INVALID_ROLE_TEXT = "message {i} has invalid role {role}; must be 'user' or 'assistant'"
+EMPTY_CONTENT_TEXT = "message {i} must have non-empty string 'content'"
+CONTENT_TOO_LONG_TEXT = "message {i} content is {count} chars, exceeds limit of {limit}"
+WRONG_TURN_TEXT = (
+    "messages must alternate starting with 'user'; message {i} has role {role}, expected {expected}"
+)
+ENDS_ON_ASSISTANT_TEXT = "messages must end on a 'user' turn"
+CONTEXT_TOO_LONG_TEXT = "prompt exceeds max_seq_len even after truncating all prior turns"
+
+# Python's texts for values int() and float() refuse.
+NOT_AN_INT_TEXT = "invalid literal for int() with base 10: {value}"
+NOT_A_FLOAT_TEXT = "could not convert string to float: {value}"
+INT_TYPE_TEXT = (
+    "int() argument must be a string, a bytes-like object or a real number, not '{type}'"
+)
+FLOAT_TYPE_TEXT = "float() argument must be a string or a real number, not '{type}'"
+
 # Chat markup.
-ROLE_OPEN = "<|"
-ROLE_CLOSE = "|>\n"
-TURN_END = "\n"
+TURN_TEMPLATE = "<|{role}|>\n{content}\n"
 ASSISTANT_OPENER = "<|assistant|>\n"
 
 # Judge call defaults and discard reasons.

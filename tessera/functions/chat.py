@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.fixed_values import (
-    ASSISTANT_OPENER,
-    JUDGE_TEMPLATE,
-    ROLE_CLOSE,
-    ROLE_OPEN,
-    TURN_END,
-)
+from tessera.fixed_values import ASSISTANT_OPENER, JUDGE_TEMPLATE, TURN_TEMPLATE
+from tessera.functions.text import fill
 
 
 def format_turn(role: Column, content: Column) -> Column:
-    return F.concat(F.lit(ROLE_OPEN), role, F.lit(ROLE_CLOSE), content, F.lit(TURN_END))
+    return fill(TURN_TEMPLATE, role=role, content=content)
 
 
 def format_prompt(content: Column) -> Column:
@@ -40,9 +35,4 @@ def build_prompt(prompt: Column, chat: Column | bool) -> Column:
 
 def judge_request(prompt: Column, response_a: Column, response_b: Column) -> Column:
     """The judge template with its three slots filled."""
-    head, rest = JUDGE_TEMPLATE.split("{prompt}")
-    between, rest = rest.split("{response_a}")
-    before_b, tail = rest.split("{response_b}")
-    return F.concat(
-        F.lit(head), prompt, F.lit(between), response_a, F.lit(before_b), response_b, F.lit(tail)
-    )
+    return fill(JUDGE_TEMPLATE, prompt=prompt, response_a=response_a, response_b=response_b)

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.fixed_values import ASSISTANT_OPENER, MAX_CONTENT_CHARS, MAX_MESSAGES
+from tessera.fixed_values import (
+    ASSISTANT_OPENER,
+    CONTENT_TOO_LONG_TEXT,
+    EMPTY_CONTENT_TEXT,
+    ENDS_ON_ASSISTANT_TEXT,
+    INVALID_ROLE_TEXT,
+    MAX_CONTENT_CHARS,
+    MAX_MESSAGES,
+    NO_MESSAGES_TEXT,
+    TOO_MANY_MESSAGES_TEXT,
+    WRONG_TURN_TEXT,
+)
 from tessera.functions.chat import format_turns
+from tessera.functions.text import fill, python_repr
 from tessera.operators.skew import first_rows
 
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
@@ -83,51 +95,32 @@ def chat_prompts(
     )
 
 
-def python_repr(text: Column) -> Column:
-    """How Python shows a string or None, for ordinary strings."""
-    quote = F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), F.lit('"')).otherwise(
-        F.lit("'")
-    )
-    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-    return F.when(text.isNull(), F.lit("None")).otherwise(F.concat(quote, escaped, quote))
+def _error(code: str, template: str, **slots: Column) -> Column:
+    return F.struct(F.lit(code).alias("code"), fill(template, **slots).alias("text"))
 
 
 def _message_error(m: Column, i: Column) -> Column:
     """(code, text) of the first rule one message breaks, NULL when it breaks none."""
     role, content = m["role"], m["content"]
     expected = F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
-    where = F.concat(F.lit("message "), i.cast("string"))
-    too_long = F.char_length(content) > MAX_CONTENT_CHARS
-
-    def error(code: str, *text: Column) -> Column:
-        return F.struct(F.lit(code).alias("code"), F.concat(*text).alias("text"))
-
+    length = F.char_length(content)
+    shown = python_repr(role)
     return (
         F.when(
             role.isNull() | ~role.isin("user", "assistant"),
-            error(
-                "invalid_role", where, F.lit(" has invalid role "), python_repr(role),
-                F.lit("; must be 'user' or 'assistant'"),
-            ),
+            _error("invalid_role", INVALID_ROLE_TEXT, i=i, role=shown),
         )
+        .when(content.isNull() | (content == ""), _error("empty_content", EMPTY_CONTENT_TEXT, i=i))
         .when(
-            content.isNull() | (content == ""),
-            error("empty_content", where, F.lit(" must have non-empty string 'content'")),
-        )
-        .when(
-            too_long,
-            error(
-                "content_too_long", where, F.lit(" content is "),
-                F.char_length(content).cast("string"),
-                F.lit(f" chars, exceeds limit of {MAX_CONTENT_CHARS}"),
+            length > MAX_CONTENT_CHARS,
+            _error(
+                "content_too_long", CONTENT_TOO_LONG_TEXT, i=i, count=length,
+                limit=F.lit(MAX_CONTENT_CHARS),
             ),
         )
         .when(
             role != expected,
-            error(
-                "wrong_turn", F.lit("messages must alternate starting with 'user'; "), where,
-                F.lit(" has role "), python_repr(role), F.lit(", expected "), python_repr(expected),
-            ),
+            _error("wrong_turn", WRONG_TURN_TEXT, i=i, role=shown, expected=python_repr(expected)),
         )
     )
 
@@ -141,29 +134,16 @@ def messages_error(messages: Column, n_messages: Column | None = None) -> Column
     broken = F.get(
         F.filter(F.transform(messages, _message_error), lambda e: e.isNotNull()), F.lit(0)
     )
-
-    def error(code: str, text: Column) -> Column:
-        return F.struct(F.lit(code).alias("code"), text.alias("text"))
-
+    too_many = _error(
+        "too_many_messages", TOO_MANY_MESSAGES_TEXT, count=total, limit=F.lit(MAX_MESSAGES)
+    )
     return (
-        F.when(
-            messages.isNull() | (total == 0),
-            error("no_messages", F.lit("messages must be a non-empty list")),
-        )
-        .when(
-            total > MAX_MESSAGES,
-            error(
-                "too_many_messages",
-                F.concat(
-                    F.lit("messages has "), total.cast("string"),
-                    F.lit(f" entries, exceeds limit of {MAX_MESSAGES}"),
-                ),
-            ),
-        )
+        F.when(messages.isNull() | (total == 0), _error("no_messages", NO_MESSAGES_TEXT))
+        .when(total > MAX_MESSAGES, too_many)
         .when(broken.isNotNull(), broken)
         .when(
             F.element_at(messages, -1)["role"] != "user",
-            error("ends_on_assistant", F.lit("messages must end on a 'user' turn")),
+            _error("ends_on_assistant", ENDS_ON_ASSISTANT_TEXT),
         )
     )
 

@@ -77,12 +77,14 @@ def chat_examples(
         .agg(parts.alias("_parts"), F.max(F.col("_start") + F.col("_n")).alias("_total"))
         .select(
             key,
-            fit_length(F.flatten(F.transform("_parts", lambda p: p["_ids"])), max_seq_len).alias(
-                "input_ids"
-            ),
-            fit_length(
-                F.flatten(F.transform("_parts", part_labels)), max_seq_len, IGNORE_INDEX
-            ).alias("labels"),
+            "_total",
+            F.flatten(F.transform("_parts", lambda p: p["_ids"])).alias("_ids"),
+            F.flatten(F.transform("_parts", part_labels)).alias("_labels"),
+        )
+        .select(
+            key,
+            fit_length(F.col("_ids"), max_seq_len).alias("input_ids"),
+            fit_length(F.col("_labels"), max_seq_len, IGNORE_INDEX).alias("labels"),
             F.least("_total", F.lit(max_seq_len)).cast("int").alias("kept_ids"),
             (F.col("_total") > max_seq_len).alias("truncated"),
         )

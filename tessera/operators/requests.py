@@ -7,19 +7,25 @@ from pyspark.sql import functions as F
 
 from tessera.fixed_values import (
     ASSISTANT_OPENER,
+    CONTEXT_TOO_LONG_TEXT,
     DEFAULT_MAX_NEW_TOKENS,
     DEFAULT_REPETITION_PENALTY,
     DEFAULT_TEMPERATURE,
     DEFAULT_TOP_K,
     DEFAULT_TOP_P,
+    FLOAT_TYPE_TEXT,
+    INT_TYPE_TEXT,
     MAX_NEW_TOKENS_CEILING,
     MAX_REPETITION_PENALTY,
     MAX_SEQ_LEN,
     MAX_TEMPERATURE,
     MIN_POSITIVE_TEMPERATURE,
+    NOT_A_FLOAT_TEXT,
+    NOT_AN_INT_TEXT,
 )
 from tessera.functions.chat import format_history, format_turn
-from tessera.operators.conversations import fit_context, messages_error, python_repr
+from tessera.functions.text import fill, python_repr
+from tessera.operators.conversations import fit_context, messages_error
 from tessera.operators.encoding import token_counts
 from tessera.operators.vocabulary import Vocabulary
 
@@ -61,16 +67,13 @@ def _number(body: Column, name: str, default: float, whole: bool) -> Column:
         .when(F.startswith(kind, F.lit("ARRAY")), F.lit("list"))
         .otherwise(F.lit("dict"))
     )
-    takes = (
-        "int() argument must be a string, a bytes-like object or a real number, not '"
-        if whole
-        else "float() argument must be a string or a real number, not '"
+    wrong_text, wrong_type = (
+        (NOT_AN_INT_TEXT, INT_TYPE_TEXT) if whole else (NOT_A_FLOAT_TEXT, FLOAT_TYPE_TEXT)
     )
-    refuses = "invalid literal for int() with base 10: " if whole else "could not convert string to float: "
     error = F.when(
         value.isNull(),
-        F.when(kind == "STRING", F.concat(F.lit(refuses), python_repr(text))).otherwise(
-            F.concat(F.lit(takes), python_type, F.lit("'"))
+        F.when(kind == "STRING", fill(wrong_text, value=python_repr(text))).otherwise(
+            fill(wrong_type, type=python_type)
         ),
     )
     return F.struct(value.alias("value"), error.alias("error"))
@@ -147,7 +150,7 @@ def request_outcomes(
         fit_context(good, F.col("_counts"), F.col("_config.max_new_tokens"), max_seq_len),
     )
     kept = F.slice(good, F.col("_fit.first") + 1, F.size(good))
-    too_big = F.lit("prompt exceeds max_seq_len even after truncating all prior turns")
+    too_big = F.lit(CONTEXT_TOO_LONG_TEXT)
     outcome = (
         F.when(F.col("_config.error").isNotNull(), F.lit("invalid_parameter"))
         .when(F.col("_bad").isNotNull(), F.col("_bad.code"))

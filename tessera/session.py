@@ -55,5 +55,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing ``df`` to the reliable checkpoint folder."""
-    shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

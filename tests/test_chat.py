@@ -89,7 +89,7 @@ def test_chat_examples(spark, length):
 
 def test_chat_examples_with_merges_match_turn_by_turn_encoding(spark):
     df = turns(spark, CONVERSATIONS)
-    vocab = train_vocabulary(word_counts(df), 300)
+    vocab = train_vocabulary(word_counts(df), 280)
     merged = {r["conv_id"]: r for r in chat_examples(df, vocab, 64).collect()}
     plain = {r["conv_id"]: r for r in chat_examples(df, None, 64).collect()}
     def spell(ids):
@@ -256,19 +256,21 @@ def test_request_outcome_order(spark):
     assert short[0]["kept_turns"] == 1 and short[0]["prompt"] == "<|user|>\nhi\n<|assistant|>\n"
 
 
-@pytest.mark.parametrize("tail", ["", " ", "\n", "\n\n", "  \n "])
-def test_turn_counts_add_up_to_the_whole_prompt(spark, tail):
+def test_turn_counts_add_up_to_the_whole_prompt(spark):
     """The context check adds counts per turn; the prompt must not encode differently as a whole."""
     from tessera.operators.encoding import encode_ids
 
-    said = [("user", "how are you doing today" + tail), ("assistant", "I am doing well" + tail), ("user", "hi" + tail)]
-    df = turns(spark, {1: said * 3})
-    vocab = train_vocabulary(word_counts(df), 320)
-    messages = [{"role": r, "content": t} for r, t in said]
-    payload = json.dumps({"input": {"messages": messages}})
-    r = outcomes(spark, [payload], vocab=vocab)[0]
-    whole = spark.createDataFrame([(r["prompt"],)], "p string").select(F.size(encode_ids(F.col("p"), vocab, spark))).first()[0]
-    assert r["used_tokens"] == whole
+    def said(tail):
+        texts = ("how are you doing today", "I am doing well", "hi")
+        return [(("user", "assistant")[i % 2], text + tail) for i, text in enumerate(texts)]
+
+    tails = ["", " ", "\n", "\n\n", "  \n "]
+    vocab = train_vocabulary(word_counts(turns(spark, {i: said(t) for i, t in enumerate(tails)})), 290)
+    payloads = [json.dumps({"input": {"messages": [{"role": r, "content": c} for r, c in said(t)]}}) for t in tails]
+    got = outcomes(spark, payloads, vocab=vocab)
+    prompts = spark.createDataFrame([(i, r["prompt"]) for i, r in got.items()], "i int, p string")
+    whole = prompts.select("i", F.size(encode_ids(F.col("p"), vocab, spark)).alias("n")).collect()
+    assert {r["i"]: r["n"] for r in whole} == {i: r["used_tokens"] for i, r in got.items()}
 
 
 def test_replies(spark):
