@@ -56,6 +56,7 @@ FLOAT_TYPE_TEXT = "float() argument must be a string or a real number, not '{typ
 
 # Chat markup.
 TURN_TEMPLATE = "<|{role}|>\n{content}\n"
+TURN_START = "<|"
 ASSISTANT_OPENER = "<|assistant|>\n"
 
 # Judge call defaults and discard reasons.

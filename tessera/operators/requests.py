@@ -22,6 +22,7 @@ from tessera.fixed_values import (
     MIN_POSITIVE_TEMPERATURE,
     NOT_A_FLOAT_TEXT,
     NOT_AN_INT_TEXT,
+    TURN_START,
 )
 from tessera.functions.chat import format_history, format_turn
 from tessera.functions.text import fill, python_repr
@@ -124,6 +125,28 @@ def request_messages(body: Column) -> Column:
     )
 
 
+def prompt_token_counts(messages: Column, vocab: Vocabulary, spark: SparkSession) -> Column:
+    """Token counts of every turn as part of a prompt and, last, of the opener.
+
+    White space at the end of a turn splits differently before the next turn's markup than at the
+    end of a text. So each turn is counted with that markup's start behind it, whose own tokens are
+    then taken off; the counts add up to those of the whole prompt.
+    """
+    start, opener = F.lit(TURN_START), F.lit(ASSISTANT_OPENER)
+    texts = F.transform(messages, lambda m: F.concat(format_turn(m["role"], m["content"]), start))
+    counts = token_counts(F.concat(texts, F.array(opener, start)), vocab, spark)
+    return F.get(
+        F.transform(
+            F.array(counts),
+            lambda c: F.array_append(
+                F.transform(F.slice(c, 1, F.size(c) - 2), lambda n: n - F.element_at(c, -1)),
+                F.element_at(c, -2),
+            ),
+        ),
+        F.lit(0),
+    )
+
+
 def request_outcomes(
     log: DataFrame, vocab: Vocabulary | None = None, payload: str = "payload",
     max_seq_len: int = MAX_SEQ_LEN,
@@ -143,9 +166,7 @@ def request_outcomes(
     checked = parsed.withColumn("_bad", messages_error(F.col("_messages")))
     usable = F.col("_config.error").isNull() & F.col("_bad").isNull()
     good = F.when(usable, F.col("_messages"))
-    texts = F.transform(good, lambda m: format_turn(m["role"], m["content"]))
-    counts = token_counts(F.array_append(texts, F.lit(ASSISTANT_OPENER)), vocab, spark)
-    fitted = checked.withColumn("_counts", counts).withColumn(
+    fitted = checked.withColumn("_counts", prompt_token_counts(good, vocab, spark)).withColumn(
         "_fit",
         fit_context(good, F.col("_counts"), F.col("_config.max_new_tokens"), max_seq_len),
     )

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import DEFAULT_MAX_NEW_TOKENS, IGNORE_INDEX, MAX_SEQ_LEN
-from tessera.functions.bytes import byte_token_count
 from tessera.functions.chat import build_prompt, format_prompt, format_turn
 from tessera.functions.sequences import ids_digest, target_count
-from tessera.fixed_values import ASSISTANT_OPENER
 from tessera.operators.conversations import (
     assemble,
     chat_prompts,
@@ -21,7 +19,8 @@ from tessera.operators.conversations import (
 )
 from tessera.operators.examples import chat_examples
 from tessera.operators.replies import assemble_replies
-from tessera.operators.requests import request_outcomes
+from tessera.operators.requests import prompt_token_counts, request_outcomes
+from tessera.operators.vocabulary import Vocabulary
 from tessera.operators.ordering import with_batches
 from tessera.plans.sql import byte_ids, fitted, prompt_markup, seeded, turn_markup
 from tessera.plans.tables import (
@@ -95,8 +94,7 @@ def fitted_context(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", without_trailing_answers(F.col("messages")).alias("messages")
     )
     valid = asked.where(messages_error(F.col("messages")).isNull())
-    texts = F.transform("messages", lambda m: format_turn(m["role"], m["content"]))
-    counts = F.transform(F.array_append(texts, F.lit(ASSISTANT_OPENER)), byte_token_count)
+    counts = prompt_token_counts(F.col("messages"), Vocabulary(), spark)
     fit = fit_context(F.col("messages"), counts, F.lit(DEFAULT_MAX_NEW_TOKENS), CONTEXT)
     return valid.withColumn("_fit", fit).select(
         "conv_id",
