@@ -21,6 +21,9 @@ from tessera.session import checkpointed
 # order, and the next one looks at four times as many, or half as many as it did.
 CANDIDATES = 1024
 FEWEST_CANDIDATES = 64
+# Distinct words per partition of the word table, and the most tasks per core.
+WORDS_PER_PARTITION = 10_000
+WAVES = 4
 # Rounds between two checkpoints of the word table.
 CHECKPOINT_ROUNDS = 8
 
@@ -262,11 +265,13 @@ def train_vocabulary(
     symbols_of = base_symbols()
     known = {s: i for i, s in enumerate(symbols_of) if i > 1}
     merges: list[tuple[int, int, int]] = []
-    # An explicit count, as every round is heavy on the processor for the table's size and would
-    # otherwise run on the few partitions that size calls for.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    current = word_symbols(words).where(F.size("ids") > 1).repartition(parts).persist()
-    stale: list[DataFrame] = []
+    counted = word_symbols(words).where(F.size("ids") > 1).persist()
+    # Every round is heavy on the processor for the table's size, so it gets more partitions than
+    # that size calls for.
+    most = WAVES * spark.sparkContext.defaultParallelism
+    parts = min(max(counted.count() // WORDS_PER_PARTITION, 1), most)
+    current = counted.repartition(parts).persist()
+    stale = [counted]
     rounds = 0
     looked_at = min(FEWEST_CANDIDATES, candidates)
     while len(symbols_of) < vocab_size:
