@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import archives, bpe, nearest
 from tessera.llm.batches import table
+from tessera.session import scratch_path
+
+
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = archives.archive_pages(table(spark, folder, "pages"), scratch_path(spark, "archives"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,8 +21,17 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"), every=100)
+
+
 QUERIES = {
+    "op3_warc": op3_warc,
     "op7_bpe": op7_bpe,
+    "op10_nearest": op10_nearest,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_warc": archives.SQL,
+    "op10_nearest": nearest.SQL,
+}
