@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, nearest
+from tessera.llm import archives, bpe, language, nearest
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -14,6 +14,10 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(table(spark, folder, "documents"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,6 +31,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_warc": op3_warc,
+    "op5_language": op5_language,
     "op7_bpe": op7_bpe,
     "op10_nearest": op10_nearest,
 }
