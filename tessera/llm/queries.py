@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, language, nearest
+from tessera.llm import archives, bpe, language, nearest, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -25,6 +25,10 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"), every=100)
 
@@ -33,6 +37,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op5_language": op5_language,
     "op7_bpe": op7_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_nearest": op10_nearest,
 }
 
