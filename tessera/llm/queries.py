@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, language, nearest, toxicity
+from tessera.llm import archives, bpe, language, nearest, pages, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
 
+def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(table(spark, folder, "pages"))
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = archives.archive_pages(table(spark, folder, "pages"), scratch_path(spark, "archives"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -34,6 +38,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pages": op2_pages,
     "op3_warc": op3_warc,
     "op5_language": op5_language,
     "op7_bpe": op7_bpe,
