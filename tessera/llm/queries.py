@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, language, nearest, pages, toxicity
+from tessera.llm import archives, bpe, language, nearest, pages, simhash, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.linked(table(spark, folder, "documents"))
+
+
 def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extracted(table(spark, folder, "pages"))
 
@@ -38,6 +42,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_pages": op2_pages,
     "op3_warc": op3_warc,
     "op5_language": op5_language,
