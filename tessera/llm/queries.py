@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, language, nearest, pages, simhash, toxicity
+from tessera.llm import archives, bpe, language, nearest, pages, repeats, simhash, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -33,6 +33,10 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.removed_words(table(spark, folder, "documents")))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op5_language": op5_language,
     "op7_bpe": op7_bpe,
+    "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_nearest": op10_nearest,
 }
