@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, language, nearest, pages, repeats, simhash, toxicity
+from tessera.llm import archives, bpe, decontaminate, language, nearest, pages, repeats, simhash, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -26,6 +26,10 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(table(spark, folder, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_pages": op2_pages,
     "op3_warc": op3_warc,
     "op5_language": op5_language,
+    "op6_decontaminate": op6_decontaminate,
     "op7_bpe": op7_bpe,
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
