@@ -29,7 +29,9 @@ from tessera.session import scratch_path
 
 WINDOW = 50
 #: Stretches that meet in one bucket, on average.
-BUCKET = 3_000_000
+BUCKET = 1_000_000
+#: Bytes of text that a task hashes at a time.
+TEXT = 2 << 20
 #: Bytes a word with its space takes, at least; with it the text's size bounds its words.
 WORD_BYTES = 5
 #: A stretch that a task has in more documents than this is sent once for all of them.
@@ -199,7 +201,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", te
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolls = [Rolling(BASES[0])]
-        for part in slices(batches):
+        for part in slices(batches, TEXT):
             words = Slice(part.column(0).to_pylist(), part.column(1).to_pylist())
             at, (hashes,) = words.stretches(block, rolls)
             doc = words.doc[at]
@@ -232,7 +234,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", te
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolls = [Rolling(base) for base in BASES]
-        for part in slices(batches):
+        for part in slices(batches, TEXT):
             words = Slice(part.column(0).to_pylist(), part.column(1).to_pylist())
             # A hit at any place of a document is one at every place with the same stretch.
             near = np.zeros(len(words.doc) + 1, np.int64)
@@ -268,7 +270,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", te
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolls = [Rolling(base) for base in BASES]
-        for part in slices(batches):
+        for part in slices(batches, TEXT):
             blobs = part.column(2).to_pylist()
             out: list[tuple] = []
             if any(blobs):
