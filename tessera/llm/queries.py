@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, decontaminate, language, nearest, pages, repeats, simhash, toxicity
+from tessera.llm import archives, bpe, decontaminate, language, nearest, pages, repeats, simhash, surrogates, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
+#: The key of the surrogates. A deployment passes its own secret to ``surrogates.replaced``.
+SURROGATE_KEY = "tessera"
+
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.linked(table(spark, folder, "documents"))
@@ -22,6 +25,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its new text and the number of mentions replaced."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, SURROGATE_KEY, count="n_mentions")
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(table(spark, folder, "documents"))
 
@@ -53,6 +62,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pages": op2_pages,
     "op3_warc": op3_warc,
+    "op4_surrogates": op4_surrogates,
     "op5_language": op5_language,
     "op6_decontaminate": op6_decontaminate,
     "op7_bpe": op7_bpe,

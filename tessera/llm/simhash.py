@@ -105,39 +105,52 @@ def block_keys(fp: Column, radius: int, bits: int = 64, levels: int = 2) -> Colu
 class Tree:
     """A BK-tree over integers whose bits count."""
 
-    def __init__(self, radius: int):
-        self.radius, self.nodes, self.children = radius, [], []
-
-    def add(self, value: int) -> list[int]:
-        """Put a value in; gives the numbers of the earlier values within the radius."""
-        number, near = len(self.nodes), []
-        self.nodes.append(value)
-        self.children.append({})
-        if not number:
-            return near
-        nodes, children, radius, todo = self.nodes, self.children, self.radius, [0]
+    def __init__(self) -> None:
+        self.nodes: list[int] = []
+        self.children: list[dict[int, int]] = []
+
+    def near(self, value: int, radius: int) -> list[tuple[int, int]]:
+        """Numbers and distances of the values within the radius."""
+        nodes, children, found = self.nodes, self.children, []
+        todo = [0] if nodes else []
         while todo:
             at = todo.pop()
             apart = (nodes[at] ^ value).bit_count()
             if apart <= radius:
-                near.append(at)
+                found.append((at, apart))
             below = children[at]
             if len(below) <= 2 * radius:
                 todo += [child for edge, child in below.items() if apart - radius <= edge <= apart + radius]
             else:
                 todo += [below[edge] for edge in range(apart - radius, apart + radius + 1) if edge in below]
-        at = 0
-        while True:
-            apart = (nodes[at] ^ value).bit_count()
-            if apart not in children[at]:
-                children[at][apart] = number
-                return near
-            at = children[at][apart]
+        return found
 
-
-def grouped(values: list[int], radius: int) -> list[int]:
-    """For each value the number of the first value of its group, where links within the radius join groups."""
-    tree, root = Tree(radius), list(range(len(values)))
+    def add(self, value: int) -> int:
+        """Put a value in; gives its number."""
+        self.nodes.append(value)
+        self.children.append({})
+        number, at = len(self.nodes) - 1, 0
+        while number:
+            apart = (self.nodes[at] ^ value).bit_count()
+            if apart not in self.children[at]:
+                self.children[at][apart] = number
+                break
+            at = self.children[at][apart]
+        return number
+
+
+def links(values: list[int], radius: int) -> list[tuple[int, int]]:
+    """Pairs of numbers of values within the radius of each other that join all such values to groups.
+
+    The tree holds leaders only; a value within the radius of a leader becomes its member. Two values
+    within the radius have their leaders within twice that of each other's, so a query looks that far
+    and goes through the members of a leader only while it is of another group. In a dense
+    group nearly all values find themselves in one group at once, without comparing all pairs.
+    """
+    tree, root = Tree(), list(range(len(values)))
+    leaders: list[int] = []
+    members: list[list[int]] = []
+    found: list[tuple[int, int]] = []
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -145,15 +158,33 @@ def grouped(values: list[int], radius: int) -> list[int]:
             i = root[i]
         return i
 
-    for i, value in enumerate(values):
-        for j in tree.add(value):
-            a, b = find(i), find(j)
+    def join(i: int, j: int) -> None:
+        a, b = find(i), find(j)
+        if a != b:
             root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(values))]
+            found.append((i, j))
+
+    for i, value in enumerate(values):
+        around = sorted(tree.near(value, 2 * radius), key=lambda x: x[1])
+        for at, apart in around:
+            if apart <= radius:
+                join(i, leaders[at])
+        for at, apart in around:
+            if apart > radius and find(i) != find(leaders[at]):
+                near = next((j for j in members[at] if (values[j] ^ value).bit_count() <= radius), None)
+                if near is not None:
+                    join(i, near)
+        if around and around[0][1] <= radius:
+            members[around[0][0]].append(i)
+        else:
+            tree.add(value)
+            leaders.append(i)
+            members.append([])
+    return found
 
 
 def shard_edges(rows: DataFrame, radius: int) -> DataFrame:
-    """Edges ``u, v`` between nodes from ``shard, node, fp`` (binary), by one tree for each shard."""
+    """Links ``u, v`` that join the nodes of ``shard, node, fp`` (binary) to groups, by one tree for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -167,10 +198,9 @@ def shard_edges(rows: DataFrame, radius: int) -> DataFrame:
                 first, last = int(starts[at]), int(starts[at + 1])
                 values = [int.from_bytes(b, "little") for b in fps.slice(first, last - first).to_pylist()]
                 mine = nodes[first:last]
-                for i, j in enumerate(grouped(values, radius)):
-                    if i != j:
-                        us.append(mine[i])
-                        vs.append(mine[j])
+                for i, j in links(values, radius):
+                    us.append(mine[i])
+                    vs.append(mine[j])
             return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
         for batch in batches:
@@ -246,3 +276,72 @@ def linked(docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_i
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -- a wider fingerprint for a lower similarity -----------------------------------------------------
+
+#: 64-bit words of a wide fingerprint, its radius, and the words of a shingle. Texts whose sets of
+#: five-word shingles have a Jaccard similarity of 0.8 differ in about 39 of 256 bits, give or take 5.
+WIDE, WIDE_RADIUS, WIDE_SHINGLE = 4, 48, 5
+#: Bits of a shard key, and how many of them, those nearest to changing, are also taken the other way.
+KEY_BITS, UNSURE = 24, 3
+#: The fingerprint of few shingles says little: links of texts with at most ``FEW`` different ones are
+#: held against the similarity itself. Sets of a quarter more are kept, as only those can be similar.
+FEW, SIMILAR = 128, 0.8
+
+
+def probe_keys(margin: np.ndarray) -> np.ndarray:
+    """Shard keys of a wide fingerprint: each run of ``KEY_BITS`` bits, with its least sure bits both ways.
+
+    Similar texts differ in the bits whose margins are small; both sides try these, so a shared key
+    needs the other bits of one run to agree and those that differ to be among the unsure ones.
+    """
+    tables = len(margin) // KEY_BITS
+    runs = margin[: tables * KEY_BITS].reshape(tables, KEY_BITS)
+    value = ((runs > 0) << np.arange(KEY_BITS)).sum(axis=1)
+    flips = 1 << np.argsort(np.abs(runs), axis=1, kind="stable")[:, :UNSURE]
+    chosen = np.array([[n >> i & 1 for i in range(UNSURE)] for n in range(1 << UNSURE)])
+    keys = value[:, None] ^ (flips @ chosen.T)
+    return (keys | np.arange(tables)[:, None] << KEY_BITS).ravel().astype(np.int32)
+
+
+def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, without those whose text nearly equals that of a smaller key.
+
+    Groups are the components of links between wide fingerprints within ``WIDE_RADIUS`` bits, of which
+    those of short texts must have a Jaccard similarity of ``SIMILAR``; the smallest key of each stays, with all rows that have it. Rows with a null key stay. Texts without
+    words form one group.
+    """
+    spark = docs.sparkSession
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            hashed = [hashes(t, WIDE_SHINGLE) for t in part.column(1).to_pylist()]
+            marks = [margins(h, WIDE) for h in hashed]
+            few = [np.unique(h).view(np.int64) for h in hashed]
+            sets = pa.array([h if len(h) <= FEW / SIMILAR else None for h in few], pa.list_(pa.int64()))
+            fps = pa.array([packed(m > 0).tobytes() for m in marks], pa.binary())
+            keys = pa.array([probe_keys(m) for m in marks], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), fps, keys, sets], names=["key", "fp", "keys", "few"])
+
+    path = scratch_path(spark, "fingerprints")
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows.mapInArrow(run, f"key {kind}, fp binary, keys array<int>, few array<long>").withColumn("node", F.xxhash64("fp")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    nodes = rows.groupBy("node", "fp").agg(F.min("keys").alias("keys"))
+    shards = nodes.select(F.explode(F.col("keys").cast("array<long>")).alias("shard"), "node", "fp")
+    edges = shard_edges(shards, WIDE_RADIUS).distinct()
+    sets = rows.where("few is not null").groupBy("node").agg(F.min("few").alias("few"))
+    for end in ("u", "v"):
+        edges = edges.join(sets.select(F.col("node").alias(end), F.col("few").alias(f"few_{end}")), end, "left")
+    shared, sizes = F.size(F.array_intersect("few_u", "few_v")), F.size("few_u") + F.size("few_v")
+    least = F.least(F.size("few_u"), F.size("few_v"))
+    both = F.col("few_u").isNotNull() & F.col("few_v").isNotNull()
+    alone = F.size(F.coalesce("few_u", "few_v")) > FEW
+    true = F.when(both & (least <= FEW), shared >= SIMILAR * (sizes - shared)).when(F.coalesce("few_u", "few_v").isNotNull() & ~both, alone)
+    found = components(edges.where(F.coalesce(true, F.lit(True))).select("u", "v"))
+    rooted = rows.select("key", "node").join(found, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("root", "first")
+    gone = rooted.join(first, "root").where("key > first").select(F.col("key").alias("gone"))
+    return docs.join(gone.distinct(), F.col(key) == F.col("gone"), "left_anti")
