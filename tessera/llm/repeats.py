@@ -144,22 +144,41 @@ def answers(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def places_of(blobs: list[bytes] | None) -> np.ndarray:
-    return np.concatenate([np.cumsum(unplaned(b, np.uint32), dtype=np.uint32) for b in blobs]) if blobs else np.zeros(0, np.uint32)
+def places_of(blob: bytes | None) -> np.ndarray:
+    return np.cumsum(unplaned(blob, np.uint32), dtype=np.uint32) if blob else np.zeros(0, np.uint32)
 
 
 LOCAL = -1  # the bucket of what a task has decided by itself
 
 
 def met(sent: DataFrame, buckets: int, kind: type, decide) -> DataFrame:
-    """Bring the rows of a bucket together; ``decide`` picks the entries to tell their documents about."""
+    """Bring the rows of a bucket together; ``decide`` picks the entries to tell their documents about.
+
+    Answers travel packed too, a row for each bucket and group of documents, and become one row per
+    document where they arrive.
+    """
+
+    def told(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+        mixed = docs.view(np.uint64) * np.uint64(BASES[0])
+        group = ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((places, docs, group))
+        group, docs, places = group[order], docs[order], places[order]
+        cuts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        ends = [*cuts[1:], len(group)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(group[cuts], pa.int32()),
+                *(pa.array([planes(x[a:b]) for a, b in zip(cuts, ends)], pa.binary()) for x in (docs, places)),
+            ],
+            names=["bucket", "docs", "places"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] < 0:
-                    yield answers(unplaned(row[2], np.int64), unplaned(row[3], np.uint32))
+                    yield told(unplaned(row[2], np.int64), unplaned(row[3], np.uint32))
                 else:
                     held.setdefault(row[0], []).append(row)
         for bucket in sorted(held):
@@ -167,10 +186,16 @@ def met(sent: DataFrame, buckets: int, kind: type, decide) -> DataFrame:
             order = np.lexsort((docs, hashes))
             hashes, docs, places, marks = (x[order] for x in (hashes, docs, places, marks))
             pick = decide(*runs(hashes), docs, marks)
-            yield answers(docs[pick], places[pick])
+            yield told(docs[pick], places[pick])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(unplaned(d, np.int64), unplaned(p, np.uint32)) for batch in batches for d, p in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+        if held:
+            yield answers(*(np.concatenate(x) for x in zip(*held)))
 
     spread = F.when(F.col("bucket") < 0, F.xxhash64("docs")).otherwise(F.col("bucket").cast("long"))
-    return sent.repartition(buckets, spread).mapInArrow(run, "doc long, places binary").groupBy("doc").agg(F.collect_list("places").alias("places"))
+    packs = sent.repartition(buckets, spread).mapInArrow(run, "bucket int, docs binary, places binary")
+    return packs.repartition(buckets, "bucket").mapInArrow(gather, "doc long, places binary")
 
 
 def shared_block(starts: np.ndarray, run: np.ndarray, docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -303,7 +328,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", te
     asked = held.join(hits, F.col("doc") == F.col("hit")).select("doc", "text", "places")
     gone = met(asked.mapInArrow(windows, PACKED), buckets, np.uint64, seen_before).withColumnRenamed("doc", "hit")
     named = held.join(gone, F.col("doc") == F.col("hit"), "left").select("doc", "text", "places")
-    unnamed = rows.where("doc is null").select("doc", "text", F.lit(None).cast("array<binary>").alias("places"))
+    unnamed = rows.where("doc is null").select("doc", "text", F.lit(None).cast("binary").alias("places"))
     schema = "doc long, n_words long, n_removed long, kept string"
     found = named.mapInArrow(kept, schema).unionByName(unnamed.mapInArrow(kept, schema))
     return found.withColumnRenamed("doc", key)
