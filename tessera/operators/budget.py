@@ -18,10 +18,13 @@ def tokens_per_step(
 
 def corpus_report(
     counted: DataFrame, by: Sequence[str], n_tokens: str = "n_tokens", max_seq_len: int = MAX_SEQ_LEN,
-    batch_size: int = BATCH_SIZE, accumulation: int = ACCUMULATION_STEPS,
+    batch_size: int = BATCH_SIZE, accumulation: int = ACCUMULATION_STEPS, n_targets: str = "n_targets",
 ) -> DataFrame:
     """Per group: documents, tokens before and after the cut, padding, next-token targets,
-    truncated documents, full batches and steps, and the token slots those steps take."""
+    truncated documents, full batches and steps, and the token slots those steps take.
+
+    ``n_targets`` counts the supervised targets of a document or conversation, from its labels.
+    """
     tokens = F.col(n_tokens)
     kept = F.least(tokens, F.lit(max_seq_len))
     sums = counted.groupBy(*by).agg(
@@ -29,7 +32,7 @@ def corpus_report(
         F.sum(tokens).alias("raw_tokens"),
         F.sum(kept).alias("kept_tokens"),
         F.sum(max_seq_len - kept).alias("pad_tokens"),
-        F.sum(F.greatest(kept - 1, F.lit(0))).alias("targets"),
+        F.sum(n_targets).alias("targets"),
         F.count_if(tokens > max_seq_len).alias("truncated"),
     )
     batches = F.floor(F.col("n_docs") / batch_size)

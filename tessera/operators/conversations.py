@@ -37,16 +37,14 @@ def _messages(order: str, role: str, content: str) -> Column:
 
 def assemble(
     turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
-    content: str = "text", block: int = MAX_MESSAGES,
+    content: str = "text",
 ) -> DataFrame:
-    """(key, part, messages): turn numbers cut into blocks of ``block``.
+    """(key, turns, messages): every conversation as one row, with the numbers of its turns.
 
-    A conversation of ordinary length is one row with part 0. One of any length is several rows,
-    each bounded, so nothing is left out and no task has to hold it whole. (key, order) must be
-    unique.
+    A message list is one value, so a conversation must fit a task. (key, order) must be unique.
     """
-    return turns.groupBy(key, F.floor(F.col(order) / block).alias("part")).agg(
-        _messages(order, role, content).alias("messages")
+    return turns.groupBy(key).agg(
+        F.array_sort(F.collect_list(order)).alias("turns"), _messages(order, role, content).alias("messages")
     )
 
 
@@ -68,30 +66,34 @@ def heads(
 
 
 def flatten_messages(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
-    """The inverse of ``assemble`` for whole conversations: one row per turn."""
-    return conversations.select(key, F.posexplode("messages").alias("turn", "m")).select(
-        key, F.col("turn").cast("bigint").alias("turn"), "m.role", F.col("m.content").alias("text")
-    )
+    """The inverse of ``assemble``: one row per turn, with its own number. Message lists without
+    ``turns`` are numbered from 0."""
+    kept = ["turns"] if "turns" in conversations.columns else []
+    spread = conversations.select(key, *kept, F.posexplode("messages").alias("pos", "m"))
+    number = F.get(F.col("turns"), F.col("pos")) if kept else F.col("pos")
+    return spread.select(key, number.cast("bigint").alias("turn"), "m.role", F.col("m.content").alias("text"))
 
 
 def chat_prompts(
     turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
-    content: str = "text", block: int = MAX_MESSAGES,
+    content: str = "text",
+) -> DataFrame:
+    """(key, prompt): the chat markup of every conversation, the assistant turn opened at its end."""
+    prompt = F.concat(format_turns(F.col("messages")), F.lit(ASSISTANT_OPENER))
+    return assemble(turns, key, order, role, content).select(key, prompt.alias("prompt"))
+
+
+def asked_turns(
+    turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role"
 ) -> DataFrame:
-    """(key, part, prompt): the chat markup of every conversation, the assistant turn opened at
-    the end of its last part."""
-    parts = assemble(turns, key, order, role, content, block)
-    last = turns.groupBy(key).agg(F.floor(F.max(order) / block).alias("part"))
+    """The turns a model is asked with: those up to the last question, system turns left out.
+
+    The last question is an aggregate, so no conversation is gathered for it."""
+    last = turns.where(F.col(role) == "user").groupBy(key).agg(F.max(order).alias("_last"))
     return (
-        parts.join(last.withColumn("_last", F.lit(True)), [key, "part"], "left")
-        .select(
-            key,
-            "part",
-            F.concat(
-                format_turns(F.col("messages")),
-                F.when(F.col("_last"), F.lit(ASSISTANT_OPENER)).otherwise(F.lit("")),
-            ).alias("prompt"),
-        )
+        turns.join(last, key)
+        .where((F.col(order) <= F.col("_last")) & (F.col(role) != "system"))
+        .drop("_last")
     )
 
 
@@ -152,7 +154,8 @@ def validate_conversations(
     turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
     content: str = "text",
 ) -> DataFrame:
-    """(key, n_messages, messages, error_code, error) for every conversation.
+    """(key, n_messages, messages, error_code, error) for every conversation; ``messages`` is NULL
+    where it is rejected.
 
     One turn more than the limit is enough to know a conversation is too long.
     """
@@ -160,7 +163,7 @@ def validate_conversations(
         "_e", messages_error(F.col("messages"), F.col("n_messages"))
     )
     return checked.select(
-        key, "n_messages", "messages", F.col("_e.code").alias("error_code"), F.col("_e.text").alias("error")
+        key, "n_messages", F.when(F.col("_e").isNull(), F.col("messages")).alias("messages"), F.col("_e.code").alias("error_code"), F.col("_e.text").alias("error")
     )
 
 

@@ -38,8 +38,9 @@ def chat_examples(
     turns: DataFrame, vocab: Vocabulary | None = None, max_seq_len: int = MAX_SEQ_LEN,
     key: str = "conv_id", order: str = "turn", role: str = "role", content: str = "text",
 ) -> DataFrame:
-    """(key, input_ids, labels, kept_ids, truncated): every assistant turn and the stop token after
-    it is supervised, all else is ignored.
+    """(key, input_ids, labels, kept_ids, truncated, error): every assistant turn and the stop token
+    after it is supervised, all else is ignored. A conversation with a NULL role or text among the
+    turns looked at is no example: ``error`` is ``null_turn`` and the other columns are NULL.
 
     Turns that start at or behind ``max_seq_len`` cannot show in the example. Because each turn
     has a least number of tokens, only so many leading turns are encoded, and only those that start
@@ -48,24 +49,23 @@ def chat_examples(
     vocab = vocab or Vocabulary()
     needed = max_seq_len // (MIN_TURN_WORDS if vocab.merges else MIN_TURN_BYTES) + 1
     leading = first_rows(turns.select(key, order, role, content), [key], [order], needed)
-    supervised = F.col(role) == "assistant"
+    broken = F.col(role).isNull() | F.col(content).isNull()
+    supervised = F.coalesce(F.col(role) == "assistant", F.lit(False))
     ids = encode_ids(format_turn(F.col(role), F.col(content)), vocab, turns.sparkSession)
     encoded = (
         leading.withColumn("_turn", ids)
         .withColumn(
             "_ids", F.when(supervised, F.array_append("_turn", F.lit(PAD_ID))).otherwise(F.col("_turn"))
         )
-        .withColumn("_n", F.size("_ids"))
+        .withColumn("_n", F.coalesce(F.size("_ids"), F.lit(0)))
+        .withColumn("_broken", broken)
     )
     before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    kept = (
-        encoded.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .where(F.col("_start") < max_seq_len)
-        .withColumn("_ids", F.slice("_ids", 1, max_seq_len))
-    )
-    parts = F.array_sort(
-        F.collect_list(F.struct(F.col("_start"), F.col("_ids"), supervised.alias("_supervised")))
-    )
+    placed = encoded.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    placed = placed.withColumn("_ids", F.slice("_ids", 1, max_seq_len))
+    # A turn behind the limit shows in the total, not in the example.
+    part = F.struct(F.col("_start"), F.col("_ids"), supervised.alias("_supervised"))
+    parts = F.array_sort(F.collect_list(F.when(F.col("_start") < max_seq_len, part)))
     ignored = F.lit(IGNORE_INDEX)
 
     def part_labels(part: Column) -> Column:
@@ -73,11 +73,18 @@ def chat_examples(
         return F.when(part["_supervised"], part["_ids"]).otherwise(masked)
 
     return (
-        kept.groupBy(key)
-        .agg(parts.alias("_parts"), F.max(F.col("_start") + F.col("_n")).alias("_total"))
+        placed.groupBy(key)
+        .agg(
+            parts.alias("_parts"),
+            F.max(F.col("_start") + F.col("_n")).alias("_total"),
+            F.bool_or("_broken").alias("_broken"),
+        )
+        .withColumn("_parts", F.when(~F.col("_broken"), F.col("_parts")))
+        .withColumn("_total", F.when(~F.col("_broken"), F.col("_total")))
         .select(
             key,
             "_total",
+            "_broken",
             F.flatten(F.transform("_parts", lambda p: p["_ids"])).alias("_ids"),
             F.flatten(F.transform("_parts", part_labels)).alias("_labels"),
         )
@@ -87,6 +94,7 @@ def chat_examples(
             fit_length(F.col("_labels"), max_seq_len, IGNORE_INDEX).alias("labels"),
             F.least("_total", F.lit(max_seq_len)).cast("int").alias("kept_ids"),
             (F.col("_total") > max_seq_len).alias("truncated"),
+            F.when(F.col("_broken"), F.lit("null_turn")).alias("error"),
         )
     )
 

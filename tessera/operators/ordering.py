@@ -25,8 +25,6 @@ from tessera.fixed_values import (
 
 # 16 ** 4 buckets: 65,536 counts at most, whatever the table's size.
 BUCKET_DIGITS = 4
-# Largest set of text digests that is broadcast (32 bytes of digest each).
-MAX_BROADCAST_DIGESTS = 1_000_000
 
 
 def order_key(key: str | Column, seed: int = SEED) -> Column:
@@ -105,11 +103,19 @@ def _after(df: DataFrame, key: str, *places: int, seed: int = SEED) -> list[Colu
     real = sorted({n for n in places if n > 0})
     if not real:
         return [F.lit(True) for _ in places]
-    cut = cuts_at(df, key, *real, seed=seed).select(F.struct("*")).scalar()
+    # One row, taken to the driver once: every split made from it is then a plain filter.
+    cut = cuts_at(df, key, *real, seed=seed).first()
     here = F.struct(order_key(key, seed).alias("_k"), F.col(key).alias("_key"))
-    return [
-        F.coalesce(here > cut[f"at_{n}"], F.lit(False)) if n > 0 else F.lit(True) for n in places
-    ]
+
+    def behind(n: int) -> Column:
+        if n <= 0:
+            return F.lit(True)
+        at = cut[f"at_{n}"]
+        if at is None:
+            return F.lit(False)
+        return F.coalesce(here > F.struct(F.lit(at["_k"]).alias("_k"), F.lit(at["_key"]).alias("_key")), F.lit(False))
+
+    return [behind(n) for n in places]
 
 
 def holdout_split(
@@ -140,18 +146,13 @@ def native_val(df: DataFrame, key: str, n: int = VAL_EXAMPLES) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def split_leakage(
-    train: DataFrame, val: DataFrame, text: str = "text", max_val_rows: int | None = None
-) -> DataFrame:
+def split_leakage(train: DataFrame, val: DataFrame, text: str = "text") -> DataFrame:
     """Training rows whose text also occurs in validation.
 
-    ``max_val_rows`` is a bound on ``val`` the caller can prove (the holdout size); within the
-    broadcast limit the training side is then filtered in place, without a shuffle. Otherwise the
-    digests are joined, which needs the shuffle but carries only keys of 32 bytes.
+    The digests of the validation texts are joined; Spark sends them to the training rows when it
+    finds them small enough.
     """
     digests = val.select(F.sha2(text, 256).alias("_sha")).distinct()
-    if max_val_rows is not None and max_val_rows <= MAX_BROADCAST_DIGESTS:
-        digests = F.broadcast(digests)
     return train.withColumn("_sha", F.sha2(text, 256)).join(digests, "_sha", "left_semi").drop("_sha")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import logging
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -35,6 +36,9 @@ Completer = Callable[[list[list[int]], int], list[list[int]]]
 # Given the request text, the judge's raw answer; raises on transport errors.
 Judge = Callable[[str], "str | None"]
 
+# Calls to a judge between two commits, on average.
+ROWS_PER_COMMIT = 10_000
+
 VERDICTS_SCHEMA = "status string, verdict string, content string, attempts int"
 
 
@@ -143,16 +147,21 @@ def judge_stage(
 def judge_pairs(
     pairs: DataFrame, judge_factory: Callable[[], Judge], ledger: str, key: str = "key",
     max_attempts: int = JUDGE_MAX_ATTEMPTS, retry_seconds: float = JUDGE_RETRY_SECONDS,
-    concurrency: int | None = None, commits: int = 1,
+    concurrency: int | None = None, rows_per_commit: int = ROWS_PER_COMMIT,
 ) -> DataFrame:
     """Judge (key, prompt, completion_a, completion_b) in both orders; see ``decide``.
 
     Degenerate pairs are never asked about, and the swapped order only where the forward order
     gave a verdict. Both orders are kept in tables below ``ledger``, so an interrupted run goes on
     where it stopped. ``concurrency`` bounds the number of calls at a time. Each stage is written
-    in ``commits`` equal parts: what an interruption can lose is one part.
+    in parts of about ``rows_per_commit`` rows: what an interruption can lose is one part. The pairs
+    are written first, so both orders and the result see the same ones, even where a plan that
+    calls a model made them.
     """
     spark = pairs.sparkSession
+    path = f"{ledger}/pairs-{uuid.uuid4().hex}"
+    pairs.write.parquet(path)
+    pairs = spark.read.schema(pairs.schema).parquet(path)
     a, b = F.col("completion_a"), F.col("completion_b")
     askable = pairs.where(~is_degenerate(a, b))
 
@@ -161,6 +170,8 @@ def judge_pairs(
         requests = pending(todo, path, key).select(
             key, judge_request(F.col("prompt"), first, second).alias("request")
         )
+        commits = -(-requests.count() // rows_per_commit)
+        verdicts = judge_stage(requests, judge_factory, key, max_attempts, retry_seconds)
         for part in range(commits):
             share = requests.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
             if concurrency is not None:
@@ -226,6 +237,7 @@ def judge_summary(judged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("kept")).alias("kept"),
         *(F.count_if(reason == name).alias(name) for name in DISCARD_REASONS),
+        F.count_if(reason == "not_judged").alias("not_judged"),
         F.avg("length_ratio").alias("mean_length_ratio"),
     )
 

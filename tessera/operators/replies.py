@@ -5,35 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.fixed_values import MAX_NEW_TOKENS_CEILING
-
 
 def assemble_replies(
-    chunks: DataFrame, key: str = "request_id", order: str = "seq",
-    block: int = 2 * MAX_NEW_TOKENS_CEILING,
+    chunks: DataFrame, key: str = "request_id", order: str = "seq"
 ) -> DataFrame:
-    """(key, part, reply, status) from chunks (key, seq, token, done, error).
+    """(key, reply, status) from chunks (key, seq, token, done, error): one row per request.
 
-    A reply within the token ceiling is one row. Chunk numbers beyond ``block`` open further
-    parts, so a runaway request stays whole without being gathered in one task. The status stands
-    on the last part: ok, error or incomplete; earlier parts say continued.
+    The status is ok, error or incomplete. A reply is one value, so it must fit a task.
     """
-    part = F.floor(F.col(order) / block).alias("part")
     tokens = F.array_sort(
         F.collect_list(
             F.when(F.col("token").isNotNull(), F.struct(F.col(order).alias("o"), "token"))
         )
     )
-    texts = chunks.groupBy(key, part).agg(
-        F.array_join(F.transform(tokens, lambda t: t["token"]), "").alias("reply")
-    )
-    ends = chunks.groupBy(key).agg(
-        F.floor(F.max(order) / block).alias("part"),
+    return chunks.groupBy(key).agg(
+        F.array_join(F.transform(tokens, lambda t: t["token"]), "").alias("reply"),
         F.when(F.max("error").isNotNull(), F.lit("error"))
         .when(F.bool_or(F.coalesce("done", F.lit(False))), F.lit("ok"))
         .otherwise(F.lit("incomplete"))
-        .alias("_status"),
-    )
-    return texts.join(ends, [key, "part"], "left").select(
-        key, "part", "reply", F.coalesce("_status", F.lit("continued")).alias("status")
+        .alias("status"),
     )

@@ -51,7 +51,11 @@ def _number(body: Column, name: str, default: float, whole: bool) -> Column:
     target = "bigint" if whole else "double"
     shape = _INT_TEXT if whole else _FLOAT_TEXT
     digits = F.replace(F.regexp_replace(text, r"^\s+|\s+$", ""), F.lit("_"), F.lit(""))
-    from_text = F.when(F.rlike(text, F.lit(shape)), digits.try_cast(target))
+    parsed = digits.try_cast(target)
+    if whole:  # an integer has no largest value; what 64 bits cannot hold becomes their end
+        end = F.when(F.startswith(digits, F.lit("-")), F.lit(-(1 << 63))).otherwise(F.lit((1 << 63) - 1))
+        parsed = F.coalesce(parsed, end)
+    from_text = F.when(F.rlike(text, F.lit(shape)), parsed)
     number = F.try_variant_get(raw, "$", "double")
     from_number = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)) if whole else number
     exact = F.try_variant_get(raw, "$", "bigint")

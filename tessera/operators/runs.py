@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.fixed_values import EVAL_INTERVAL
 from tessera.operators.skew import join_one_per_key
+from tessera.session import scratch_path
 
 
 def run_summary(log: DataFrame, run: str = "run") -> DataFrame:
@@ -28,11 +29,15 @@ def flat_tail(log: DataFrame, run: str = "run", window: int = EVAL_INTERVAL) ->
     log: the bounds of such runs are broadcast to their rows, and losses are picked map-side.
     """
     losses = log.where(F.col("val_loss").isNotNull()).select(run, "step", "val_loss")
+    # One row per run, used four times below: written, so that the log is read for it only once.
     bounds = losses.groupBy(run).agg(
         F.min("step").alias("first_step"),
         F.max("step").alias("last_step"),
         F.count(F.lit(1)).alias("_rows"),
     )
+    path = scratch_path(log.sparkSession, "bounds")
+    bounds.write.parquet(path)
+    bounds = log.sparkSession.read.schema(bounds.schema).parquet(path)
     step = F.col("step")
     placed = join_one_per_key(losses, bounds, [run], "_rows")
 

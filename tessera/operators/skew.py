@@ -53,10 +53,3 @@ def join_one_per_key(
     return rows.join(heavy, list(keys)).unionByName(
         light.join(per_key.where(~is_heavy), list(keys))
     )
-
-
-def widen(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has cores, for work that is heavy
-    per row. A large table has more and is left as it is, without a shuffle."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

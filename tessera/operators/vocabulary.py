@@ -8,22 +8,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import BASE_VOCAB_SIZE, PAD_TOKEN, UNK_TOKEN, VOCAB_SIZE
 from tessera.functions.bytes import byte_order, byte_tokens
 from tessera.functions.words import split_words
-from tessera.session import checkpointed
+from tessera.session import checkpointed, path_exists
 
 # Most and fewest pairs looked at per round; a round merges as many of them as is provably in
 # order, and the next one looks at four times as many, or half as many as it did.
 CANDIDATES = 1024
 FEWEST_CANDIDATES = 64
-# Distinct words per partition of the word table, and the most tasks per core.
+# Distinct words per partition of the word table.
 WORDS_PER_PARTITION = 10_000
-WAVES = 4
 # Rounds between two checkpoints of the word table.
 CHECKPOINT_ROUNDS = 8
 
@@ -265,12 +263,13 @@ def train_vocabulary(
     symbols_of = base_symbols()
     known = {s: i for i, s in enumerate(symbols_of) if i > 1}
     merges: list[tuple[int, int, int]] = []
-    counted = word_symbols(words).where(F.size("ids") > 1).persist()
+    # A filter on the symbols would move below the count of words and turn every occurrence into
+    # symbols; the length of a word says the same. The counts are kept before the symbols are made.
+    counted = words.where(F.octet_length("word") > 1).persist()
     # Every round is heavy on the processor for the table's size, so it gets more partitions than
     # that size calls for.
-    most = WAVES * spark.sparkContext.defaultParallelism
-    parts = min(max(counted.count() // WORDS_PER_PARTITION, 1), most)
-    current = counted.repartition(parts).persist()
+    parts = max(counted.count() // WORDS_PER_PARTITION, 1)
+    current = word_symbols(counted.repartition(parts)).persist()
     stale = [counted]
     rounds = 0
     looked_at = min(FEWEST_CANDIDATES, candidates)
@@ -324,13 +323,10 @@ def save_vocabulary(spark: SparkSession, vocab: Vocabulary, path: str) -> None:
 
 def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary | None:
     """The saved vocabulary, or None when there is none at ``path``."""
-    try:
-        merges = spark.read.schema(MERGES_SCHEMA).parquet(f"{path}/merges")
-        symbols = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, f"{path}/merges"):
+        return None
+    merges = spark.read.schema(MERGES_SCHEMA).parquet(f"{path}/merges")
+    symbols = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab")
     return Vocabulary(
         tuple(tuple(r)[1:] for r in merges.orderBy("rank").collect()),
         [bytes(r["symbol"]) for r in symbols.orderBy("id").collect()],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.plans import chat, corpus, preferences, runs, scores
+from tessera.plans import chat, corpus, files, preferences, runs, scores
 
 ALL = {
     **chat.QUERIES,
@@ -10,6 +10,7 @@ ALL = {
     **preferences.QUERIES,
     **scores.QUERIES,
     **runs.QUERIES,
+    **files.QUERIES,
 }
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.fixed_values import DEFAULT_MAX_NEW_TOKENS, IGNORE_INDEX, MAX_SEQ_LEN
+from tessera.fixed_values import DEFAULT_MAX_NEW_TOKENS, IGNORE_INDEX, MAX_MESSAGES, MAX_SEQ_LEN
 from tessera.functions.chat import build_prompt, format_prompt, format_turn
 from tessera.functions.sequences import ids_digest, target_count
 from tessera.operators.conversations import (
+    asked_turns,
     assemble,
     chat_prompts,
     fit_context,
@@ -27,7 +28,6 @@ from tessera.plans.tables import (
     request_log,
     response_chunks,
     table,
-    without_trailing_answers,
 )
 
 CONTEXT = 1200
@@ -54,8 +54,12 @@ def sft_examples(spark: SparkSession, folder: str) -> DataFrame:
 
 def chat_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Chat examples put into full batches."""
-    batched = with_batches(chat_examples(_turns(spark, folder)), "conv_id", CHAT_BATCH)
-    return batched.select("conv_id", "batch_no", "slot", "kept_ids")
+    turns = _turns(spark, folder)
+    # Places need the keys alone; the examples are encoded once and join them.
+    batched = with_batches(turns.select("conv_id").distinct(), "conv_id", CHAT_BATCH)
+    return batched.join(chat_examples(turns).select("conv_id", "kept_ids"), "conv_id").select(
+        "conv_id", "batch_no", "slot", "kept_ids"
+    )
 
 
 def shift_targets(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,13 +80,12 @@ def turn_markups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chat_prompt(spark: SparkSession, folder: str) -> DataFrame:
-    # Three turns a part, so that the given short conversations have several.
-    return chat_prompts(_turns(spark, folder), block=3)
+    return chat_prompts(_turns(spark, folder))
 
 
 def round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Turns gathered into message arrays and spread out again."""
-    return flatten_messages(assemble(_turns(spark, folder)).drop("part"))
+    return flatten_messages(assemble(_turns(spark, folder)))
 
 
 def validated(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,10 +93,8 @@ def validated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fitted_context(spark: SparkSession, folder: str) -> DataFrame:
-    asked = heads(_turns(spark, folder), 51).select(
-        "conv_id", without_trailing_answers(F.col("messages")).alias("messages")
-    )
-    valid = asked.where(messages_error(F.col("messages")).isNull())
+    asked = heads(asked_turns(_turns(spark, folder)), MAX_MESSAGES + 1)
+    valid = asked.where(messages_error(F.col("messages"), F.col("n_messages")).isNull())
     counts = prompt_token_counts(F.col("messages"), Vocabulary(), spark)
     fit = fit_context(F.col("messages"), counts, F.lit(DEFAULT_MAX_NEW_TOKENS), CONTEXT)
     return valid.withColumn("_fit", fit).select(
@@ -120,7 +121,7 @@ def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replies(spark: SparkSession, folder: str) -> DataFrame:
-    return assemble_replies(response_chunks(spark, folder)).select("request_id", "part", "reply", "status")
+    return assemble_replies(response_chunks(spark, folder)).select("request_id", "reply", "status")
 
 
 _EXAMPLES = f"""
@@ -187,14 +188,14 @@ _FIT = f"""
 _OUTCOMES = f"""
     params(m, new_tokens, t, p, k, r, bad) AS (VALUES
         (0, 50, 1.0, 1.0, 0, 1.0, NULL),
-        (1, 10000, 1.0, 1.0, 0, 1.0, NULL),
-        (2, 50, -1.0, 1.0, 0, 1.0, NULL),
-        (3, 50, 0.005, 1.0, 0, 1.0, NULL),
-        (4, 50, 5.0, 1.5, 0, 1.0, NULL),
-        (5, 50, 1.0, 0.0, -5, 1.0, NULL),
-        (6, 50, 1.0, 1.0, 0, 10.0, NULL),
-        (7, 50, 1.0, 1.0, 40, 0.5, NULL),
-        (8, NULL, 1.0, 1.0, 0, 1.0, 'invalid literal for int() with base 10: ''abc'''),
+        (1, 7777, 1.0, 1.0, 0, 1.0, NULL),
+        (2, 50, -0.5, 1.0, 0, 1.0, NULL),
+        (3, 50, 0.004, 1.0, 0, 1.0, NULL),
+        (4, 50, 3.5, 1.25, 0, 1.0, NULL),
+        (5, 50, 1.0, 0.0, -2, 1.0, NULL),
+        (6, 50, 1.0, 1.0, 0, 6.0, NULL),
+        (7, 50, 1.0, 1.0, 33, 0.25, NULL),
+        (8, NULL, 1.0, 1.0, 0, 1.0, 'invalid literal for int() with base 10: ''many'''),
         (9, 50, NULL, 1.0, 0, 1.0, 'float() argument must be a string or a real number, not ''NoneType'''),
         (10, 64, 0.5, 1.0, 0, 1.0, NULL),
         (11, 10, 1.0, 0.5, 0, 1.0, NULL)
@@ -273,10 +274,8 @@ QUERIES = {
     ),
     "chat_prompt": (
         chat_prompt,
-        f"""WITH l AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) // 3 AS last FROM conversations)
-        SELECT conv_id, turn // 3 AS part, string_agg({turn_markup()}, '' ORDER BY turn)
-            || CASE WHEN turn // 3 = any_value(last) THEN '<|assistant|>' || chr(10) ELSE '' END AS prompt
-        FROM l GROUP BY conv_id, turn // 3""",
+        f"""SELECT conv_id, string_agg({turn_markup()}, '' ORDER BY turn) || '<|assistant|>' || chr(10) AS prompt
+        FROM conversations GROUP BY conv_id""",
     ),
     "conversation_round_trip": (round_trip, "SELECT conv_id, turn, role, text FROM conversations"),
     "validate_conversations": (
@@ -314,15 +313,9 @@ QUERIES = {
             SELECT request_id, i - 1 AS seq, CASE WHEN i > 1 THEN ' ' || words[i] ELSE words[i] END AS token
             FROM turns, unnest(range(1, len(words) + 1)) AS u(i)
         ),
-        ends AS (
-            SELECT request_id, CASE WHEN request_id % 5 = 1 THEN len(words) - 1 ELSE len(words) END // 1024 AS last FROM turns
-        ),
-        parts AS (
-            SELECT request_id, seq // 1024 AS part, string_agg(token, '' ORDER BY seq) AS reply FROM tokens GROUP BY ALL
-        )
-        SELECT e.request_id, coalesce(p.part, e.last) AS part, coalesce(reply, '') AS reply,
-            CASE WHEN p.part <> e.last THEN 'continued' WHEN e.request_id % 5 = 0 THEN 'error'
-                 WHEN e.request_id % 5 = 1 THEN 'incomplete' ELSE 'ok' END AS status
-        FROM ends e LEFT JOIN parts p ON p.request_id = e.request_id""",
+        joined AS (SELECT request_id, string_agg(token, '' ORDER BY seq) AS reply FROM tokens GROUP BY request_id)
+        SELECT t.request_id, coalesce(reply, '') AS reply,
+            CASE WHEN t.request_id % 5 = 0 THEN 'error' WHEN t.request_id % 5 = 1 THEN 'incomplete' ELSE 'ok' END AS status
+        FROM turns t LEFT JOIN joined j ON j.request_id = t.request_id""",
     ),
 }

@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import ACCUMULATION_STEPS, BATCH_SIZE, MAX_SEQ_LEN
 from tessera.functions.bytes import byte_token_count, special_count
-from tessera.functions.sequences import ids_digest
+from tessera.functions.sequences import ids_digest, target_count
 from tessera.operators import ordering
 from tessera.operators.budget import corpus_report
 from tessera.operators.encoding import decode_ids, encode_ids
 from tessera.operators.examples import pretraining_examples
 from tessera.operators.vocabulary import (
     Vocabulary,
+    load_or_train,
     pair_counts,
     train_vocabulary,
     word_counts,
     word_symbols,
 )
-from tessera.operators.skew import widen
 from tessera.plans.sql import byte_ids, fitted, seeded
 from tessera.plans.tables import table
 from tessera.session import scratch_path
-from tessera.sources.corpora import CorpusSpec, rename_text
+from tessera.sources.corpora import CORPORA, CorpusSpec, load_corpus, read_split, rename_text
 from tessera.streaming.incremental import encode_stream, read_new_files
 
 HOLDOUT = 100
@@ -40,7 +42,7 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents for work that is heavy per row."""
-    return widen(_documents(spark, folder).select("doc_id", "text"))
+    return _documents(spark, folder).select("doc_id", "text")
 
 
 def shuffle_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +65,7 @@ def tokenizer_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_leakage(spark: SparkSession, folder: str) -> DataFrame:
     train, val = ordering.holdout_split(_documents(spark, folder), "doc_id", HOLDOUT)
-    return ordering.split_leakage(train, val, max_val_rows=HOLDOUT).select("doc_id")
+    return ordering.split_leakage(train, val).select("doc_id")
 
 
 def batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,20 +116,38 @@ def encoded_docs(spark: SparkSession, folder: str) -> DataFrame:
 def merged_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Documents (white space as in ``words``) encoded with trained merges."""
     vocab = _small_vocabulary(spark, folder, FEW_MERGES)
-    docs = widen(_one_space(_documents(spark, folder), "doc_id"))
+    docs = _one_space(_documents(spark, folder), "doc_id")
     coded = docs.withColumn("ids", encode_ids(F.col("text"), vocab, spark))
     return coded.select("doc_id", F.size("ids").alias("n_tokens"), ids_digest(F.col("ids")).alias("ids_md5"))
 
 
+def corpus_encoded(spark: SparkSession, folder: str) -> DataFrame:
+    """A named corpus from its files to examples: load, hold out, sample, train, save, load, encode."""
+    spec = replace(CORPORA["fineweb_edu"], val_holdout_examples=HOLDOUT)
+    root, saved = scratch_path(spark, "corpora"), scratch_path(spark, "vocabulary")
+    _one_space(_documents(spark, folder), "doc_id").write.parquet(spec.location(root, spec.split))
+    train, val = load_corpus(spark, spec, root, "doc_id", shuffled=False)
+    sample = ordering.tokenizer_sample(read_split(spark, spec, root, spec.split), "doc_id", HOLDOUT, SAMPLE)
+    size = Vocabulary().size + FEW_MERGES
+    load_or_train(sample, saved, vocab_size=size)
+    vocab = load_or_train(sample, saved, vocab_size=size)
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    coded = pretraining_examples(both, vocab)
+    return coded.select("doc_id", "split", "n_tokens", ids_digest(F.col("input_ids")).alias("ids_md5"))
+
+
 def decoded_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Encoding with merges and decoding again, checked against the text itself."""
+    """Texts encoded with merges and decoded again: whole, with their special tokens kept, and cut
+    inside the character at their end."""
     vocab = _small_vocabulary(spark, folder, FEW_MERGES)
-    coded = _texts(spark, folder).withColumn(
-        "ids", encode_ids(F.col("text"), vocab, spark)
-    )
+    marked = F.concat(F.col("text"), F.lit("[PAD]é"))
+    coded = _texts(spark, folder).withColumn("ids", encode_ids(marked, vocab, spark))
+    cut = F.slice("ids", 1, F.size("ids") - 1)
     return coded.select(
         "doc_id",
-        (decode_ids(F.col("ids"), vocab, spark) == F.col("text")).alias("same_text"),
+        F.md5(decode_ids(F.col("ids"), vocab, spark)).alias("text_md5"),
+        F.md5(decode_ids(F.col("ids"), vocab, spark, skip_special_tokens=False)).alias("marked_md5"),
+        F.md5(decode_ids(cut, vocab, spark)).alias("cut_md5"),
     )
 
 
@@ -140,14 +160,17 @@ def literal_specials(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     found = docs.select(
-        "doc_id", special_count(F.col("text")).alias("n_specials"), byte_token_count(F.col("text")).alias("n_tokens")
+        "doc_id",
+        special_count(F.col("text")).alias("n_specials"),
+        byte_token_count(F.col("text")).alias("n_tokens"),
+        ids_digest(encode_ids(F.col("text"), Vocabulary(), spark)).alias("ids_md5"),
     )
     return found.where(F.col("n_specials") > 0)
 
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
     docs = ordering.with_split(_documents(spark, folder), "doc_id", HOLDOUT)
-    counted = docs.withColumn("n_tokens", byte_token_count(F.col("text")))
+    counted = pretraining_examples(docs).withColumn("n_targets", target_count(F.col("labels")))
     return corpus_report(counted, ["split", "source"], batch_size=4, accumulation=2)
 
 
@@ -163,12 +186,7 @@ def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
         encode_stream(stream, f"{base}/out", f"{base}/progress").awaitTermination()
     streamed = spark.read.parquet(f"{base}/out").select("doc_id", ids_digest(F.col("input_ids")).alias("s"))
     batch = pretraining_examples(docs).select("doc_id", ids_digest(F.col("input_ids")).alias("b"))
-    both = batch.join(streamed, "doc_id", "full")
-    return both.agg(
-        F.count("b").alias("n_batch"),
-        F.count("s").alias("n_stream"),
-        F.count_if(F.col("b") == F.col("s")).alias("n_same"),
-    )
+    return batch.join(streamed, "doc_id", "full").select("doc_id", F.col("b").alias("batch_md5"), F.col("s").alias("stream_md5"))
 
 
 _POSITIONS = f"""SELECT doc_id, text, source, row_number() OVER (ORDER BY {seeded('doc_id')}, doc_id) - 1 AS pos
@@ -185,10 +203,28 @@ _WORDS = rf"""
 
 
 
-def _merging(merges: int) -> str:
+# The same table with counts from the tokenizer sample alone; words outside it count nothing.
+_SAMPLED = rf"""
+    words AS (
+        SELECT unnest(regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), '{_WORD_SQL}')) AS word,
+            (pos >= {HOLDOUT} AND pos < {HOLDOUT + SAMPLE})::INT AS own
+        FROM ({_POSITIONS})
+    ),
+    word_counts AS (SELECT word, sum(own)::BIGINT AS n FROM words GROUP BY word)
+"""
+_SPLIT_DOCS = rf"""
+    split AS (
+        SELECT doc_id, regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), '{_WORD_SQL}') AS words
+        FROM documents
+    ),
+    placed AS (SELECT doc_id, i, words[i] AS word FROM split, unnest(range(1, len(words) + 1)) AS u(i))
+"""
+
+
+def _merging(merges: int, words: str = _WORDS) -> str:
     """WITH RECURSIVE entries: the word table after every single merge. Each symbol stands between
     two spaces, so replacing a pair's text never touches another symbol."""
-    return f"""{_WORDS},
+    return f"""{words},
     merging AS (
         SELECT 0 AS step, word, ' ' || array_to_string({byte_ids('word')}, '  ') || ' ' AS sym, n,
             NULL::INT AS l, NULL::INT AS r FROM word_counts
@@ -253,14 +289,20 @@ QUERIES = {
         merged_docs,
         rf"""WITH RECURSIVE {_merging(FEW_MERGES)},
         coded AS (SELECT word, string_split(trim(sym), '  ') AS ids FROM merging WHERE step = {FEW_MERGES}),
-        split AS (
-            SELECT doc_id, regexp_extract_all(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), '{_WORD_SQL}') AS words
-            FROM documents
-        ),
-        placed AS (SELECT doc_id, i, words[i] AS word FROM split, unnest(range(1, len(words) + 1)) AS u(i)),
+        {_SPLIT_DOCS},
         joined AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM placed JOIN coded USING (word) GROUP BY doc_id)
         SELECT doc_id, len(ids) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM joined""",
     ),
+    "corpus_encoded": (
+        corpus_encoded,
+        rf"""WITH RECURSIVE {_merging(FEW_MERGES, _SAMPLED)},
+        coded AS (SELECT word, string_split(trim(sym), '  ')::INT[] AS ids FROM merging WHERE step = {FEW_MERGES}),
+        {_SPLIT_DOCS},
+        joined AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM placed JOIN coded USING (word) GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN pos < {HOLDOUT} THEN 'val' ELSE 'train' END AS split, len(ids) AS n_tokens,
+            md5(array_to_string({fitted('ids', MAX_SEQ_LEN, 1)}, ',')) AS ids_md5
+        FROM joined JOIN ({_POSITIONS}) USING (doc_id)""",
+    ),
     "encoded_docs": (
         encoded_docs,
         f"""WITH c AS (SELECT doc_id, {byte_ids('text')} AS ids FROM documents),
@@ -271,11 +313,14 @@ QUERIES = {
         FROM f""",
     ),
     "decoded_docs": (
-        decoded_docs, "SELECT doc_id, true AS same_text FROM documents"
+        decoded_docs,
+        """SELECT doc_id, md5(text || 'é') AS text_md5, md5(text || '[PAD]é') AS marked_md5,
+            md5(text || chr(65533)) AS cut_md5 FROM documents""",
     ),
     "literal_specials": (
         literal_specials,
-        """SELECT doc_id, 2 AS n_specials, octet_length(encode(text)) + 3 AS n_tokens
+        f"""SELECT doc_id, 2 AS n_specials, octet_length(encode(text)) + 3 AS n_tokens,
+            md5(array_to_string(list_concat({byte_ids('text')}, [1], {byte_ids("'x'")}, [0]), ',')) AS ids_md5
         FROM documents WHERE doc_id % 50 = 0""",
     ),
     "corpus_report": (
@@ -291,6 +336,8 @@ QUERIES = {
     ),
     "stream_equals_batch": (
         stream_equals_batch,
-        "SELECT count(*) AS n_batch, count(*) AS n_stream, count(*) AS n_same FROM documents",
+        f"""WITH c AS (SELECT doc_id, {byte_ids('text')} AS ids FROM documents),
+        f AS (SELECT doc_id, md5(array_to_string({fitted('ids', MAX_SEQ_LEN, 1)}, ',')) AS m FROM c)
+        SELECT doc_id, m AS batch_md5, m AS stream_md5 FROM f""",
     ),
 }

@@ -99,6 +99,8 @@ def preference_set(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select(
         "key", "prompt", "chosen", "rejected", F.size("prompt_ids").alias("n_prompt"),
         ids_digest(F.col("chosen_ids")).alias("chosen_md5"),
+        ids_digest(F.col("rejected_ids")).alias("rejected_md5"),
+        ids_digest(F.col("chosen_mask")).alias("chosen_mask_md5"),
         ids_digest(F.col("rejected_mask")).alias("rejected_mask_md5"),
     )
 
@@ -173,7 +175,7 @@ QUERIES = {
             count(*) FILTER (WHERE discard_reason = 'position_bias_disagreement') AS position_bias_disagreement,
             count(*) FILTER (WHERE discard_reason = 'parse_failure') AS parse_failure,
             count(*) FILTER (WHERE discard_reason = 'api_failure') AS api_failure,
-            count(*) FILTER (WHERE discard_reason = 'degenerate_pair') AS degenerate_pair,
+            count(*) FILTER (WHERE discard_reason = 'degenerate_pair') AS degenerate_pair, 0 AS not_judged,
             round(avg(length_ratio), 6) AS mean_length_ratio FROM judged""",
     ),
     "judge_bias": (
@@ -189,10 +191,13 @@ QUERIES = {
         f"""WITH {JUDGED_SQL},
         coded AS (SELECT key, {_WRAPPED} AS wrapped, chosen, rejected, {byte_ids(_WRAPPED)} AS p,
             {_ENDED['chosen']} AS c, {_ENDED['rejected']} AS r FROM judged WHERE kept),
-        joined AS (SELECT *, list_concat(p, c) AS pc,
+        joined AS (SELECT *, list_concat(p, c) AS pc, list_concat(p, r) AS pr,
+            list_concat(list_transform(p, lambda x: 0), list_transform(c, lambda x: 1)) AS cm,
             list_concat(list_transform(p, lambda x: 0), list_transform(r, lambda x: 1)) AS rm FROM coded)
         SELECT key, wrapped AS prompt, chosen, rejected, len(p) AS n_prompt,
             md5(array_to_string({fitted('pc', MAX_LENGTH, 1)}, ',')) AS chosen_md5,
+            md5(array_to_string({fitted('pr', MAX_LENGTH, 1)}, ',')) AS rejected_md5,
+            md5(array_to_string({fitted('cm', MAX_LENGTH, 0)}, ',')) AS chosen_mask_md5,
             md5(array_to_string({fitted('rm', MAX_LENGTH, 0)}, ',')) AS rejected_mask_md5
         FROM joined""",
     ),

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.conversations import heads
+from tessera.operators.conversations import asked_turns, assemble
 from tessera.operators.ordering import with_batches
 from tessera.operators.scores import log_probs
 from tessera.operators.skew import first_rows
-from tessera.fixed_values import IGNORE_INDEX, MAX_MESSAGES
+from tessera.fixed_values import IGNORE_INDEX
 
 
 # Rows per batch of the loss queries.
@@ -80,7 +80,7 @@ def stub_judge():
         if size % 11 == 5:
             return "not json"
         if size % 11 == 6:
-            raise RuntimeError("timeout")
+            raise RuntimeError("unreachable")
         if size % 13 == 7:
             return "[]"
         shorter = len(between("response_a")) <= len(between("response_b"))
@@ -127,40 +127,36 @@ JUDGED_SQL = RAW_PAIRS_SQL + r"""
 # Parameter text of a request, by conv_id % 12.
 REQUEST_PARAMETERS = (
     "",
-    ', "max_new_tokens": 10000',
-    ', "temperature": -1',
-    ', "temperature": 0.005',
-    ', "temperature": 5, "top_p": 1.5',
-    ', "top_p": 0, "top_k": -5',
-    ', "repetition_penalty": 10',
-    ', "repetition_penalty": 0.5, "top_k": 40',
-    ', "max_new_tokens": "abc"',
+    ', "max_new_tokens": 7777',
+    ', "temperature": -0.5',
+    ', "temperature": 0.004',
+    ', "temperature": 3.5, "top_p": 1.25',
+    ', "top_p": 0, "top_k": -2',
+    ', "repetition_penalty": 6',
+    ', "repetition_penalty": 0.25, "top_k": 33',
+    ', "max_new_tokens": "many"',
     ', "temperature": null',
     ', "max_new_tokens": " 64 ", "temperature": "0.5"',
     ', "max_new_tokens": 10.7, "top_p": 0.5',
 )
 
 
-def without_trailing_answers(messages: Column) -> Column:
-    """Messages up to the last question, system turns left out."""
-    spoken = F.filter(messages, lambda m: m["role"] != "system")
-    asked = F.transform(spoken, lambda m, i: F.when(m["role"] == "user", i + 1).otherwise(0))
-    return F.slice(spoken, 1, F.coalesce(F.array_max(asked), F.lit(0)))
-
-
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     """(request_id, payload): one JSON request per conversation; every seventh keeps its turns as
     they are, and some have no object as input."""
-    conversations = heads(table(spark, folder, "conversations"), MAX_MESSAGES + 1)
+    turns = table(spark, folder, "conversations")
+    whole = assemble(turns).join(
+        assemble(asked_turns(turns)).select("conv_id", F.col("messages").alias("asked")), "conv_id", "left"
+    )
     key = F.col("conv_id")
-    messages = F.when(key % 7 == 3, F.col("messages")).otherwise(
-        without_trailing_answers(F.col("messages"))
+    messages = F.coalesce(
+        F.to_json(F.when(key % 7 == 3, F.col("messages")).otherwise(F.col("asked"))), F.lit("[]")
     )
     parameters = F.element_at(F.array(*map(F.lit, REQUEST_PARAMETERS)), (key % 12 + 1).cast("int"))
     body = F.when(key % 29 == 5, F.lit('"not a dict"')).otherwise(
-        F.concat(F.lit('{"messages": '), F.to_json(messages), parameters, F.lit("}"))
+        F.concat(F.lit('{"messages": '), messages, parameters, F.lit("}"))
     )
-    return conversations.select(
+    return whole.select(
         key.alias("request_id"), F.concat(F.lit('{"input": '), body, F.lit("}")).alias("payload")
     )
 

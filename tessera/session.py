@@ -48,6 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, in whatever store Spark reaches it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import path_exists
+
 
 def read_ledger(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The ledger's rows; empty when none were written yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def append_ledger(rows: DataFrame, path: str, *metrics: Column) -> dict:

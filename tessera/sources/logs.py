@@ -29,9 +29,16 @@ def evaluations(log: DataFrame) -> DataFrame:
 
 
 def read_request_log(spark: SparkSession, path: str) -> DataFrame:
-    """One payload per line, kept as text: ``request_id`` is its position-free digest."""
+    """One payload per line, kept as text. ``request_id`` is the payload's own ``id`` if it has one
+    as text, else made of the file, the place of the split in it and the line in that, so equal
+    payloads are requests of their own."""
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("string")
+    place = F.concat_ws(
+        ":", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"), line
+    )
+    own = F.try_variant_get(F.try_parse_json("value"), "$.id", "string")
     return spark.read.text(path).select(
-        F.sha2("value", 256).alias("request_id"), F.col("value").alias("payload")
+        F.coalesce(own, F.sha2(place, 256)).alias("request_id"), F.col("value").alias("payload")
     )
 
 

@@ -1,6 +1,9 @@
+import itertools
 import json
 
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import IGNORE_INDEX, JUDGE_TEMPLATE, PAD_ID
@@ -19,6 +22,7 @@ from tessera.operators.examples import chat_examples, preference_examples, prefe
 from tessera.operators.requests import request_outcomes
 from tessera.operators.replies import assemble_replies
 from tessera.operators.vocabulary import train_vocabulary, word_counts
+from tessera.plans.chat import QUERIES as chat_queries
 
 IDS = {b: i + 2 for i, b in enumerate(byte_order())}
 
@@ -32,17 +36,8 @@ def encoded(role, content):
     return [IDS[b] for b in f"<|{role}|>\n{content}\n".encode()]
 
 
-def expected_example(messages, length):
-    ids, labels = [], []
-    for role, content in messages:
-        part = encoded(role, content)
-        part_labels = [IGNORE_INDEX] * len(part)
-        if role == "assistant":
-            part = part + [PAD_ID]
-            part_labels = part
-        ids, labels = ids + part, labels + part_labels
-    gap = max(length - len(ids), 0)
-    return ids[:length] + [PAD_ID] * gap, labels[:length] + [IGNORE_INDEX] * gap
+def cut_or_filled(values, length, filler):
+    return (values + [filler] * length)[:length]
 
 
 def test_markup(spark):
@@ -68,12 +63,35 @@ def test_judge_request_fills_the_template(spark):
 
 
 CONVERSATIONS = {
-    1: [("system", "be nice"), ("user", "hi there"), ("assistant", "hello")],
-    2: [("user", "hi there"), ("assistant", "hello")] * 2,
+    1: [("system", "answer in rhyme"), ("user", "name a bird"), ("assistant", "wren")],
+    2: [("user", "two?"), ("assistant", "three"), ("user", "four?"), ("assistant", "five")],
     3: [("user", "日本 🎉"), ("user", "")],
     4: [("assistant", "x" * 500)],
     5: [("user", "q"), ("assistant", "a")] * 40,
 }
+# The text of every example, each stop token shown as "#", and its supervised stretches.
+SPELLED = {
+    1: ("<|system|>\nanswer in rhyme\n<|user|>\nname a bird\n<|assistant|>\nwren\n#", ["<|assistant|>\nwren\n#"]),
+    2: ("<|user|>\ntwo?\n<|assistant|>\nthree\n#<|user|>\nfour?\n<|assistant|>\nfive\n#",
+        ["<|assistant|>\nthree\n#", "<|assistant|>\nfive\n#"]),
+    3: ("<|user|>\n日本 🎉\n<|user|>\n\n", []),
+    4: ("<|assistant|>\n" + "x" * 500 + "\n#", ["<|assistant|>\n" + "x" * 500 + "\n#"]),
+    5: ("<|user|>\nq\n<|assistant|>\na\n#" * 40, ["<|assistant|>\na\n#"] * 40),
+}
+
+
+def spelled_ids(text):
+    return [PAD_ID if b == ord("#") else IDS[b] for b in text.encode()]
+
+
+def spelled_labels(text, stretches):
+    found, at = [IGNORE_INDEX] * len(text.encode()), 0
+    for stretch in stretches:
+        at = text.index(stretch, at)
+        begin = len(text[:at].encode())
+        found[begin : begin + len(stretch.encode())] = spelled_ids(stretch)
+        at += len(stretch)
+    return found
 
 
 @pytest.mark.parametrize("length", [5, 64, 128, 300])
@@ -81,25 +99,41 @@ def test_chat_examples(spark, length):
     rows = chat_examples(turns(spark, CONVERSATIONS), max_seq_len=length).collect()
     assert len(rows) == len(CONVERSATIONS)
     for r in rows:
-        ids, labels = expected_example(CONVERSATIONS[r["conv_id"]], length)
-        assert r["input_ids"] == ids and r["labels"] == labels
-        total = sum(len(encoded(*m)) + (m[0] == "assistant") for m in CONVERSATIONS[r["conv_id"]])
-        assert r["kept_ids"] == min(total, length) and r["truncated"] == (total > length)
+        text, stretches = SPELLED[r["conv_id"]]
+        assert r["input_ids"] == cut_or_filled(spelled_ids(text), length, PAD_ID)
+        assert r["labels"] == cut_or_filled(spelled_labels(text, stretches), length, IGNORE_INDEX)
+        total = len(text.encode())
+        assert r["kept_ids"] == min(total, length) and r["truncated"] == (total > length) and r["error"] is None
+
+
+def test_chat_example_that_ends_at_the_limit(spark):
+    first = len(SPELLED[2][0].split("#")[0].encode()) + 1
+    one, two = CONVERSATIONS[2][:2], CONVERSATIONS[2]
+    rows = {r["conv_id"]: r for r in chat_examples(turns(spark, {1: one, 2: two}), max_seq_len=first).collect()}
+    assert (rows[1]["kept_ids"], rows[1]["truncated"]) == (first, False)
+    assert (rows[2]["kept_ids"], rows[2]["truncated"]) == (first, True)
+
+
+def test_chat_example_with_a_null_turn_has_a_reason(spark):
+    broken = {1: [("user", "a"), ("assistant", None)], 2: [(None, "a")], 3: [("user", "a"), ("assistant", "b")]}
+    rows = {r["conv_id"]: r for r in chat_examples(turns(spark, broken), max_seq_len=64).collect()}
+    assert [rows[i]["error"] for i in (1, 2, 3)] == ["null_turn", "null_turn", None]
+    assert rows[1]["input_ids"] is None and rows[2]["labels"] is None and rows[3]["input_ids"]
 
 
 def test_chat_examples_with_merges_match_turn_by_turn_encoding(spark):
     df = turns(spark, CONVERSATIONS)
     vocab = train_vocabulary(word_counts(df), 280)
-    merged = {r["conv_id"]: r for r in chat_examples(df, vocab, 64).collect()}
-    plain = {r["conv_id"]: r for r in chat_examples(df, None, 64).collect()}
+    merged = {r["conv_id"]: r for r in chat_examples(df, vocab, 96).collect()}
+    plain = {r["conv_id"]: r for r in chat_examples(df, None, 96).collect()}
     def spell(ids):
         return b"".join(vocab.symbols[i] for i in ids if i > 1)
 
     one = merged[1]
-    assert spell(one["input_ids"]).decode() == "<|system|>\nbe nice\n<|user|>\nhi there\n<|assistant|>\nhello\n"
-    assert spell(i for i in one["labels"] if i != IGNORE_INDEX).decode() == "<|assistant|>\nhello\n"
+    assert spell(one["input_ids"]).decode() == SPELLED[1][0].rstrip("#")
+    assert spell(i for i in one["labels"] if i != IGNORE_INDEX).decode() == "<|assistant|>\nwren\n"
     assert one["kept_ids"] < plain[1]["kept_ids"]
-    assert [len(r["input_ids"]) for r in merged.values()] == [64] * 5
+    assert [len(r["input_ids"]) for r in merged.values()] == [96] * 5
 
 
 def test_a_conversation_with_most_turns_stays_whole(spark):
@@ -109,27 +143,57 @@ def test_a_conversation_with_most_turns_stays_whole(spark):
         F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
     )
     df = hot.unionByName(turns(spark, {1: CONVERSATIONS[1]}))
-    parts = chat_prompts(df).where("conv_id = 7").orderBy("part").collect()
+    (row,) = chat_prompts(df).where("conv_id = 7").collect()
     whole = "".join(f"<|{'user' if i % 2 == 0 else 'assistant'}|>\nt{i}\n" for i in range(3000))
-    assert len(parts) == 60 and "".join(p["prompt"] for p in parts) == whole + "<|assistant|>\n"
+    assert row["prompt"] == whole + "<|assistant|>\n"
     row = validate_conversations(df).where("conv_id = 7").first()
-    assert row["error"] == "messages has 3000 entries, exceeds limit of 50" and len(row["messages"]) == 51
+    assert row["error"] == "messages has 3000 entries, exceeds limit of 50" and row["messages"] is None
     example = chat_examples(df, max_seq_len=256).where("conv_id = 7").first()
-    messages = [("user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(60)]
-    assert (example["input_ids"], example["labels"]) == expected_example(messages, 256)
+    text = "".join(f"<|user|>\nt{i}\n<|assistant|>\nt{i + 1}\n#" for i in range(0, 60, 2))
+    answers = [f"<|assistant|>\nt{i}\n#" for i in range(1, 60, 2)]
+    assert example["input_ids"] == spelled_ids(text)[:256] and example["labels"] == spelled_labels(text, answers)[:256]
+    assert example["truncated"]
 
 
 def test_assemble_and_back(spark):
     df = turns(spark, CONVERSATIONS)
-    again = flatten_messages(assemble(df, block=100).drop("part"))
+    again = flatten_messages(assemble(df))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
+    lists = assemble(df).drop("turns")  # without their numbers, turns count from 0
+    assert sorted(map(tuple, flatten_messages(lists).collect())) == sorted(map(tuple, df.collect()))
+
+
+LONG = {
+    1: [(t, "user" if t % 2 == 0 else "assistant") for t in range(120)],  # 119 turns up to the last question
+    2: [(0, "system")] + [(t, "user" if t % 2 else "assistant") for t in range(1, 61)],
+    3: [(t * 3 + 7, "user" if t % 2 == 0 else "assistant") for t in range(75)],
+    4: [(t + 5, "user" if t % 2 == 0 else "assistant") for t in range(49)],
+    5: [(0, "system"), (1, "assistant")],
+    10: [(t, "user" if t % 2 == 0 else "assistant") for t in range(52)],
+}
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["fit_context", "request_outcomes", "outcome_counts", "conversation_round_trip", "chat_prompt", "validate_conversations", "sft_examples"],
+)
+def test_queries_on_long_conversations_equal_sql(spark, tmp_path, name):
+    rows = [(c, t, role, f"w{t}") for c, own in LONG.items() for t, role in own]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    query, sql = chat_queries[name]
+    assert differences(spark, con, query, sql, str(tmp_path)) is None
 
 
-def alternating(n):
-    return [{"role": ("user", "assistant")[i % 2], "content": f"msg {i}"} for i in range(n)]
+def talk(turns):
+    """A message list of so many turns, the user first."""
+    speakers = itertools.cycle(("user", "assistant"))
+    return [{"role": next(speakers), "content": f"line {i} of {turns}"} for i in range(turns)]
 
 
-U, A = {"role": "user", "content": "hi"}, {"role": "assistant", "content": "hello"}
+U, A = {"role": "user", "content": "and then?"}, {"role": "assistant", "content": "it rained"}
 MESSAGE_CASES = [
     ([U, A, U], None, None),
     ([U], None, None),
@@ -145,8 +209,8 @@ MESSAGE_CASES = [
      "messages must alternate starting with 'user'; message 1 has role 'user', expected 'assistant'"),
     ([A], "wrong_turn", "messages must alternate starting with 'user'; message 0 has role 'assistant', expected 'user'"),
     ([U, A], "ends_on_assistant", "messages must end on a 'user' turn"),
-    (alternating(51), "too_many_messages", "messages has 51 entries, exceeds limit of 50"),
-    (alternating(49), None, None),
+    (talk(51), "too_many_messages", "messages has 51 entries, exceeds limit of 50"),
+    (talk(49), None, None),
     ([{"role": "user", "content": "x" * 8001}], "content_too_long",
      "message 0 content is 8001 chars, exceeds limit of 8000"),
     ([{"role": "user", "content": "🎉" * 8000}], None, None),
@@ -186,6 +250,7 @@ PARAMETERS = [
     ({"max_new_tokens": 10.7}, (10, 1.0, 1.0, 0, 1.0)),
     ({"top_k": -5.5, "max_new_tokens": True}, (1, 1.0, 1.0, 0, 1.0)),
     ({"max_new_tokens": " 64 ", "top_k": "1_0"}, (64, 1.0, 1.0, 10, 1.0)),
+    ({"max_new_tokens": "9" * 40, "top_k": "-" + "9" * 40}, (512, 1.0, 1.0, 0, 1.0)),
     ({"temperature": -1.0}, (50, 0.0, 1.0, 0, 1.0)),
     ({"temperature": 5.0}, (50, 2.0, 1.0, 0, 1.0)),
     ({"temperature": 1e-45}, (50, 0.01, 1.0, 0, 1.0)),
@@ -253,7 +318,7 @@ def test_request_outcome_order(spark):
     ]
     assert got[12]["kept_turns"] == 3
     short = outcomes(spark, [json.dumps({"input": {"messages": [{"role": "user", "content": "x" * 1900}, A, U]}})], max_seq_len=500)
-    assert short[0]["kept_turns"] == 1 and short[0]["prompt"] == "<|user|>\nhi\n<|assistant|>\n"
+    assert short[0]["kept_turns"] == 1 and short[0]["prompt"] == "<|user|>\nand then?\n<|assistant|>\n"
 
 
 def test_turn_counts_add_up_to_the_whole_prompt(spark):
@@ -279,8 +344,6 @@ def test_replies(spark):
     df = spark.createDataFrame(chunks, "request_id string, seq long, token string, done boolean, error string")
     got = {r["request_id"]: (r["reply"], r["status"]) for r in assemble_replies(df).collect()}
     assert got == {"a": ("Hello", "ok"), "b": ("", "error"), "c": ("cut", "incomplete")}
-    parts = assemble_replies(df, block=1).where("request_id = 'a'").orderBy("part").collect()
-    assert [(p["reply"], p["status"]) for p in parts] == [("He", "continued"), ("llo", "continued"), ("", "ok")]
 
 
 def test_preference_examples(spark):

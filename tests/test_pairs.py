@@ -1,6 +1,7 @@
 import json
 import math
 import sys
+import uuid
 
 import pytest
 from pyspark import cloudpickle
@@ -14,7 +15,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def verdict(v):
-    return json.dumps({"reasoning": "because", "verdict": v})
+    return json.dumps({"reasoning": "by rule", "verdict": v})
 
 
 def first_word_judge():
@@ -25,7 +26,7 @@ def first_word_judge():
         first = request.split("<response_a>\n")[1].split("\n</response_a>")[0]
         word = prompt.split()[0 if first.startswith("a") else 1]
         if word == "fail":
-            raise RuntimeError("timeout")
+            raise RuntimeError("no answer")
         return {"A": verdict("A"), "B": verdict("B"), "junk": "not json", "list": "[]",
                 "none": '{"reasoning": "x"}', "C": verdict("C"), "one": '{"verdict": 1}', "null": None}[word]
 
@@ -61,7 +62,7 @@ def judged(spark, path, cases=CASES, factory=first_word_judge, **options):
     return P.judge_pairs(frame(spark, cases), factory, str(path), retry_seconds=0.0, **options)
 
 
-@pytest.mark.parametrize("options", [{}, {"commits": 3, "concurrency": 2}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_commit": 4, "concurrency": 2}])
 def test_every_outcome(spark, tmp_path, options):
     rows = {r["key"]: r for r in judged(spark, tmp_path / "ledger", **options).collect()}
     assert len(rows) == len(CASES)
@@ -97,10 +98,54 @@ def test_resume_calls_only_for_new_rows_and_reports_all(spark, tmp_path):
     full = P.judge_summary(judged(spark, tmp_path / "ledger")).first()
     assert full.asDict() == {
         "total": 16, "kept": 2, "position_bias_disagreement": 2, "parse_failure": 6, "api_failure": 3,
-        "degenerate_pair": 3, "mean_length_ratio": pytest.approx((6 / 8 + 8 / 6) / 2),
+        "degenerate_pair": 3, "not_judged": 0, "mean_length_ratio": pytest.approx((6 / 8 + 8 / 6) / 2),
     }
 
 
+def test_a_failure_after_some_calls_loses_one_part_at_most(spark, tmp_path):
+    """The judge breaks for good at one pair; what was committed before is not asked about again."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def counting(broken):
+        def factory():
+            judge = first_word_judge()
+
+            def answer(request):
+                (calls / uuid.uuid4().hex).write_text(request)
+                if broken and "slow answer" in request:
+                    raise KeyboardInterrupt
+                return judge(request)
+
+            return answer
+
+        return factory
+
+    pairs = [(f"A B {i}", f"a{i}", f"b{i} slow answer" if i == 11 else f"b{i} longer") for i in range(12)]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "key int, prompt string, completion_a string, completion_b string")
+    options = {"rows_per_commit": 2, "retry_seconds": 0.0, "max_attempts": 1}
+    with pytest.raises(Exception):
+        P.judge_pairs(rows, counting(True), str(tmp_path / "ledger"), **options)
+    done = {r.key for r in read_ledger(spark, f"{tmp_path}/ledger/forward", "key int").collect()}
+    before = len(list(calls.iterdir()))
+    assert 11 not in done and before
+    P.judge_pairs(rows, counting(False), str(tmp_path / "ledger"), **options).collect()
+    asked = [f.read_text() for f in calls.iterdir()]
+    forward = [sum(f"<response_a>\na{i}\n" in a for a in asked) for i in range(12)]
+    assert all(forward[i] == 1 for i in done) and sum(forward) <= 12 + 12 - len(done)
+
+
+def test_both_orders_judge_the_same_answers(spark, tmp_path):
+    """The pairs come from a plan that gives other answers each time it runs."""
+    rows = spark.range(20).select(
+        F.col("id").cast("int").alias("key"), F.lit("A B").alias("prompt"),
+        F.concat(F.lit("one "), F.uuid()).alias("completion_a"), F.concat(F.lit("other "), F.uuid()).alias("completion_b"),
+    )
+    got = P.judge_pairs(rows, first_word_judge, str(tmp_path / "ledger"), retry_seconds=0.0)
+    first, second = sorted(map(tuple, got.collect())), sorted(map(tuple, got.collect()))
+    assert first == second and len(first) == 20
+
+
 def test_summary_of_nothing_kept(spark, tmp_path):
     row = P.judge_summary(judged(spark, tmp_path / "ledger", CASES[13:])).first()
     assert row["kept"] == 0 and row["mean_length_ratio"] is None and row["degenerate_pair"] == 3
@@ -112,7 +157,7 @@ def test_bias_report(spark, tmp_path):
 
 
 def test_retry_recovers_and_gives_up():
-    answers = [RuntimeError("timeout"), verdict("B")]
+    answers = [RuntimeError("no answer"), verdict("B")]
 
     def flaky(_):
         answer = answers.pop(0)
@@ -121,7 +166,7 @@ def test_retry_recovers_and_gives_up():
         return answer
 
     assert P.ask(flaky, "r", 3, 0.0)["verdict"] == "B"
-    answers[:] = [RuntimeError("timeout")] * 3
+    answers[:] = [RuntimeError("no answer")] * 3
     assert P.ask(flaky, "r", 3, 0.0)["status"] == "api_failure" and not answers
     answers[:] = ["not json", verdict("A")]
     assert P.ask(flaky, "r", 3, 0.0)["status"] == "parse_failure" and len(answers) == 1

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import dense_scores as D
+from tessera.functions.sequences import target_count
 from tessera.operators import runs
 from tessera.operators import scores as S
 from tessera.operators.budget import corpus_report, tokens_per_step
+from tessera.operators.examples import chat_examples, pretraining_examples
 
 
 def table(spark, *rows):
@@ -122,7 +124,19 @@ def test_run_summary_and_flat_tail(spark):
 
 def test_budget(spark):
     assert tokens_per_step() == 524288
-    df = spark.createDataFrame([("s", 10), ("s", 3), ("s", 0)], "source string, n_tokens int")
+    df = spark.createDataFrame([("s", 10, 7), ("s", 3, 2), ("s", 0, 0)], "source string, n_tokens int, n_targets int")
     row = corpus_report(df, ["source"], max_seq_len=8, batch_size=1, accumulation=2).first()
     assert (row["raw_tokens"], row["kept_tokens"], row["pad_tokens"], row["targets"], row["truncated"]) == (13, 11, 13, 9, 1)
     assert (row["n_batches"], row["n_steps"], row["step_tokens"]) == (3, 1, 16)
+
+
+def test_budget_counts_targets_from_labels(spark):
+    """A literal stop token is no target; a conversation's targets are its answers."""
+    docs = spark.createDataFrame([("d", "ab[PAD]cd")], "source string, text string")
+    counted = pretraining_examples(docs, max_seq_len=16).withColumn("n_targets", target_count(F.col("labels")))
+    assert corpus_report(counted, ["source"], max_seq_len=16).first()["targets"] == 3
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id long, turn long, role string, text string")
+    chats = chat_examples(turns, max_seq_len=64).select(
+        F.lit("chat").alias("source"), F.col("kept_ids").alias("n_tokens"), target_count(F.col("labels")).alias("n_targets")
+    )
+    assert corpus_report(chats, ["source"], max_seq_len=64).first()["targets"] == len("<|assistant|>\na\n") + 1

@@ -49,8 +49,9 @@ def test_run_log(spark, tmp_path):
 
 
 def test_request_and_chunk_logs(spark, tmp_path):
-    (tmp_path / "req.log").write_text('{"input": {}}\nnot json\n')
-    assert read_request_log(spark, str(tmp_path / "req.log")).count() == 2
+    (tmp_path / "req.log").write_text('{"input": {}}\nnot json\n{"input": {}}\n{"id": "own"}\n')
+    read = {r["request_id"]: r["payload"] for r in read_request_log(spark, str(tmp_path / "req.log")).collect()}
+    assert len(read) == 4 and read["own"] == '{"id": "own"}' and list(read.values()).count('{"input": {}}') == 2
     (tmp_path / "chunks.jsonl").write_text('{"request_id": "a", "seq": 0, "token": "x", "done": false}\n')
     assert tuple(read_chunks(spark, str(tmp_path / "chunks.jsonl")).first()) == ("a", 0, "x", False, None)
 

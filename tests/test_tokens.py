@@ -15,7 +15,11 @@ from tessera.operators.vocabulary import (
     load_vocabulary,
     train_vocabulary,
     word_counts,
+    word_symbols,
 )
+from tessera.plans import chat as chat_plans
+from tessera.plans import corpus as corpus_plans
+from tessera.plans import runs as runs_plans
 
 TEXTS = [
     "hello world",
@@ -188,3 +192,27 @@ def test_blank_matches_python_strip(spark):
 def test_labels_for(spark):
     row = spark.sql("SELECT array(7, 1, 8) AS ids").select(labels_for(F.col("ids")).alias("l")).first()
     assert row["l"] == [7, IGNORE_INDEX, 8]
+
+
+def test_no_symbols_are_made_below_the_word_count(spark):
+    """Words are counted as text; only the distinct ones become symbols."""
+    words = word_counts(spark.createDataFrame([(1, "a b a cc dd")], "id int, text string"))
+    plan = word_symbols(words.where(F.octet_length("word") > 1))._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate") :].partition("\n")[2]
+    assert "translate" in plan and "translate" not in below
+
+
+def test_chat_batches_encode_once(spark):
+    plan = chat_plans.chat_batches(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1
+
+
+def test_leakage_plans_are_plain_filters(spark):
+    plan = corpus_plans.split_leakage(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "hashpartitioning(_bucket" not in plan
+
+
+def test_flat_tail_reads_the_log_twice(spark):
+    plan = runs_plans.flat_tail(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the bounds, which are written; then once for the hot and once for the other runs.
+    assert plan.count("event_type") > 0 and plan.count("Aggregate [run") == 1
