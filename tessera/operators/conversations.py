@@ -101,12 +101,12 @@ def _error(code: str, template: str, **slots: Column) -> Column:
     return F.struct(F.lit(code).alias("code"), fill(template, **slots).alias("text"))
 
 
-def _message_error(m: Column, i: Column) -> Column:
+def _message_error(m: Column, i: Column, shown_roles: Column | None = None) -> Column:
     """(code, text) of the first rule one message breaks, NULL when it breaks none."""
     role, content = m["role"], m["content"]
     expected = F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
     length = F.char_length(content)
-    shown = python_repr(role)
+    shown = python_repr(role) if shown_roles is None else F.get(shown_roles, i)
     return (
         F.when(
             role.isNull() | ~role.isin("user", "assistant"),
@@ -127,14 +127,21 @@ def _message_error(m: Column, i: Column) -> Column:
     )
 
 
-def messages_error(messages: Column, n_messages: Column | None = None) -> Column:
+def messages_error(
+    messages: Column, n_messages: Column | None = None, shown_roles: Column | None = None
+) -> Column:
     """struct(code, text) of the first rule a message list breaks, NULL for a good one.
 
     ``n_messages`` is the true length where ``messages`` holds only the leading turns.
+    ``shown_roles`` is how to show each role in an error where roles need not be strings.
     """
     total = F.size(messages) if n_messages is None else n_messages
     broken = F.get(
-        F.filter(F.transform(messages, _message_error), lambda e: e.isNotNull()), F.lit(0)
+        F.filter(
+            F.transform(messages, lambda m, i: _message_error(m, i, shown_roles)),
+            lambda e: e.isNotNull(),
+        ),
+        F.lit(0),
     )
     too_many = _error(
         "too_many_messages", TOO_MANY_MESSAGES_TEXT, count=total, limit=F.lit(MAX_MESSAGES)

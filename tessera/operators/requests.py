@@ -129,6 +129,22 @@ def request_messages(body: Column) -> Column:
     )
 
 
+def shown_roles(body: Column) -> Column:
+    """The role of every message as an error shows it, whatever its type."""
+    def shown(m: Column) -> Column:
+        role = F.try_variant_get(m, "$.role", "variant")
+        kind = F.schema_of_variant(role)
+        text = F.try_variant_get(role, "$", "string")
+        return (
+            F.when(role.isNull() | (kind == "VOID"), F.lit("None"))
+            .when(kind == "STRING", python_repr(text))
+            .when(kind == "BOOLEAN", F.initcap(text))
+            .otherwise(F.coalesce(text, F.to_json(role)))
+        )
+
+    return F.transform(F.try_variant_get(body, "$.messages", "array<variant>"), shown)
+
+
 def prompt_token_counts(messages: Column, vocab: Vocabulary, spark: SparkSession) -> Column:
     """Token counts of every turn as part of a prompt and, last, of the opener.
 
@@ -167,7 +183,9 @@ def request_outcomes(
     parsed = parsed.withColumn("_config", generation_config(F.col("_body"))).withColumn(
         "_messages", request_messages(F.col("_body"))
     )
-    checked = parsed.withColumn("_bad", messages_error(F.col("_messages")))
+    checked = parsed.withColumn(
+        "_bad", messages_error(F.col("_messages"), shown_roles=shown_roles(F.col("_body")))
+    )
     usable = F.col("_config.error").isNull() & F.col("_bad").isNull()
     good = F.when(usable, F.col("_messages"))
     fitted = checked.withColumn("_counts", prompt_token_counts(good, vocab, spark)).withColumn(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,7 +35,8 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Falls back to a temporary folder only in local mode, where one machine is the cluster.
+    Falls back to a temporary folder only in local mode, where one machine is the cluster; that
+    folder goes when the program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -44,6 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tessera-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
