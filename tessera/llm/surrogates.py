@@ -46,11 +46,12 @@ ENDINGS = {
 NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 TITLE = "(?:" + "|".join([*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES]) + r")\b\.?"
 GIVEN = "(?:" + "|".join([*FEMALE_NAMES, *MALE_NAMES]) + ")"
-PERSON = rf"(?<![\p{{L}}\p{{N}}])(?:{TITLE} {NAME}(?: {NAME})?|{GIVEN} {NAME})(?![\p{{L}}\p{{N}}])"
-#: Kinds and what they look like, in the order in which they are tried at a place of the text.
+PERSON = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{TITLE} {NAME}(?: {NAME})?|{GIVEN} {NAME})(?![\p{{L}}\p{{N}}])"
+#: Kinds and what they look like, in the order in which they are tried at a place of the text. Each
+#: begins with what rules most places out.
 FORMS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[A-Za-z0-9+/_.-]{6,}"
+    "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "secret": r"(?<=[=: \"'])(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[A-Za-z0-9+/_.-]{6,}"
     r"|(?<![A-Za-z0-9])(?i:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
