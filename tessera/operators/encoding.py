@@ -22,8 +22,6 @@ from tessera.operators.vocabulary import Vocabulary, merge_symbols
 
 # Entries a worker keeps in its word cache before it starts over.
 _CACHE_LIMIT = 1_000_000
-# Vocabularies up to this size are decoded with a literal lookup array.
-_LITERAL_LIMIT = 512
 
 
 def _spread(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -109,11 +107,12 @@ def _bytes_decoder(spark: SparkSession, table: list[bytes]) -> Callable[[Column]
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        known = shared.value
+        known = [*shared.value, b""]  # the last stands for ids that are none of the vocabulary's
         sizes = np.array([len(b) for b in known], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
         pool = np.frombuffer(b"".join(known), dtype=np.uint8)
-        index = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        index = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        index = np.where((index >= 0) & (index < len(known) - 1), index, len(known) - 1)
         data = pool[_spread(sizes[index], starts[index])].tobytes()
         ends = np.concatenate([[0], np.cumsum(sizes[index])])[_row_bounds(lists)]
         present = lists.is_valid().to_pylist()
@@ -132,12 +131,8 @@ def decode_ids(
     ids: Column, vocab: Vocabulary, spark: SparkSession, skip_special_tokens: bool = True
 ) -> Column:
     """The text of a token array. Bytes are joined before they are read as UTF-8, so a
-    character split over two tokens survives; a cut one becomes U+FFFD."""
+    character split over two tokens survives; a cut one becomes U+FFFD. Ids outside the vocabulary,
+    and NULL ids, give nothing."""
     if skip_special_tokens:
         ids = F.filter(ids, lambda i: i >= FIRST_BYTE_ID)
-    table = vocab.symbols
-    if len(table) > _LITERAL_LIMIT:
-        return _bytes_decoder(spark, table)(ids)
-    hexes = F.lit([b.hex() for b in table])
-    joined = F.array_join(F.transform(ids, lambda i: F.element_at(hexes, i + 1)), "")
-    return F.make_valid_utf8(F.unhex(joined).cast("string"))
+    return _bytes_decoder(spark, vocab.symbols)(ids)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SALTS = 64
+# Groups cut to more rows than this are cut per salt first. It is Spark's own limit, by default, up to
+# which map tasks cut groups before the shuffle.
+SALTED_FROM = 1000
 # Keys above this share of the rows (one in so many) are treated as hot; there are fewer of them.
 MAX_HEAVY = 1000
 
@@ -20,12 +23,11 @@ def salt_of(*cols: str, salts: int = SALTS) -> Column:
 def first_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of every group, as a 1-based column ``row_no``.
 
-    Within Spark's group-limit threshold each map task already keeps at most ``n`` rows of a
-    group, so a hot group never crosses the shuffle whole. Above it, the limit is applied per
-    salt first, which spreads the hot group and leaves at most ``SALTS * n`` rows of it.
+    Up to ``SALTED_FROM`` rows each map task already keeps at most ``n`` rows of a group, so a hot
+    group never crosses the shuffle whole. For a larger ``n`` the limit is applied per salt first,
+    which spreads the hot group and leaves at most ``SALTS * n`` rows of it.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > threshold:
+    if n > SALTED_FROM:
         salted = df.withColumn("_salt", salt_of(*order))
         within_salt = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (

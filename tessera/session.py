@@ -19,7 +19,6 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Judge and completion calls cost money: never start a second copy of a task.
         "spark.speculation": "false",
-        "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
         # Recording a call site costs several driver round trips per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import ordering
+from tessera.operators import ordering, skew
 from tessera.operators.skew import first_rows, join_one_per_key
 from tessera.sources.corpora import CORPORA, CorpusSpec, first_prompts, load_corpus, rename_text
 
@@ -107,18 +107,14 @@ def test_first_prompts(spark):
     assert [tuple(r) for r in first_prompts(df, "key", 2).collect()] == [(1, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("threshold", ["1", "1000"])
-def test_first_rows_with_a_hot_group(spark, threshold):
+@pytest.mark.parametrize("salted_from", [1, 1000])
+def test_first_rows_with_a_hot_group(spark, monkeypatch, salted_from):
     """One group holds most rows; the salted way must agree with the direct one."""
     df = spark.range(5000).select(
         F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 7 + 1).alias("g"), F.col("id").alias("o")
     )
-    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
-    try:
-        got = {(r["g"], r["o"], r["row_no"]) for r in first_rows(df, ["g"], ["o"], 30).collect()}
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+    monkeypatch.setattr(skew, "SALTED_FROM", salted_from)
+    got = {(r["g"], r["o"], r["row_no"]) for r in first_rows(df, ["g"], ["o"], 30).collect()}
     want, seen = set(), {}
     for r in sorted(df.collect(), key=lambda r: r["o"]):
         seen[r["g"]] = seen.get(r["g"], 0) + 1

@@ -216,3 +216,10 @@ def test_flat_tail_reads_the_log_twice(spark):
     plan = runs_plans.flat_tail(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     # Once for the bounds, which are written; then once for the hot and once for the other runs.
     assert plan.count("event_type") > 0 and plan.count("Aggregate [run") == 1
+
+
+def test_ids_outside_the_vocabulary_decode_to_nothing(spark):
+    ids = spark.createDataFrame([([66, 9999, -4, None, 67],)], "ids array<int>")
+    for vocab in (Vocabulary(), train_vocabulary(word_counts(frame(spark, ["aa ab"])), 260)):
+        row = ids.select(decode_ids(F.col("ids"), vocab, spark).alias("t")).first()
+        assert row["t"] == (vocab.symbols[66] + vocab.symbols[67]).decode()
