@@ -183,46 +183,90 @@ def links(values: list[int], radius: int) -> list[tuple[int, int]]:
     return found
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of complete shards, from batches sorted by ``shard``, their first column."""
+    held: list[pa.RecordBatch] = []
+
+    def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shards = np.asarray(batch.column(0))
+        # The rows come sorted by shard: all but the last shard of a batch are complete.
+        cut = int(np.searchsorted(shards, shards[-1]))
+        if cut:
+            yield whole([*held, batch.slice(0, cut)])
+            held = []
+        elif held and np.asarray(held[0].column(0))[0] != shards[0]:
+            yield whole(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield whole(held)
+
+
+def shards_of(whole: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Start and end of every shard of more than one row."""
+    shards = np.asarray(whole.column(0))
+    starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
+    for at in np.flatnonzero(np.diff(starts) > 1).tolist():
+        yield int(starts[at]), int(starts[at + 1])
+
+
 def shard_edges(rows: DataFrame, radius: int) -> DataFrame:
     """Links ``u, v`` that join the nodes of ``shard, node, fp`` (binary) to groups, by one tree for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            shards, nodes, fps = np.asarray(whole.column(0)), np.asarray(whole.column(1)), whole.column(2)
-            starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
+        for whole in by_shard(batches):
+            nodes, fps = np.asarray(whole.column(1)), whole.column(2)
             us, vs = [], []
-            for at in np.flatnonzero(np.diff(starts) > 1).tolist():
-                first, last = int(starts[at]), int(starts[at + 1])
+            for first, last in shards_of(whole):
                 values = [int.from_bytes(b, "little") for b in fps.slice(first, last - first).to_pylist()]
                 mine = nodes[first:last]
                 for i, j in links(values, radius):
                     us.append(mine[i])
                     vs.append(mine[j])
-            return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            shards = np.asarray(batch.column(0))
-            # The rows come sorted by shard: all but the last shard of a batch are complete.
-            cut = int(np.searchsorted(shards, shards[-1]))
-            if cut:
-                yield settle([*held, batch.slice(0, cut)])
-                held = []
-            elif held and np.asarray(held[0].column(0))[0] != shards[0]:
-                yield settle(held)
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield settle(held)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     dealt = rows.select("shard", "node", "fp").repartition("shard").sortWithinPartitions("shard", "node")
     return dealt.mapInArrow(run, "u long, v long").where("u != v")
 
 
+def open_edges(rows: DataFrame, radius: int, limit: int) -> DataFrame:
+    """Links ``u, v`` within the radius between nodes of ``shard, node, fp, root, refused`` that have different
+    roots, but for those to the nodes in ``refused``.
+
+    In each shard a node outside the largest group gives its ``limit`` nearest ones; ``more`` tells
+    that others are left. Any two nodes of different roots have one that is outside the largest group.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in by_shard(batches):
+            nodes, fps, roots, refused = np.asarray(whole.column(1)), whole.column(2), np.asarray(whole.column(3)), whole.column(4)
+            us, vs, more = [], [], []
+            for first, last in shards_of(whole):
+                mine, (names, group, sizes) = nodes[first:last], np.unique(roots[first:last], return_inverse=True, return_counts=True)
+                if len(names) == 1:
+                    continue
+                bits = np.frombuffer(b"".join(fps.slice(first, last - first).to_pylist()), "<u8").reshape(last - first, -1)
+                for i in np.flatnonzero(group != np.argmax(sizes)).tolist():
+                    apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
+                    fit = np.flatnonzero((apart <= radius) & (group != group[i]))
+                    known = refused[first + i].as_py()
+                    if known:
+                        fit = fit[~np.isin(mine[fit], np.array(known, np.int64))]
+                    near = fit[np.argsort(apart[fit], kind="stable")[:limit]]
+                    us += [mine[i]] * len(near)
+                    vs += mine[near].tolist()
+                    more += [len(near) < len(fit)] * len(near)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(more, pa.bool_())], names=["u", "v", "more"])
+
+    dealt = rows.select("shard", "node", "fp", "root", "refused").repartition("shard").sortWithinPartitions("shard", "node")
+    return dealt.mapInArrow(run, "u long, v long, more boolean")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each node with an edge reaches, itself included.
 
@@ -285,9 +329,11 @@ def linked(docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_i
 WIDE, WIDE_RADIUS, WIDE_SHINGLE = 4, 48, 5
 #: Bits of a shard key, and how many of them, those nearest to changing, are also taken the other way.
 KEY_BITS, UNSURE = 24, 3
-#: The fingerprint of few shingles says little: links of texts with at most ``FEW`` different ones are
-#: held against the similarity itself. Sets of a quarter more are kept, as only those can be similar.
-FEW, SIMILAR = 128, 0.8
+#: Least Jaccard similarity of a link, on the sets of the texts' shingles.
+SIMILAR = 0.8
+#: Links a node may ask for in a shard, once the first ones have been held against the similarity; the
+#: number grows by this factor until all are asked for.
+ASKED = 8
 
 
 def probe_keys(margin: np.ndarray) -> np.ndarray:
@@ -305,11 +351,75 @@ def probe_keys(margin: np.ndarray) -> np.ndarray:
     return (keys | np.arange(tables)[:, None] << KEY_BITS).ravel().astype(np.int32)
 
 
+def distinct_hashes(text: str | None) -> np.ndarray:
+    return np.unique(hashes(text, WIDE_SHINGLE))
+
+
+def node_of(distinct: np.ndarray) -> int:
+    """A number for a set of shingles, as a signed long."""
+    value = xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def similar_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``u, v`` of a Jaccard similarity of ``SIMILAR`` that join the nodes of ``node, fp, keys, key`` to groups.
+
+    Candidates are nodes that share a shard key and lie within ``WIDE_RADIUS`` bits. The first ones come
+    from a tree a shard and join all candidates to groups; each is held against the sets of shingles. Where some
+    fail, others of the same shards may still join what they have parted: nodes of different groups
+    ask for further candidates until none is left. The sets are formed for nodes with candidates only.
+    """
+    spark = nodes.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def shards(nodes: DataFrame, *more: str) -> DataFrame:
+        return nodes.select(F.explode(F.col("keys").cast("array<long>")).alias("shard"), "node", "fp", *more)
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [distinct_hashes(t) for t in part.column(0).to_pylist()]
+            sets = pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, found), pa.int64()), sets], names=["node", "shingles"])
+
+    ordered = F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
+
+    edges = written(shard_edges(shards(nodes), WIDE_RADIUS).select(*ordered).distinct(), "candidates")
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    active = written(nodes.join(ends, "node"), "candidates")
+    texts = docs.join(active.select("key").distinct(), "key", "left_semi").select("text")
+    sets = written(texts.mapInArrow(sets_of, "node long, shingles array<long>").join(ends, "node", "left_semi"), "shingles")
+
+    def judged(edges: DataFrame) -> DataFrame:
+        for end in ("u", "v"):
+            edges = edges.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
+        shared = F.size(F.array_intersect("u_set", "v_set"))
+        union = F.size("u_set") + F.size("v_set") - shared
+        # A key that repeats gives its set more than once.
+        return written(edges.select("u", "v", (shared >= SIMILAR * union - 1e-9).alias("holds")).distinct(), "candidates")
+
+    known, asked = judged(edges), ASKED
+    more = not known.where("not holds").isEmpty()
+    while more:
+        roots = components(known.where("holds").select("u", "v"))
+        no = known.where("not holds").select("u", "v")
+        no = no.unionByName(no.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.collect_set("v").alias("refused"))
+        held = active.join(roots, "node", "left").join(no.withColumnRenamed("u", "node"), "node", "left")
+        held = held.withColumn("root", F.coalesce("root", "node"))
+        found = written(open_edges(shards(held, "root", "refused"), WIDE_RADIUS, asked), "candidates")
+        more, asked = not found.where("more").isEmpty(), asked * ASKED
+        known = known.unionByName(judged(found.select(*ordered).distinct()))
+    return known.where("holds").select("u", "v")
+
+
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, all columns as they are, without those whose text nearly equals that of a smaller key.
 
-    Groups are the components of links between wide fingerprints within ``WIDE_RADIUS`` bits, of which
-    those of short texts must have a Jaccard similarity of ``SIMILAR``; the smallest key of each stays, with all rows that have it. Rows with a null key stay. Texts without
+    Groups are the components of ``similar_edges``; texts of the same set of shingles are one node. The
+    smallest key of each group stays, with all rows that have it. Rows with a null key stay. Texts without
     words form one group.
     """
     spark = docs.sparkSession
@@ -317,30 +427,18 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            hashed = [hashes(t, WIDE_SHINGLE) for t in part.column(1).to_pylist()]
+            hashed = [distinct_hashes(t) for t in part.column(1).to_pylist()]
             marks = [margins(h, WIDE) for h in hashed]
-            few = [np.unique(h).view(np.int64) for h in hashed]
-            sets = pa.array([h if len(h) <= FEW / SIMILAR else None for h in few], pa.list_(pa.int64()))
             fps = pa.array([packed(m > 0).tobytes() for m in marks], pa.binary())
-            keys = pa.array([probe_keys(m) for m in marks], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), fps, keys, sets], names=["key", "fp", "keys", "few"])
+            keys = pa.array([probe_keys(m) if len(h) else [] for m, h in zip(marks, hashed)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(node_of, hashed), pa.int64()), fps, keys], names=["key", "node", "fp", "keys"])
 
     path = scratch_path(spark, "fingerprints")
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows.mapInArrow(run, f"key {kind}, fp binary, keys array<int>, few array<long>").withColumn("node", F.xxhash64("fp")).write.parquet(path)
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts.mapInArrow(run, f"key {kind}, node long, fp binary, keys array<int>").write.parquet(path)
     rows = spark.read.parquet(path)
-    nodes = rows.groupBy("node", "fp").agg(F.min("keys").alias("keys"))
-    shards = nodes.select(F.explode(F.col("keys").cast("array<long>")).alias("shard"), "node", "fp")
-    edges = shard_edges(shards, WIDE_RADIUS).distinct()
-    sets = rows.where("few is not null").groupBy("node").agg(F.min("few").alias("few"))
-    for end in ("u", "v"):
-        edges = edges.join(sets.select(F.col("node").alias(end), F.col("few").alias(f"few_{end}")), end, "left")
-    shared, sizes = F.size(F.array_intersect("few_u", "few_v")), F.size("few_u") + F.size("few_v")
-    least = F.least(F.size("few_u"), F.size("few_v"))
-    both = F.col("few_u").isNotNull() & F.col("few_v").isNotNull()
-    alone = F.size(F.coalesce("few_u", "few_v")) > FEW
-    true = F.when(both & (least <= FEW), shared >= SIMILAR * (sizes - shared)).when(F.coalesce("few_u", "few_v").isNotNull() & ~both, alone)
-    found = components(edges.where(F.coalesce(true, F.lit(True))).select("u", "v"))
+    nodes = rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("key").alias("key"))
+    found = components(similar_edges(nodes, texts))
     rooted = rows.select("key", "node").join(found, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     first = rooted.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("root", "first")
     gone = rooted.join(first, "root").where("key > first").select(F.col("key").alias("gone"))

@@ -144,6 +144,44 @@ def test_near_copies_go_and_others_stay(spark):
     assert simhash.without_near_copies(docs.limit(0)).collect() == []
 
 
+def brute_near_copies(rows, least=0.8):
+    """The keys that stay, by the exact similarity of all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9 and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    first = {}
+    for g, (key, _) in zip(group, rows):
+        first[g] = min(key, first.get(g, key))
+    return sorted(first.values())
+
+
+def test_near_copies_hold_the_similarity_at_every_size(spark):
+    pick = random.Random(11)
+    line = " ".join(f"line{i}" for i in range(13))
+    rows = []
+    # Two texts that share one often repeated line and nothing else.
+    rows += [(i, " ".join([line] * 200 + [f"own{i}x{j}" for j in range(150)])) for i in (1, 2)]
+    # Long texts that keep less than the similarity of one base, and a few that keep more of each other.
+    base = [f"b{i}" for i in range(600)]
+    for i in range(40):
+        own = list(base)
+        at = pick.randrange(20, 440)
+        own[at : at + 90] = [f"c{i}x{j}" for j in range(90)]
+        rows.append((100 + i, " ".join(own)))
+        if i % 10 == 0:
+            rows.append((200 + i, " ".join([*own[:-20], *(f"d{i}x{j}" for j in range(20))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in simhash.without_near_copies(docs).collect())
+    assert got == brute_near_copies(rows) and len(got) < len(rows)
+
+
 # -- repeats --------------------------------------------------------------------------------------
 
 
