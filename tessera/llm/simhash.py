@@ -325,10 +325,14 @@ def linked(docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_i
 # -- a wider fingerprint for a lower similarity -----------------------------------------------------
 
 #: 64-bit words of a wide fingerprint, its radius, and the words of a shingle. Texts whose sets of
-#: five-word shingles have a Jaccard similarity of 0.8 differ in about 39 of 256 bits, give or take 5.
-WIDE, WIDE_RADIUS, WIDE_SHINGLE = 4, 48, 5
-#: Bits of a shard key, and how many of them, those nearest to changing, are also taken the other way.
-KEY_BITS, UNSURE = 24, 3
+#: five-word shingles have a Jaccard similarity of 0.8 differ in about 39 of 256 bits, give or take 6; in
+#: 48, give or take 6, if the sets have four and five members.
+WIDE, WIDE_RADIUS, WIDE_SHINGLE = 4, 72, 5
+#: A shard key stands for the least hashes of a text under ``BAND`` orders. Texts of similarity ``j`` share
+#: one of ``BANDS`` keys with probability ``1 - (1 - j**BAND)**BANDS``: 0.99993 at 0.8.
+BAND, BANDS = 5, 24
+#: What turns a shingle's hash into its place in each order.
+ORDERS = np.array([[xxh64_intdigest(b"%d" % i, seed) | seed for i in range(BAND * BANDS)] for seed in (0, 1)], np.uint64)
 #: Least Jaccard similarity of a link, on the sets of the texts' shingles.
 SIMILAR = 0.8
 #: Links a node may ask for in a shard, once the first ones have been held against the similarity; the
@@ -336,19 +340,19 @@ SIMILAR = 0.8
 ASKED = 8
 
 
-def probe_keys(margin: np.ndarray) -> np.ndarray:
-    """Shard keys of a wide fingerprint: each run of ``KEY_BITS`` bits, with its least sure bits both ways.
+def band_keys(distinct: np.ndarray) -> list[int]:
+    """Shard keys of a set of shingles, as signed longs; none for an empty set."""
+    if not len(distinct):
+        return []
+    least = np.full(BAND * BANDS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(distinct), PART // 16):
+        placed = (distinct[start : start + PART // 16, None] ^ ORDERS[0]) * ORDERS[1]
+        least = np.minimum(least, placed.min(axis=0))
+    return [signed(xxh64_intdigest(band.astype("<u8").tobytes(), i)) for i, band in enumerate(least.reshape(BANDS, BAND))]
 
-    Similar texts differ in the bits whose margins are small; both sides try these, so a shared key
-    needs the other bits of one run to agree and those that differ to be among the unsure ones.
-    """
-    tables = len(margin) // KEY_BITS
-    runs = margin[: tables * KEY_BITS].reshape(tables, KEY_BITS)
-    value = ((runs > 0) << np.arange(KEY_BITS)).sum(axis=1)
-    flips = 1 << np.argsort(np.abs(runs), axis=1, kind="stable")[:, :UNSURE]
-    chosen = np.array([[n >> i & 1 for i in range(UNSURE)] for n in range(1 << UNSURE)])
-    keys = value[:, None] ^ (flips @ chosen.T)
-    return (keys | np.arange(tables)[:, None] << KEY_BITS).ravel().astype(np.int32)
+
+def signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
 def distinct_hashes(text: str | None) -> np.ndarray:
@@ -357,8 +361,7 @@ def distinct_hashes(text: str | None) -> np.ndarray:
 
 def node_of(distinct: np.ndarray) -> int:
     """A number for a set of shingles, as a signed long."""
-    value = xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED)
-    return value - (1 << 64) if value >> 63 else value
+    return signed(xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED))
 
 
 def similar_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -377,7 +380,7 @@ def similar_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
 
     def shards(nodes: DataFrame, *more: str) -> DataFrame:
-        return nodes.select(F.explode(F.col("keys").cast("array<long>")).alias("shard"), "node", "fp", *more)
+        return nodes.select(F.explode("keys").alias("shard"), "node", "fp", *more)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -430,12 +433,12 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
             hashed = [distinct_hashes(t) for t in part.column(1).to_pylist()]
             marks = [margins(h, WIDE) for h in hashed]
             fps = pa.array([packed(m > 0).tobytes() for m in marks], pa.binary())
-            keys = pa.array([probe_keys(m) if len(h) else [] for m, h in zip(marks, hashed)], pa.list_(pa.int32()))
+            keys = pa.array(map(band_keys, hashed), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(node_of, hashed), pa.int64()), fps, keys], names=["key", "node", "fp", "keys"])
 
     path = scratch_path(spark, "fingerprints")
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    texts.mapInArrow(run, f"key {kind}, node long, fp binary, keys array<int>").write.parquet(path)
+    texts.mapInArrow(run, f"key {kind}, node long, fp binary, keys array<long>").write.parquet(path)
     rows = spark.read.parquet(path)
     nodes = rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("key").alias("key"))
     found = components(similar_edges(nodes, texts))

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -182,6 +183,18 @@ def test_near_copies_hold_the_similarity_at_every_size(spark):
     assert got == brute_near_copies(rows) and len(got) < len(rows)
 
 
+@pytest.mark.parametrize(("shared", "own"), [(4, (0, 1)), (8, (1, 1)), (80, (10, 10)), (400, (50, 50)), (85, (0, 20))])
+def test_pairs_just_similar_enough_are_candidates(shared, own):
+    pick = np.random.default_rng(shared)
+    found = 0
+    for _ in range(400):
+        both = pick.integers(0, 1 << 64, shared, np.uint64)
+        a, b = (np.unique(np.concatenate((both, pick.integers(0, 1 << 64, n, np.uint64)))) for n in own)
+        apart = sum((int(x) ^ int(y)).bit_count() for x, y in zip(*(simhash.packed(simhash.margins(h, simhash.WIDE) > 0) for h in (a, b))))
+        found += apart <= simhash.WIDE_RADIUS and bool(set(simhash.band_keys(a)) & set(simhash.band_keys(b)))
+    assert found >= 399
+
+
 # -- repeats --------------------------------------------------------------------------------------
 
 
