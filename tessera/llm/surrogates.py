@@ -4,19 +4,21 @@ Detected entities become atoms: an address, a number, a secret, or the parts of
 distinct atom of the corpus gets one surrogate, drawn from a keyed hash in the atom's own form: digits
 stay digits, letters letters of their script, given names keep their gender, card numbers their check
 digit. The draw is repeated for atoms whose surrogate another atom has, or that is itself an atom of
-the corpus, until all differ. So equal entities stay equal everywhere, different ones stay different,
+the corpus, until all differ; after a few draws the form grows. So equal entities stay equal everywhere, different ones stay different,
 and a mention is written in its own case and punctuation.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-#: Draws after which a form is taken to be used up; that is an error, nothing is left unreplaced.
-DRAWS = 200
+#: Draws in an atom's own form; each later one has one more character or syllable, so every form suffices.
+DRAWS = 6
 
 # Titles and given names by gender.
 FEMALE_TITLES = "Mrs Ms Miss Frau Madame Mme Señora Sra Signora Госпожа Κυρία".split()
@@ -51,7 +53,7 @@ PERSON = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{TITLE} {NAME}(?: {NAME})?|{GIVE
 #: begins with what rules most places out.
 FORMS = {
     "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<=[=: \"'])(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[A-Za-z0-9+/_.-]{6,}"
+    "secret": r"(?<=[=: \"'])(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)(?=[+/_.-]*[A-Za-z0-9])[A-Za-z0-9+/_.-]{6,}"
     r"|(?<![A-Za-z0-9])(?i:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -108,10 +110,12 @@ def atoms_of(mention: Column) -> Column:
     return F.when(kind == "person", person).otherwise(F.array(atom(kind, plain)))
 
 
-def drawn(key: str, kind: Column, value: Column, draw: Column) -> Column:
-    """The surrogate of an atom at a draw."""
-    seeds = [F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, draw.cast("string"), F.lit(str(i))), 512) for i in range(4)]
+def drawn(key: str, kind: Column, value: Column, draw: int) -> Column:
+    """The surrogate of an atom at a draw; from ``DRAWS`` on it is longer than the atom's form."""
+    seeds = [F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, F.lit(str(draw)), F.lit(str(i))), 512) for i in range(4)]
     noise = F.concat(*seeds)
+    more = max(0, draw - DRAWS + 1)
+    own, value = value, F.concat(value, F.lit("0" * more))
 
     def number(at: Column) -> Column:
         return F.conv(F.substring(noise, (at * 4) % 512 + 1, F.lit(4)), 16, 10).cast("int")
@@ -119,7 +123,7 @@ def drawn(key: str, kind: Column, value: Column, draw: Column) -> Column:
     def one_of(choices: str, at: Column) -> Column:
         return F.substring(F.lit(choices), number(at) % len(choices) + 1, F.lit(1))
 
-    hexadecimal = value.rlike("^[0-9a-f]+$") & (kind == "secret")
+    hexadecimal = own.rlike("^[0-9a-f]+$") & (kind == "secret")
 
     def filled(part: Column, shift: int = 0) -> Column:
         def char(c: Column, i: Column) -> Column:
@@ -135,23 +139,25 @@ def drawn(key: str, kind: Column, value: Column, draw: Column) -> Column:
         return F.array_join(F.transform(F.split(part, ""), char), "")
 
     def name(script: str, ending: str, syllables: int) -> Column:
-        parts = [F.element_at(F.array(*map(F.lit, SYLLABLES[script])), number(F.lit(i)) % len(SYLLABLES[script]) + 1) for i in range(syllables)]
+        parts = [F.element_at(F.array(*map(F.lit, SYLLABLES[script])), number(F.lit(i)) % len(SYLLABLES[script]) + 1) for i in range(syllables + more)]
         last = ENDINGS[script, ending]
-        return F.concat(*parts, F.element_at(F.array(*map(F.lit, last)), number(F.lit(9)) % len(last) + 1))
+        return F.concat(*parts, F.element_at(F.array(*map(F.lit, last)), number(F.lit(127)) % len(last) + 1))
 
     def kept(n: int) -> Column:
         return F.concat(F.substring(value, 1, n), F.substring(filled(value), F.lit(n + 1), F.length(value)))
 
-    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    local, domain = F.concat(F.substring_index(own, "@", 1), F.lit("0" * more)), F.substring_index(own, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     octets = [(number(F.lit(i)) % 254 + 1).cast("string") for i in range(3)]
+    # IPv4 has no longer form: its later draws are private IPv6 addresses.
+    version4 = F.concat_ws(".", F.lit("10"), *octets) if not more else F.concat(F.lit("fd"), *(F.concat(F.lit(":" if i else ""), F.substring(noise, 4 * i + 1, 4 if i else 2)) for i in range(8)))
     digits = kept(1)
     fixed = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), ((10 - luhn(F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), F.lit("0")))) % 10).cast("string"))
     found = F.when(kind == "email", F.concat(filled(local), F.lit("@"), filled(host, 64), F.lit("."), top))
-    found = found.when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
-    found = found.when(kind == "card", F.when(luhn(value) == 0, fixed).otherwise(digits))
-    found = found.when(kind == "phone", kept(1)).when(kind == "ssn", F.concat(F.lit("9"), F.substring(filled(value), 2, 8)))
+    found = found.when(kind == "ip", version4)
+    found = found.when(kind == "card", F.when(luhn(own) == 0, fixed).otherwise(digits))
+    found = found.when(kind == "phone", kept(1)).when(kind == "ssn", F.concat(F.lit("9"), F.substring(filled(value), F.lit(2), F.length(value))))
     found = found.when(kind == "iban", F.concat(F.substring(value, 1, 2), F.substring(filled(value), F.lit(3), F.length(value))))
     for script in SYLLABLES:
         for gender in ("f", "m"):
@@ -172,7 +178,10 @@ def luhn(digits: Column) -> Column:
 
 
 def registry(atoms: DataFrame, key: str) -> DataFrame:
-    """``kind, value, surrogate`` of every atom: distinct within a kind, and none an atom itself."""
+    """``kind, value, surrogate`` of every atom: distinct within a kind, and none an atom itself.
+
+    This ends, as each draw after the first ones has at least ten times the forms of the one before.
+    """
     spark = atoms.sparkSession
 
     def written(df: DataFrame) -> DataFrame:
@@ -182,8 +191,8 @@ def registry(atoms: DataFrame, key: str) -> DataFrame:
 
     todo = atoms = written(atoms.distinct())
     taken = None
-    for draw in range(DRAWS):
-        tried = todo.withColumn("surrogate", drawn(key, F.col("kind"), F.col("value"), F.lit(draw)))
+    for draw in count():
+        tried = todo.withColumn("surrogate", drawn(key, F.col("kind"), F.col("value"), draw))
         own = atoms.select("kind", F.col("value").alias("surrogate"))
         tried = tried.join(own.withColumn("real", F.lit(True)), ["kind", "surrogate"], "left")
         if taken is not None:
@@ -197,7 +206,6 @@ def registry(atoms: DataFrame, key: str) -> DataFrame:
         todo = tried.where("not good").select("kind", "value")
         if todo.isEmpty():
             return taken
-    raise ValueError(f"after {DRAWS} draws some atoms have no surrogate of their own: their form has too few")
 
 
 def written_as(mention: Column, parts: Column) -> Column:
@@ -207,9 +215,10 @@ def written_as(mention: Column, parts: Column) -> Column:
     shouted = (mention == F.upper(mention)) & mention.rlike(r"\p{Lu}")
 
     def slotted(pattern: str) -> Column:
-        """The surrogate's characters in the places of the mention's that fit the pattern."""
+        """The surrogate's characters in the places of the mention's that fit the pattern, the rest behind them."""
         chars = F.split(mention, "")
-        return F.array_join(
+        slots = F.length(F.regexp_replace(mention, f"[^{pattern[1:]}", ""))
+        filled = F.array_join(
             F.transform(
                 chars,
                 lambda c, i: F.when(
@@ -219,6 +228,7 @@ def written_as(mention: Column, parts: Column) -> Column:
             ),
             "",
         )
+        return F.concat(filled, F.substring(one, slots + 1, F.length(one)))
 
     title = F.regexp_extract(mention, f"^({TITLE} )", 1)
     person = F.concat(title, F.array_join(F.transform(parts, lambda p: F.initcap(p)), " "))

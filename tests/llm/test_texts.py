@@ -427,3 +427,18 @@ def test_registry_draws_again_for_small_forms(spark):
     atoms = spark.createDataFrame([("ssn", f"{i:03d}") for i in range(60)], "kind string, value string")
     rows = surrogates.registry(atoms, "k").collect()
     assert len(rows) == 60 and len({r.surrogate for r in rows}) == 60 and not {r.surrogate for r in rows} & {f"{i:03d}" for i in range(60)}
+
+
+def test_blank_secrets_are_left_and_used_up_forms_grow(spark):
+    texts = ["Password: ________", "token = ......", *(f"pwd: ...{i}..." for i in range(10)), "pwd: abc...", *(f"SSN 900-00-{i:04d}" for i in range(3))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in surrogates.replaced(docs, "k").orderBy("doc_id").collect()]
+    assert got[:2] == texts[:2] and len(set(got)) == len(texts) and not set(got[2:]) & set(texts)
+    atoms = [("given-f-latin", f"name{i}") for i in range(20_000)] + [("phone", f"{i:02d}") for i in range(100)] + [("iban", f"DE{i}") for i in range(10)]
+    rows = surrogates.registry(spark.createDataFrame(atoms, "kind string, value string"), "k").collect()
+    assert len(rows) == len({(r.kind, r.surrogate) for r in rows}) == len(atoms) and not {(r.kind, r.surrogate) for r in rows} & set(atoms)
+
+
+def test_grown_surrogates_are_written_whole(spark):
+    row = spark.createDataFrame([("123-45-6789", ["9876543210"])], "m string, p array<string>")
+    assert row.select(surrogates.written_as(F.col("m"), F.col("p"))).first()[0] == "987-65-43210"
