@@ -1,7 +1,7 @@
 """Main text of web pages by the maximum-scoring stretch of tokens (operator 2).
 
 A page becomes a row of words and tags. Elements that are never the article (menus, footers, forms,
-scripts, and elements whose class, id or role says so) are cut out first. Every word then scores
+scripts, and small elements whose class, id or role says so) are cut out first. Every word then scores
 positive and every tag negative, with weights learned from the labelled pages below; one linear scan
 finds the contiguous stretch of the highest sum, and its text is the page's text.
 """
@@ -45,13 +45,19 @@ NEVER = frozenset(
     "head title script style noscript template nav footer aside form button select textarea iframe object svg canvas "
     "menu dialog audio video math option input label".split()
 )
-#: A class, id or role with one of these words marks an element that does not belong to it either.
+#: One of these as a class, id or role marks an element that does not belong to it either, if it is small.
 MARKS = frozenset(
     "ad ads adv advert advertisement adverts banner promo promotion sponsor sponsored sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer header masthead topbar comment comments disqus reply replies respond cookie cookies notice notices consent "
     "gdpr popup modal overlay newsletter subscribe signup login share sharing social related recommended widget "
     "pagination pager toolbar search form contentinfo complementary alert skip hidden".split()
 )
+#: A marked element is cut only if it has at most one in ``SHARE`` of the page's words and none of ``RESUME``.
+SHARE = 3
+#: Of any size if it is one of these and the page has one of ``RESUME`` elsewhere.
+ADVERTS = frozenset("ad ads adv advert advertisement adverts sponsor sponsored".split())
+#: Elements that a mark does not cut.
+UNMARKED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 #: Elements whose content is no markup.
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,8 +75,7 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-NAME_PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 
 
 class Token(NamedTuple):
@@ -81,6 +86,7 @@ class Token(NamedTuple):
     text: str
     out: bool  # opens an element that does not belong
     note: str = ""
+    marks: frozenset[str] = frozenset()  # of the element it opens
 
 
 def tokenise(page: str) -> list[Token]:
@@ -91,18 +97,18 @@ def tokenise(page: str) -> list[Token]:
             found.append(Token("", False, text, False))
         elif match["name"]:
             name, attr = match["name"].lower(), match["attr"] or ""
-            out = not match["close"] and (name in NEVER or marked(attr))
-            found.append(Token(name, bool(match["close"]), "", out))
+            opens = not match["close"]
+            found.append(Token(name, not opens, "", opens and name in NEVER, marks=marks_of(attr) if opens and name not in UNMARKED else frozenset()))
         elif match["note"] is not None:
             found.append(Token("", False, "", False, match["note"]))
         # raw elements are never text: left out here
     return found
 
 
-def marked(attr: str) -> bool:
+def marks_of(attr: str) -> frozenset[str]:
     if "=" not in attr:
-        return False
-    return any(part.lower() in MARKS for value in ATTRIBUTE.findall(attr) for part in NAME_PARTS.findall(value))
+        return frozenset()
+    return MARKS.intersection(part for value in ATTRIBUTE.findall(attr) for part in value.strip("\"'").lower().split())
 
 
 def end_of(tokens: list[Token], start: int) -> int:
@@ -135,16 +141,45 @@ def end_of(tokens: list[Token], start: int) -> int:
     return len(tokens)
 
 
+def small_marked(tokens: list[Token]) -> dict[int, int]:
+    """Start and end of the marked elements that may be cut: closed, small, and without an article in them."""
+    marks = [at for at, token in enumerate(tokens) if token.marks]
+    if not marks:
+        return {}
+    ends: dict[int, int] = {}
+    open_at: dict[str, list[int]] = {}
+    words, resumes = [0], [0]
+    for at, token in enumerate(tokens):
+        words.append(words[-1] + len(token.text.split()))
+        resumes.append(resumes[-1] + (token.name in RESUME and not token.close))
+        if token.close and open_at.get(token.name):
+            ends[open_at[token.name].pop()] = at + 1
+        elif token.name and not token.close:
+            open_at.setdefault(token.name, []).append(at)
+    found = {}
+    for at in marks:
+        end = end_of(tokens, at) if tokens[at].name in OPEN_ENDED or tokens[at].name in VOID else ends.get(at)
+        if not end or resumes[end] > resumes[at]:
+            continue
+        if SHARE * (words[end] - words[at]) <= words[-1] or resumes[-1] and tokens[at].marks & ADVERTS:
+            found[at] = end
+    return found
+
+
 def belonging(tokens: list[Token]) -> list[Token]:
     """The tokens without the elements that never belong; a header counts only inside an article."""
     kept, at, inside = [], 0, 0
+    small = small_marked(tokens)
     while at < len(tokens):
         token = tokens[at]
         if token.name in ("article", "main"):
             inside = max(0, inside + (-1 if token.close else 1))
-        if token.out and token.name not in ("html", "body", "article", "main") or token.name == "header" and not token.close and not inside:
+        if token.out or token.name == "header" and not token.close and not inside:
             at = end_of(tokens, at)
             continue
+        if at in small:
+            at = small[at]
+            continue
         kept.append(token)
         at += 1
     return kept

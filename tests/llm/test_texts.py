@@ -353,6 +353,14 @@ def test_main_text(html, text):
     assert pages.main_text(html) == text
 
 
+@pytest.mark.parametrize("opening", ["<div id='content' class='site-content no-sidebar'>", "<div class='wrapper ad-free'>", "<div class='page header-fixed'>", "<div class='page header'>", "<div data-id='ad'>"])
+def test_marks_do_not_cut_the_article(opening):
+    page = f"<body>{opening}<p>First part of the text.</p><h2 id='search'>The search</h2><p class='share-price'>Shares rose today.</p></div><div class=ad>Buy</div></body>"
+    assert pages.main_text(page) == "First part of the text. The search Shares rose today."
+    assert pages.main_text("<div class='post-header'><h1>A title</h1></div><p>Some words follow here.") == "A title Some words follow here."
+    assert pages.main_text("<p>Some words stand here.<div class='ad'>and more of them follow.") == "Some words stand here. and more of them follow."
+
+
 def test_best_stretch_equals_brute_force():
     pick = random.Random(2)
     for _ in range(300):
