@@ -26,10 +26,21 @@ MALE_TITLES = "Mr Herr Monsieur Señor Sr Signor Господин Κύριος".
 OTHER_TITLES = "Dr Prof Mx".split()
 FEMALE_NAMES = (
     "Mary Emily Jessica Jennifer Elizabeth Katherine Michelle Julia Sophie Charlotte Monika Petra Brigitte Heike "
+    "Anna Maria Sarah Laura Lisa Linda Barbara Susan Nancy Karen Helen Sandra Carol Ruth Sharon Laura Emma Olivia Sophia Isabella "
+    "Hannah Rachel Rebecca Amanda Nicole Megan Amy Angela Christine Martha Alice Jane Anne Margaret Patricia Deborah Stephanie Victoria "
+    "Ursula Sabine Claudia Andrea Stefanie Katharina Ingrid Gisela Renate Birgit Silke Anja Lena Johanna "
+    "Marie Camille Nathalie Isabelle Sylvie Céline Élodie Aurélie Mathilde Amélie Carmen Lucía Sofía Elena Ana Isabel Pilar Marta Paula "
+    "Giulia Francesca Chiara Анна Елена Ирина Светлана Анастасия Людмила Μαρία Ελένη Άννα Σοφία "
     "Juliette Chloé Françoise Guadalupe Jimena Мария Ольга Наталья Татьяна Екатерина Κατερίνα Γεωργία"
 ).split()
 MALE_NAMES = (
     "James Michael William Joseph Jack Benjamin Matthew Patrick Jürgen Wolfgang Klaus Friedrich Jacques Philippe "
+    "John David Peter Paul Robert Richard Charles Thomas Christopher Daniel Anthony Donald Steven Andrew Kenneth George Joshua Kevin "
+    "Brian Edward Ronald Timothy Jason Jeffrey Ryan Jacob Nicholas Eric Jonathan Stephen Larry Justin Scott Brandon Samuel Gregory "
+    "Alexander Simon Oliver Henry Arthur Lucas Noah Liam Ethan Adam Nathan Hans Jürgen Stefan Andreas Martin Markus Sebastian Tobias Florian "
+    "Johannes Matthias Uwe Heinz Dieter Günter Karl Pierre Jean Michel Nicolas Julien Antoine François Laurent Olivier Luc Carlos José "
+    "Juan Luis Miguel Antonio Manuel Pedro Pablo Diego Fernando Alejandro Marco Giovanni Luca Matteo "
+    "Александр Сергей Андрей Николай Павел Γιάννης Νίκος Δημήτρης "
     "Guillaume Joaquín Jorge Javier Иван Дмитрий Михаил Владимир Алексей Κώστας Γιώργος"
 ).split()
 
@@ -47,20 +58,27 @@ ENDINGS = {
 
 NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 TITLE = "(?:" + "|".join([*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES]) + r")\b\.?"
-GIVEN = "(?:" + "|".join([*FEMALE_NAMES, *MALE_NAMES]) + ")"
+#: By their first letter, so a word is held against few names.
+GIVEN = "(?:" + "|".join(
+    f"{letter}(?:" + "|".join(sorted({n[1:] for n in [*FEMALE_NAMES, *MALE_NAMES] if n[0] == letter})) + ")"
+    for letter in sorted({n[0] for n in [*FEMALE_NAMES, *MALE_NAMES]})
+) + ")"
 PERSON = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{TITLE} {NAME}(?: {NAME})?|{GIVEN} {NAME})(?![\p{{L}}\p{{N}}])"
 #: Kinds and what they look like, in the order in which they are tried at a place of the text. Each
 #: begins with what rules most places out.
 FORMS = {
     "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<=[=: \"'])(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)(?=[+/_.-]*[A-Za-z0-9])[A-Za-z0-9+/_.-]{6,}"
+    "secret": r"(?<=[=: \"'])(?<=[=:][ ]{0,3}[\"']?)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[=:][ ]{0,3}[\"']?)(?=[+/_.-]*[A-Za-z0-9])[A-Za-z0-9+/_.-]{6,}"
     r"|(?<![A-Za-z0-9])(?i:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
+    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
+    r"|(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{0,4}:)(?=[A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
-    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
+    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+    r"|\(?0[1-9][0-9]{1,3}\)?[ /-][0-9]{3,4}(?:[ -]?[0-9]{2,4}){1,2}|0[1-9](?:[ .][0-9]{2}){4})(?![0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "person": PERSON,
 }
@@ -151,11 +169,12 @@ def drawn(key: str, kind: Column, value: Column, draw: int) -> Column:
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     octets = [(number(F.lit(i)) % 254 + 1).cast("string") for i in range(3)]
     # IPv4 has no longer form: its later draws are private IPv6 addresses.
-    version4 = F.concat_ws(".", F.lit("10"), *octets) if not more else F.concat(F.lit("fd"), *(F.concat(F.lit(":" if i else ""), F.substring(noise, 4 * i + 1, 4 if i else 2)) for i in range(8)))
+    version6 = F.concat(F.lit("fd"), *(F.concat(F.lit(":" if i else ""), F.substring(noise, 4 * i + 1, 4 if i else 2)) for i in range(8)))
+    version4 = version6 if more else F.concat_ws(".", F.lit("10"), *octets)
     digits = kept(1)
     fixed = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), ((10 - luhn(F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), F.lit("0")))) % 10).cast("string"))
     found = F.when(kind == "email", F.concat(filled(local), F.lit("@"), filled(host, 64), F.lit("."), top))
-    found = found.when(kind == "ip", version4)
+    found = found.when(kind == "ip", F.when(own.contains(":"), version6).otherwise(version4))
     found = found.when(kind == "card", F.when(luhn(own) == 0, fixed).otherwise(digits))
     found = found.when(kind == "phone", kept(1)).when(kind == "ssn", F.concat(F.lit("9"), F.substring(filled(value), F.lit(2), F.length(value))))
     found = found.when(kind == "iban", F.concat(F.substring(value, 1, 2), F.substring(filled(value), F.lit(3), F.length(value))))

@@ -450,3 +450,22 @@ def test_blank_secrets_are_left_and_used_up_forms_grow(spark):
 def test_grown_surrogates_are_written_whole(spark):
     row = spark.createDataFrame([("123-45-6789", ["9876543210"])], "m string, p array<string>")
     assert row.select(surrogates.written_as(F.col("m"), F.col("p"))).first()[0] == "987-65-43210"
+
+
+FOUND = [
+    ('{"password": "hunter2222"}', "hunter2222"), ("'api_key' : 'abc.def-123'", "abc.def-123"), ("call 555 123 4567 now", "555 123 4567"),
+    ("Tel. 030 1234567", "030 1234567"), ("(0221) 4567 890", "(0221) 4567 890"), ("01 23 45 67 89", "01 23 45 67 89"), ("020 7946 0958", "020 7946 0958"),
+    ("from 2001:db8::8a2e:370:7334 port", "2001:db8::8a2e:370:7334"), ("fe80:0:0:0:1:2:3:4", "fe80:0:0:0:1:2:3:4"), ("at ::1", "::1"),
+    *((f"met {name} Miller there", f"{name} Miller") for name in ("John", "David", "Anna", "Maria", "Peter")),
+]
+
+
+def test_common_forms_are_found_and_others_left(spark):
+    left = ["std::vector<int> a::b at 12:30:45", "on 2020-01-02, 3 000 or 10 200 items", "Note: this"]
+    texts = [t for t, _ in FOUND] + left
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in surrogates.replaced(docs, "k").orderBy("doc_id").collect()]
+    for new, (old, mention) in zip(got, FOUND):
+        before, after = old.split(mention)
+        assert new.startswith(before) and new.endswith(after) and mention not in new
+    assert got[len(FOUND) :] == left
