@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, decontaminate, language, nearest, pages, repeats, simhash, surrogates, toxicity
+from tessera.llm import archives, bpe, decontaminate, idfiles, language, nearest, pages, repeats, simhash, surrogates, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -58,6 +58,14 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"), every=100)
 
 
+def op12_idfiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each document's ids stand in the files, how many they are, and their checksum."""
+    import public_tokenizers
+
+    docs, files = table(spark, folder, "documents"), scratch_path(spark, "ids")
+    return idfiles.id_files(docs, public_tokenizers.path("word_bpe_49k.json"), 1, files)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pages": op2_pages,
@@ -69,6 +77,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_nearest": op10_nearest,
+    "op12_idfiles": op12_idfiles,
 }
 
 SQL: dict[str, str] = {
