@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, decontaminate, idfiles, language, nearest, pages, repeats, simhash, surrogates, toxicity
+from tessera.llm import archives, bpe, decontaminate, idfiles, language, nearest, pages, prefixes, repeats, simhash, surrogates, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -58,6 +58,10 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"), every=100)
 
 
+def op11_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, folder, "conversations"))
+
+
 def op12_idfiles(spark: SparkSession, folder: str) -> DataFrame:
     """Where each document's ids stand in the files, how many they are, and their checksum."""
     import public_tokenizers
@@ -77,10 +81,12 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_nearest": op10_nearest,
+    "op11_prefixes": op11_prefixes,
     "op12_idfiles": op12_idfiles,
 }
 
 SQL: dict[str, str] = {
     "op3_warc": archives.SQL,
     "op10_nearest": nearest.SQL,
+    "op11_prefixes": prefixes.SQL,
 }
