@@ -13,6 +13,7 @@ files read in the order of (shard, ids before) hold the ids in the order of the
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -22,17 +23,24 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.functions.bytes import byte_order
 from tessera.llm.batches import slices
+from tessera.llm.chunks import Lists, Numbers, sums_at
 from tessera.session import scratch_path
 
 #: Ids in a word and bits of each, by selector; selector 0 is the escape.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
+#: The largest id of each selector but the escape, and the place among them of every id up to 16 bits.
+LARGEST = np.array([(1 << int(b)) - 1 for b in BITS[1:]], np.uint64)
+SMALL = np.searchsorted(LARGEST, np.arange(1 << 16)).astype(np.uint8)
 #: The selector stands in the upper bits from here on.
 DATA_BITS = 60
 #: Opens a block: magic, shard, ids of the shard before it, documents, words.
@@ -44,6 +52,10 @@ BLOCK_BYTES = 1 << 20
 BLOCKS_PER_FILE = 16
 #: Bytes of words a shard is meant to hold.
 SHARD_BYTES = 64 << 20
+#: Fixed value: the public pattern of the pieces a text is cut into before merging.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters below this one are composed already and have a lower case of their own, but for one of two characters.
+LATIN_END, DOTTED, BLANK = "\u0250", "\u0130", " "
 #: Documents before this many shards are summed up in one go when starts are formed.
 SHARD_GROUP = 1024
 
@@ -54,31 +66,35 @@ SHARD_GROUP = 1024
 def packed(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words for ids (unsigned 64-bit) of documents that end at ``ends``, and the words' ends.
 
-    Each word takes the most ids that fit from where the one before stopped, within its document.
+    Each word takes the most ids that fit from where the one before stopped, within its document. The
+    ids are laid out with zeros after each document, so no word reaches into the next one.
     """
-    n = len(ids)
-    if not n:
+    if not len(ids):
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
-    here = np.arange(n, dtype=np.int32)
-    end_of = np.repeat(ends.astype(np.int32), np.diff(ends, prepend=0))
-    # Where the word that starts at each id stops, and its selector.
-    stop, chosen = here + 1, np.zeros(n, np.uint8)
-    widest = int(ids.max()).bit_length()
+    counts, gap = np.diff(ends, prepend=0), int(COUNTS.max())
+    firsts = ends - counts + gap * np.arange(len(ends))
+    laid = np.zeros(len(ids) + gap * len(ends), np.uint64)
+    laid[np.arange(len(ids)) + np.repeat(gap * np.arange(len(ends)), counts)] = ids
+    # The first selector whose width holds the id; the escape's if none does.
+    wide = SMALL[laid] if int(ids.max()) < len(SMALL) else np.searchsorted(LARGEST, laid).astype(np.uint8)
+    chosen, widest = np.zeros(len(laid), np.uint8), {1: wide}
+
+    def widest_of(n: int) -> np.ndarray:
+        """The largest of each ``n`` neighbours, from those of fewer."""
+        if n not in widest:
+            half = 1 << (n - 1).bit_length() - 1
+            most = widest_of(half).copy()
+            np.maximum(most[: len(most) - (n - half)], widest_of(half)[n - half :], out=most[: len(most) - (n - half)])
+            widest[n] = most
+        return widest[n]
+
     for selector in range(len(BITS) - 1, 0, -1):
-        count, bits = int(COUNTS[selector]), int(BITS[selector])
-        reach = np.minimum(here + count, end_of)
-        if bits >= widest:
-            stop, chosen = reach, np.full(n, selector, np.uint8)
-            continue
-        too_wide = np.where(ids >> np.uint64(bits) != 0, here, n)
-        first = np.minimum.accumulate(too_wide[::-1])[::-1]
-        fits = first >= reach
-        if fits.any():
-            stop, chosen = np.where(fits, reach, stop), np.where(fits, np.uint8(selector), chosen)
-    jumps, starts, at = stop.tolist(), [], 0
-    while at < n:
-        starts.append(at)
-        at = jumps[at]
+        np.putmask(chosen, widest_of(int(COUNTS[selector])) < selector, selector)
+    steps, kinds, starts = COUNTS.tolist(), chosen.tobytes(), []
+    for at, stop in zip(firsts.tolist(), (firsts + counts).tolist()):
+        while at < stop:
+            starts.append(at)
+            at += steps[kinds[at]]
     starts = np.array(starts)
     kinds = chosen[starts]
     place = np.cumsum(1 + (kinds == 0)) - 1 - (kinds == 0)
@@ -87,17 +103,14 @@ def packed(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mine = kinds == selector
         first, to = starts[mine], place[mine]
         if selector == 0:
-            words[to + 1] = ids[first]
+            words[to + 1] = laid[first]
             continue
         word, bits = np.full(len(first), selector << DATA_BITS, np.uint64), int(BITS[selector])
-        last = stop[first]
         for slot in range(int(COUNTS[selector]) if bits else 0):
-            held = first + slot
-            value = np.where(held < last, ids[np.minimum(held, n - 1)], np.uint64(0))
-            word |= value << np.uint64(slot * bits)
+            word |= laid[first + slot] << np.uint64(slot * bits)
         words[to] = word
-    # A document's words end where the first word of a later id begins.
-    after = np.searchsorted(starts, ends)
+    # A document's words end where the first word of a later one begins.
+    after = np.searchsorted(starts, firsts + counts)
     return words, np.concatenate((place, [len(words)]))[after]
 
 
@@ -200,25 +213,112 @@ def blocks_in(data: bytes) -> Iterator[Block]:
 # -- tables ---------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Library:
+    """Ids of texts by a vocabulary file of the library.
+
+    No token spans white space, so what stands between two blanks is encoded once and remembered. The
+    library's whole chain encodes it, or, where all characters are below ``LATIN_END`` and its steps come down to lower
+    case and a pattern, its model each piece.
+    """
 
-    loaded = Tokenizer.from_file(path)
-    loaded.no_truncation()
-    loaded.no_padding()
-    return loaded
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.cut = cut_at_blanks(spec)
+        self.latin = regex.compile(f"{PIECES}|{BLANK}") if self.cut else None
+        self.special = tuple(entry["content"] for entry in spec.get("added_tokens", []))
+        order = byte_order()
+        own = len(order) - sum(b < 33 or 126 < b < 161 or b == 173 for b in order)
+        self.letters = {b: chr(b) if i < own else chr(256 + i - own) for i, b in enumerate(order)}
+        self.model = self.whole.model
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.ids = Numbers(), Lists(np.uint64)
+
+    def simple(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and their numbers for stretches without any character from ``LATIN_END`` on."""
+        pieces = pa.array(self.latin.findall(" ".join(stretches).lower()), pa.string()).dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        plain = ["" if text == BLANK else text.encode().decode("latin-1").translate(self.letters) for text in different]
+        found = [[token.id for token in tokens] for tokens in map(self.model.tokenize, plain)]
+        table = Lists(np.uint64)
+        table.add(np.array([i for ids in found for i in ids], np.uint64), [len(ids) for ids in found])
+        numbers = np.asarray(pieces.indices)
+        ids, sizes = table.of(numbers)
+        blank = different.index(BLANK) if BLANK in different else -1
+        return ids, sums_at(sizes, np.append(np.flatnonzero(numbers == blank), len(numbers)))
+
+    def learned(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and their numbers for stretches not seen before."""
+        plain = np.zeros(len(stretches), bool)
+        if self.latin:
+            plain[:] = [t.isascii() or max(t) < LATIN_END and DOTTED not in t for t in stretches]
+            for special in self.special:
+                plain &= [special not in t for t in stretches]
+        found = [self.whole.encode(t, add_special_tokens=False).ids for t, p in zip(stretches, plain.tolist()) if not p]
+        easy = [t for t, p in zip(stretches, plain.tolist()) if p]
+        sizes = np.zeros(len(stretches), np.int64)
+        sizes[~plain] = [len(ids) for ids in found]
+        if not easy:
+            return np.array([i for ids in found for i in ids], np.uint64), sizes
+        ids, sizes[plain] = self.simple(easy)
+        flat, mine = np.zeros(int(sizes.sum()), np.uint64), np.repeat(plain, sizes)
+        flat[mine], flat[~mine] = ids, [i for ids in found for i in ids]
+        return flat, sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the texts' ends; a null has none."""
+        if self.numbers.full:
+            self.forget()
+        texts = texts.fill_null("")
+        if self.cut:
+            cut = pc.ascii_split_whitespace(texts)
+            stretches, ends = cut.flatten(), np.cumsum(np.asarray(cut.value_lengths()))
+        else:
+            stretches, ends = texts, np.arange(1, len(texts) + 1)
+        coded = stretches.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers, new = self.numbers.of(different)
+        unknown = [different[i] for i in np.flatnonzero(new).tolist()]
+        sizes = np.zeros(len(different), np.int64)
+        flat, sizes[new] = self.learned(unknown) if unknown else (np.zeros(0, np.uint64), 0)
+        self.ids.add(flat, sizes)
+        self.numbers.size += sum(map(len, unknown))
+        ids, sizes = self.ids.of(numbers[np.asarray(coded.indices)])
+        return ids, np.cumsum(sums_at(sizes, ends))
+
+
+def cut_at_blanks(spec: dict) -> bool:
+    """Whether the file's steps are those whose tokens never span white space, whatever stands beside it."""
+    steps = [[step.get("type") for step in (spec.get(part) or {}).get(many, [])] for part, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+    pattern = steps[1] == ["Split", "ByteLevel"] and spec["pre_tokenizer"]["pretokenizers"][0]
+    return bool(
+        steps[0] == ["NFC", "Replace", "Lowercase"]
+        and pattern
+        and pattern["pattern"].get("Regex") == PIECES
+        and (pattern["behavior"], pattern["invert"]) == ("Removed", True)
+        and not any(e["lstrip"] or e["rstrip"] or any(c.isspace() for c in e["content"]) for e in spec.get("added_tokens", []))
+    )
+
+
+@lru_cache(maxsize=2)
+def library(path: str) -> Library:
+    return Library(path)
 
 
-def library_ids(path: str, end_id: int | None) -> Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]:
+def library_ids(path: str, end_id: int | None) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Encodes texts to all their ids in a row and the documents' ends; ``end_id`` closes each."""
 
-    def run(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        found = tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
-        close = [] if end_id is None else [end_id]
-        ids = [np.array(e.ids + close, np.uint64) for e in found]
-        return np.concatenate(ids), np.cumsum([len(i) for i in ids])
+    def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, ends = library(path).encode(texts)
+        return (ids, ends) if end_id is None else (np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1))
 
     return run
 
@@ -228,7 +328,7 @@ def packed_rows(docs: DataFrame, encode: Callable, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            ids, ends = encode(part.column(2).to_pylist())
+            ids, ends = encode(part.column(2))
             words, word_ends = packed(ids, ends)
             data, cuts = words.astype("<u8").tobytes(), (8 * np.concatenate(([0], word_ends))).tolist()
             counts = np.diff(ends, prepend=0)
