@@ -68,3 +68,17 @@ class Lists:
 def sums_at(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of ``values`` of the stretches that end at ``ends``."""
     return np.diff(np.concatenate(([0], np.cumsum(values)))[ends], prepend=0)
+
+
+def flattened(lists: list, kind=np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists in a row, and how many each has."""
+    return np.array([value for values in lists for value in values], kind), np.array([len(values) for values in lists], np.int64)
+
+
+def dealt_back(mine: np.ndarray, these: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values in a row and their numbers, where ``mine`` tells which lists are those of the first pair."""
+    sizes = np.zeros(len(mine), np.int64)
+    sizes[mine], sizes[~mine] = these[1], others[1]
+    flat, first = np.zeros(int(sizes.sum()), these[0].dtype), np.repeat(mine, sizes)
+    flat[first], flat[~first] = these[0], others[0]
+    return flat, sizes

@@ -25,14 +25,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.bytes import byte_order
 from tessera.llm.batches import slices
-from tessera.llm.chunks import Lists, Numbers, sums_at
+from tessera.llm.chunks import Lists, Numbers, dealt_back, flattened, sums_at
 from tessera.session import scratch_path
 
 #: Ids in a word and bits of each, by selector; selector 0 is the escape.
@@ -50,8 +49,8 @@ MAGIC = b"S8B1"
 #: Bytes of words after which a block is closed, and blocks of a file.
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_FILE = 16
-#: Bytes of words a shard is meant to hold.
-SHARD_BYTES = 64 << 20
+#: Bytes of text a shard is meant to hold, and most shards; beyond that shards are larger. They are never held whole.
+SHARD_BYTES, SHARDS = 64 << 20, 1 << 14
 #: Fixed value: the public pattern of the pieces a text is cut into before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters below this one are composed already and have a lower case of their own, but for one of two characters.
@@ -247,9 +246,8 @@ class Library:
         pieces = pa.array(self.latin.findall(" ".join(stretches).lower()), pa.string()).dictionary_encode()
         different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         plain = ["" if text == BLANK else text.encode().decode("latin-1").translate(self.letters) for text in different]
-        found = [[token.id for token in tokens] for tokens in map(self.model.tokenize, plain)]
         table = Lists(np.uint64)
-        table.add(np.array([i for ids in found for i in ids], np.uint64), [len(ids) for ids in found])
+        table.add(*flattened([[token.id for token in tokens] for tokens in map(self.model.tokenize, plain)], np.uint64))
         numbers = np.asarray(pieces.indices)
         ids, sizes = table.of(numbers)
         blank = different.index(BLANK) if BLANK in different else -1
@@ -262,16 +260,9 @@ class Library:
             plain[:] = [t.isascii() or max(t) < LATIN_END and DOTTED not in t for t in stretches]
             for special in self.special:
                 plain &= [special not in t for t in stretches]
-        found = [self.whole.encode(t, add_special_tokens=False).ids for t, p in zip(stretches, plain.tolist()) if not p]
         easy = [t for t, p in zip(stretches, plain.tolist()) if p]
-        sizes = np.zeros(len(stretches), np.int64)
-        sizes[~plain] = [len(ids) for ids in found]
-        if not easy:
-            return np.array([i for ids in found for i in ids], np.uint64), sizes
-        ids, sizes[plain] = self.simple(easy)
-        flat, mine = np.zeros(int(sizes.sum()), np.uint64), np.repeat(plain, sizes)
-        flat[mine], flat[~mine] = ids, [i for ids in found for i in ids]
-        return flat, sizes
+        rest = [self.whole.encode(t, add_special_tokens=False).ids for t, p in zip(stretches, plain.tolist()) if not p]
+        return dealt_back(plain, self.simple(easy) if easy else flattened([], np.uint64), flattened(rest, np.uint64))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the texts' ends; a null has none."""
@@ -323,55 +314,85 @@ def library_ids(path: str, end_id: int | None) -> Callable[[pa.Array], tuple[np.
     return run
 
 
-def packed_rows(docs: DataFrame, encode: Callable, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` (long), ``tie``, ``n`` ids and their ``words`` of every row."""
+class Ranges(NamedTuple):
+    """Ranges of keys: the first ``nulls`` shards hold null keys, then one begins after each cut. Where cuts repeat, the
+    key's rows are shared out among its shards by their ties."""
+
+    nulls: int
+    cuts: np.ndarray
+
+    def shard_of(self, keys: pa.Array, ties: pa.Array) -> np.ndarray:
+        known = ~np.asarray(keys.is_null())
+        values, share = np.asarray(keys.fill_null(0)), np.asarray(ties) / 2.0**64 + 0.5
+        first = np.where(known, np.searchsorted(self.cuts, values, "left"), 0)
+        held = np.where(known, np.searchsorted(self.cuts, values, "right") - first, self.nulls)
+        return first + np.where(known, self.nulls, 0) + np.clip((share * held).astype(np.int64), 0, np.maximum(held - 1, 0))
+
+
+def key_ranges(rows: DataFrame, least: int) -> Ranges:
+    """``least`` ranges of ``key`` with about equally many rows, or as many as keep ``SHARD_BYTES`` of ``text`` each, up to ``SHARDS``."""
+    n, nulls, size = rows.agg(F.count("*"), F.count_if(F.col("key").isNull()), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = min(max(least, -(-size // SHARD_BYTES), 1), SHARDS)
+    for_null = -(-nulls * shards // n) if nulls else 0
+    parts = max(shards - for_null, 1)
+    wanted = [i / parts for i in range(1, parts)]
+    cuts = rows.agg(F.percentile_approx("key", wanted, max(10_000, 20 * parts))).first()[0] if wanted and n > nulls else []
+    return Ranges(for_null, np.array(cuts, np.int64))
+
+
+def packed_rows(rows: DataFrame, encode: Callable, ranges: Ranges) -> DataFrame:
+    """``shard, key, tie``, ``n`` ids and their ``words`` for ``key, tie, text``."""
+    nulls, cuts = ranges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             ids, ends = encode(part.column(2))
             words, word_ends = packed(ids, ends)
-            data, cuts = words.astype("<u8").tobytes(), (8 * np.concatenate(([0], word_ends))).tolist()
+            data, places = words.astype("<u8").tobytes(), (8 * np.concatenate(([0], word_ends))).tolist()
+            shard = Ranges(nulls, cuts).shard_of(part.column(0), part.column(1))
             counts = np.diff(ends, prepend=0)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                names=["key", "tie", "n", "words"],
-            )
+                [
+                    pa.array(shard, pa.int32()), part.column(0), part.column(1), pa.array(counts, pa.int64()),
+                    pa.array([data[a:b] for a, b in zip(places, places[1:])], pa.binary()),
+                ],
+                names=["shard", "key", "tie", "n", "words"],
+            )
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "key long, tie long, n long, words binary")
+    return rows.mapInArrow(run, "shard int, key long, tie long, n long, words binary")
 
 
 def write_ids(docs: DataFrame, encode: Callable, folder: str, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of every row's text below ``folder``, in ascending order of ``key``.
 
-    Null keys come first; rows of the same key follow each other by a hash of their texts. The ids are
-    formed once and written, then dealt by ranges of the key, so a key that repeats is cut as well.
+    Null keys come first; rows of the same key follow each other by a hash of their texts. Shards are
+    ranges of the key, and of that hash where one key has more rows than a shard.
     """
     spark = docs.sparkSession
-    path = scratch_path(spark, "packed")
-    packed_rows(docs, encode, key, text).write.parquet(path)
-    rows = spark.read.schema("key long, tie long, n long, words binary").parquet(path)
-    size = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 3  # ids of 20 bits fit three to a word
-    shards = max(1, -(-size // SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
+    ranges = key_ranges(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, before, held, size = TaskContext.get().partitionId(), 0, [], 0
+        shard, before, held, size = None, 0, [], 0
 
         def closed() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([block_of(shard, before, held)], pa.binary())], names=["block"])
 
         for part in slices(batches):
-            for document in map(Document, *(part.column(i).to_pylist() for i in range(3))):
-                held.append(document)
-                size += len(document.words)
-                if size >= BLOCK_BYTES:
+            for at, *document in zip(*(part.column(i).to_pylist() for i in range(4))):
+                if held and (size >= BLOCK_BYTES or at != shard):
                     yield closed()
                     before, held, size = before + sum(d.count for d in held), [], 0
+                if at != shard:
+                    shard, before = at, 0
+                held.append(Document(*document))
+                size += len(held[-1].words)
         if held:
             yield closed()
 
-    order = [F.col("key").asc_nulls_first(), F.col("tie")]
-    dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("key", "n", "words")
+    shards = ranges.nulls + len(ranges.cuts) + 1
+    dealt = packed_rows(rows, encode, ranges).repartitionById(shards, F.col("shard"))
+    dealt = dealt.sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "tie").select("shard", "key", "n", "words")
     blocks = dealt.mapInArrow(run, "block binary").select(F.col("block").cast("string"))
     blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE).option("lineSep", "\n").text(folder)
 
