@@ -19,17 +19,21 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.bytes import byte_order
 from tessera.llm.batches import slices
+from tessera.llm.chunks import Grown, Lists, Numbers, dealt_back, flattened, sums_at
 from tessera.session import scratch_path
 
 #: Most pairs of an index that is sent to all tasks; about 17 bytes each.
@@ -38,6 +42,12 @@ LOT_KEYS = 1 << 22
 HELD_PAIRS, ROW_PAIRS = 1 << 21, 1 << 16
 #: Counts in a piece of a dense vector.
 PIECE = 1 << 14
+#: The characters of white space, the sign pieces have for a blank, and the public pattern of pieces.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = "\u2581"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A run of white space and what follows it.
+STRETCHES = re.compile(f"[{SPACE}]+[^{SPACE}]*")
 #: Bits of a level of the perfect hash for each key it has to place.
 SPARE = 2
 #: Odd multipliers and steps of a 64-bit mixer.
@@ -48,7 +58,11 @@ MIXERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
 class Aligner:
-    """Both tokenizers, with the bytes of each id."""
+    """Both tokenizers, with the bytes of each id.
+
+    Where the files allow it, a text is cut before every run of white space: no token of either
+    vocabulary then reaches over a cut, and what stands between two cuts has the same tokens wherever it stands.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,33 +75,73 @@ class Aligner:
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         with open(byte_path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            spec = json.load(file)
         order = byte_order()
         own = len(order) - sum(b < 33 or 126 < b < 161 or b == 173 for b in order)
-        byte_of = {chr(b) if i < own else chr(256 + i - own): b for i, b in enumerate(order)}
+        self.letters = {b: chr(b) if i < own else chr(256 + i - own) for i, b in enumerate(order)}
+        byte_of = {letter: b for b, letter in self.letters.items()}
+        vocabulary = spec["model"]["vocab"]
         self.a_bytes = [b""] * max(self.first.get_vocab_size(), max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token)
         pieces = range(self.second.get_piece_size())
         names = [self.second.id_to_piece(i) for i in pieces]
         self.b_bytes = [
-            bytes([int(name[3:5], 16)]) if self.second.is_byte(i) else name.replace("▁", " ").encode() for i, name in zip(pieces, names)
+            bytes([int(name[3:5], 16)]) if self.second.is_byte(i) else name.replace(BLANK, " ").encode() for i, name in zip(pieces, names)
         ]
         self.a_size = np.array([len(b) for b in self.a_bytes])
         self.b_size = np.array([len(b) for b in self.b_bytes])
         # A token's text in a group: its id and what follows it.
         self.told = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"] + [f"{i}{end}" for i in pieces for end in ",;"]
-
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids by both tokenizers; none for a text that is null, empty or not given back by the tokens of both."""
-        spaced = [" " + t if t else "" for t in texts]
-        a = [e.ids for e in self.first.encode_batch(spaced, add_special_tokens=False)]
-        b = self.second.encode([t or "" for t in texts], num_threads=1)
-        for i, text in enumerate(spaced):
-            data = text.encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[i])) != data or b"".join(map(self.b_bytes.__getitem__, b[i])) != data:
-                a[i], b[i] = [], []
-        return a, b
+        self.blank = self.second.piece_to_id(BLANK)
+        self.pieces = regex.compile(PIECES) if self.cuts_at_space(spec, names) else None
+        # White space that stands beside other characters in a piece: texts with it are not cut.
+        self.joined = {c for i, name in zip(pieces, names) if len(name) > 1 and not self.second.is_byte(i) for c in name if c in SPACE}
+        self.model = self.first.model
+
+    def cuts_at_space(self, spec: dict, names: list[str]) -> bool:
+        """Whether both files are such that texts can be cut before white space."""
+        steps = spec.get("pre_tokenizer") or {}
+        if steps.get("type") != "ByteLevel" or steps.get("add_prefix_space") or not steps.get("use_regex", True) or spec.get("normalizer"):
+            return False
+        signs = "".join(chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000) + " a  b "
+        if self.second.normalize(signs) != BLANK + signs.replace(" ", BLANK):
+            return False
+        return not any(regex.search(f"[^{BLANK}]{BLANK}", name) for name in names)
+
+    def cut(self, text: str) -> list[str]:
+        return STRETCHES.findall(text) if self.pieces and not any(c in text for c in self.joined) else [text]
+
+    def first_ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and how many each stretch has, by the byte vocabulary."""
+        easy = np.array([bool(self.pieces) and s[-1] not in SPACE for s in stretches], bool)
+        plain = [s for s, e in zip(stretches, easy.tolist()) if e]
+        rest = [s for s, e in zip(stretches, easy.tolist()) if not e]
+        found = flattened([e.ids for e in self.first.encode_batch(rest, add_special_tokens=False)])
+        return dealt_back(easy, self.by_piece(plain) if plain else flattened([]), found)
+
+    def by_piece(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for stretches that end in no white space: cut together, as no piece reaches from one to the next."""
+        cut = pa.array(self.pieces.findall("".join(stretches)), pa.large_string())
+        last = np.searchsorted(np.cumsum(np.asarray(pc.utf8_length(cut))), np.cumsum([len(s) for s in stretches])) + 1
+        coded = cut.dictionary_encode()
+        plain = [p.encode().decode("latin-1").translate(self.letters) for p in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        table = Lists()
+        table.add(*flattened([[token.id for token in tokens] for tokens in map(self.model.tokenize, plain)]))
+        ids, sizes = table.of(np.asarray(coded.indices))
+        return ids, sums_at(sizes, last)
+
+    def second_ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers by the piece vocabulary, which puts a blank before each text."""
+        found = self.second.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
+        for i in [i for i, s in enumerate(stretches) if s[0] != " " or s == " "]:
+            if stretches[i] == " ":
+                found[i] = [self.blank]
+                continue
+            if found[i][:1] != [self.blank]:
+                raise ValueError("white space that begins a stretch became part of a token")
+            found[i] = found[i][1:]
+        return flattened(found)
 
 
 @lru_cache(maxsize=2)
@@ -96,22 +150,36 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
 
 
 class Aligned(NamedTuple):
-    """Tokens of several texts in a row: ids, the texts' ends among them, last tokens of groups, links."""
+    """Tokens of several stretches in a row: ids and how many of each stretch, last tokens of groups, links; and
+    the stretches that the tokens don't give back, which have none."""
 
     a: np.ndarray
     b: np.ndarray
-    a_ends: np.ndarray
-    b_ends: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
     a_last: np.ndarray
     b_last: np.ndarray
     link_a: np.ndarray
     link_b: np.ndarray
+    spoilt: np.ndarray
+
 
+def given_back(ids: np.ndarray, n: np.ndarray, names: list[bytes], sizes: np.ndarray, stretches: list[bytes], wanted: np.ndarray) -> np.ndarray:
+    """Whether the bytes of its ids are those of each stretch, which has ``wanted`` bytes."""
+    parts = list(map(names.__getitem__, ids.tolist()))
+    if np.array_equal(sums_at(sizes[ids], np.cumsum(n)), wanted) and b"".join(parts) == b"".join(stretches):
+        return np.ones(len(stretches), bool)
+    cuts = np.concatenate(([0], np.cumsum(n))).tolist()
+    return np.array([b"".join(parts[i:j]) == s for i, j, s in zip(cuts, cuts[1:], stretches)])
 
-def aligned(tools: Aligner, texts: list[str | None]) -> Aligned:
-    """The alignment of all texts at once: their bytes follow each other, so no range crosses a text."""
-    many_a, many_b = tools.tokens(texts)
-    a, b = (np.array([i for ids in many for i in ids], np.int64) for many in (many_a, many_b))
+
+def aligned(tools: Aligner, stretches: list[str]) -> Aligned:
+    """The alignment of all stretches at once: their bytes follow each other, so no range crosses one."""
+    (a, n_a), (b, n_b) = tools.first_ids(stretches), tools.second_ids(stretches)
+    data = [s.encode() for s in stretches]
+    wanted = np.fromiter(map(len, data), np.int64, len(data))
+    good = given_back(a, n_a, tools.a_bytes, tools.a_size, data, wanted) & given_back(b, n_b, tools.b_bytes, tools.b_size, data, wanted)
+    a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
     stop_a, stop_b = np.cumsum(tools.a_size[a]), np.cumsum(tools.b_size[b])
     first = np.searchsorted(stop_b, stop_a - tools.a_size[a], "right")
     last = np.searchsorted(stop_b, stop_a, "left")
@@ -121,35 +189,62 @@ def aligned(tools: Aligner, texts: list[str | None]) -> Aligned:
     n = last - first + 1
     link_a = np.repeat(np.arange(len(a)), n)
     link_b = np.arange(len(link_a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    ends = (np.cumsum([len(ids) for ids in many]) for many in (many_a, many_b))
-    return Aligned(a, b, *ends, a_last, b_last, link_a, link_b)
+    return Aligned(a, b, n_a, n_b, a_last, b_last, link_a, link_b, ~good)
 
 
 def group_texts(tools: Aligner, found: Aligned) -> list[str]:
-    """The groups of every text, ``a1,a2|b1;a3|b2,b3``."""
+    """The groups of every stretch, ``a1,a2|b1;a3|b2,b3``."""
     a_group, b_group = (np.cumsum(last) - last for last in (found.a_last, found.b_last))
     a_stop, b_stop = (np.concatenate(([0], np.flatnonzero(last) + 1)) for last in (found.a_last, found.b_last))
     codes = np.zeros(len(found.a) + len(found.b), np.int64)
     codes[np.arange(len(found.a)) + b_stop[a_group]] = 2 * found.a + found.a_last
     codes[np.arange(len(found.b)) + a_stop[b_group + 1]] = 2 * (len(tools.a_bytes) + found.b) + found.b_last
-    cuts = np.concatenate(([0], found.a_ends + found.b_ends)).tolist()
-    told, codes = tools.told.__getitem__, codes.tolist()
-    return ["".join(map(told, codes[start:stop]))[:-1] for start, stop in zip(cuts, cuts[1:])]
-
-
-def link_pairs(tools: Aligner, found: Aligned) -> np.ndarray:
-    """A number for the pair of ids of every link."""
-    return found.a[found.link_a] * len(tools.b_bytes) + found.b[found.link_b]
-
-
-def per_text(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` of the texts that end at ``ends``."""
-    return np.diff(np.concatenate(([0], np.cumsum(values)))[ends], prepend=0)
-
-
-def link_ends(found: Aligned) -> np.ndarray:
-    """Where each text's links end."""
-    return np.searchsorted(found.link_a, found.a_ends, "left")
+    cuts = np.concatenate(([0], np.cumsum(found.n_a + found.n_b))).tolist()
+    parts = list(map(tools.told.__getitem__, codes.tolist()))
+    return ["".join(parts[start:stop])[:-1] for start, stop in zip(cuts, cuts[1:])]
+
+
+class Stretches:
+    """What a task knows of the stretches it has met, by their numbers."""
+
+    def __init__(self, tools: Aligner):
+        self.tools = tools
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.pairs, self.spoilt = Numbers(), Lists(), Grown(bool)
+
+    def learn(self, found: Aligned, pairs: np.ndarray, n_links: np.ndarray, new: np.ndarray) -> None:
+        """Keep what new stretches have; ``new`` tells which of the numbers just given out are theirs."""
+        sizes, spoilt = np.zeros(len(new), np.int64), np.zeros(len(new), bool)
+        order = np.unique(np.repeat(np.arange(len(n_links)), n_links) * self.space + pairs)
+        sizes[new], spoilt[new] = np.bincount(order // self.space, minlength=len(n_links)), found.spoilt
+        self.pairs.add(order % self.space, sizes)
+        self.spoilt.add(spoilt)
+
+    @property
+    def space(self) -> int:
+        """Pairs of ids there are."""
+        return len(self.tools.a_bytes) * len(self.tools.b_bytes)
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the stretches of all texts in a row, and how many each text has; none for a text that is
+        null, empty or not given back by the tokens of both."""
+        if self.known.full:
+            self.forget()
+        cut = [self.tools.cut(" " + t) if t else [] for t in texts]
+        coded = pa.array([s for stretches in cut for s in stretches], pa.large_string()).dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers, new = self.known.of(different)
+        unknown = [different[i] for i in np.flatnonzero(new).tolist()]
+        self.known.size += sum(map(len, unknown))
+        found = aligned(self.tools, unknown) if unknown else Aligned(*[np.zeros(0, np.int64)] * 4, *[np.zeros(0, bool)] * 2, *[np.zeros(0, np.int64)] * 2, np.zeros(0, bool))
+        pairs = found.a[found.link_a] * len(self.tools.b_bytes) + found.b[found.link_b]
+        ends = np.searchsorted(found.link_a, np.cumsum(found.n_a), "left")
+        self.learn(found, pairs, np.diff(ends, prepend=0), new)
+        numbers, counts = numbers[np.asarray(coded.indices)], np.array([len(stretches) for stretches in cut], np.int64)
+        spoilt = sums_at(self.spoilt.values[numbers], np.cumsum(counts)) > 0
+        return numbers[~np.repeat(spoilt, counts)], np.where(spoilt, 0, counts)
 
 
 # -- the perfect hash -----------------------------------------------------------------------------
@@ -207,7 +302,7 @@ class Index:
         return (part >= self.first) & (part <= self.last)
 
     def places(self, keys: np.ndarray) -> np.ndarray:
-        """The index of every key; an error where one was not indexed."""
+        """The index of every key, -1 where it was not indexed."""
         part = part_of(keys, self.parts) - self.first
         found = np.full(len(keys), -1)
         left = np.arange(len(keys))
@@ -223,8 +318,8 @@ class Index:
             left = left[~here]
             if not len(left):
                 break
-        if len(left) or (len(keys) and not np.array_equal(self.keys[found], keys)):
-            raise KeyError("a pair of ids is not in the index")
+        if len(self.keys):
+            found[self.keys[found] != keys] = -1
         return found
 
 
@@ -242,7 +337,7 @@ def counted(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     """``pairs, counts`` (packed): pairs of a stretch of documents with the number of documents that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = aligner(byte_path, piece_path)
+        known = Stretches(aligner(byte_path, piece_path))
         pairs: list[np.ndarray] = []
         counts: list[np.ndarray] = []
 
@@ -252,10 +347,10 @@ def counted(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(row, names=["pairs", "counts"])
 
         for part in slices(batches):
-            found = aligned(tools, part.column(1).to_pylist())
-            text = np.repeat(np.arange(part.num_rows), np.diff(link_ends(found), prepend=0))
-            space = len(tools.a_bytes) * len(tools.b_bytes)
-            own = np.unique(text * space + link_pairs(tools, found)) % space
+            numbers, n = known.of(part.column(1).to_pylist())
+            own = np.unique(np.repeat(np.arange(part.num_rows) << 32, n) + numbers)
+            held, sizes = known.pairs.of(own & 0xFFFFFFFF)
+            own = np.unique(np.repeat(own >> 32, sizes) * known.space + held) % known.space
             names, n = np.unique(own, return_counts=True)
             pairs.append(names)
             counts.append(n)
@@ -321,7 +416,10 @@ def summed(stretches: DataFrame, index: Index) -> np.ndarray:
             for pairs, counts in zip(batch.column(0), batch.column(1)):
                 keys = np.frombuffer(pairs.as_py(), "<u8")
                 here = mine.holds(keys)
-                total[mine.places(keys[here])] += np.frombuffer(counts.as_py(), "<i8")[here]
+                places = mine.places(keys[here])
+                if (places < 0).any():
+                    raise KeyError("a pair of ids is not in the index")
+                total[places] += np.frombuffer(counts.as_py(), "<i8")[here]
         for at in range(0, size, PIECE):
             piece = total[at : at + PIECE]
             if piece.any():
@@ -359,31 +457,59 @@ def summed(stretches: DataFrame, index: Index) -> np.ndarray:
 RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+class Counted(Stretches):
+    """Stretches with their sums for ``RESULT`` and the text of their groups."""
+
+    def __init__(self, tools: Aligner, index: dict | None, best: np.ndarray):
+        self.index, self.best = Index.__new__(Index), best
+        self.index.__dict__.update(index or {"keys": np.zeros(0, np.uint64)})
+        super().__init__(tools)
+
+    def forget(self) -> None:
+        super().forget()
+        self.sums, self.told, self.lost = [Grown() for _ in range(6)], Grown(object), Grown(bool)
+
+    def learn(self, found: Aligned, pairs: np.ndarray, n_links: np.ndarray, new: np.ndarray) -> None:
+        names, place = np.unique(pairs.astype(np.uint64), return_inverse=True)
+        counts, lost = np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        if len(names) and len(self.index.keys):
+            here = np.flatnonzero(self.index.holds(names))
+            places = self.index.places(names[here])
+            lost[here] = places < 0
+            counts[here[places >= 0]] = self.index.counts[places[places >= 0]]
+        tops = (self.best[(names // np.uint64(len(self.tools.b_bytes))).astype(np.int64)] == counts) & (counts > 0)
+        ends = np.cumsum(n_links)
+        n_groups = sums_at(found.a_last, np.cumsum(found.n_a))
+        for column, values in zip(self.sums, (found.n_a, found.n_b, n_groups, n_links, sums_at(tops[place], ends), sums_at(counts[place], ends))):
+            spread = np.zeros(len(new), np.int64)
+            spread[new] = values
+            column.add(spread)
+        told = np.full(len(new), "", object)
+        told[new] = group_texts(self.tools, found)
+        self.told.add(told)
+        spoilt, missing = np.zeros(len(new), bool), np.zeros(len(new), bool)
+        spoilt[new], missing[new] = found.spoilt, sums_at(lost[place], ends) > 0
+        self.spoilt.add(spoilt)
+        self.lost.add(missing)
+
+
 def looked_up(docs: DataFrame, index: Index | None, best: np.ndarray, byte_path: str, piece_path: str) -> DataFrame:
     """``row`` and ``RESULT`` of every document; best links and counts are those of the lot's pairs."""
     sent = docs.sparkSession.sparkContext.broadcast((vars(index) if index else None, best))
     kind = docs.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = aligner(byte_path, piece_path)
         held, highest = sent.value
+        known = Counted(aligner(byte_path, piece_path), held, highest)
         for part in slices(batches):
-            found = aligned(tools, part.column(1).to_pylist())
-            ends, pairs = link_ends(found), link_pairs(tools, found).astype(np.uint64)
-            names, place = np.unique(pairs, return_inverse=True)
-            counts = np.zeros(len(names), np.int64)
-            if held:
-                mine = Index.__new__(Index)
-                mine.__dict__.update(held)
-                here = mine.holds(names)
-                counts[here] = mine.counts[mine.places(names[here])]
-            tops = highest[(names // np.uint64(len(tools.b_bytes))).astype(np.int64)] == counts
-            groups = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(tools, found)]
-            numbers = [
-                np.diff(found.a_ends, prepend=0), np.diff(found.b_ends, prepend=0), per_text(found.a_last, found.a_ends),
-                np.diff(ends, prepend=0), per_text((tops & (counts > 0))[place], ends), per_text(counts[place], ends),
-            ]
-            columns = [part.column(0), *(pa.array(n, pa.int64()) for n in numbers), pa.array(groups, pa.string())]
+            numbers, n = known.of(part.column(1).to_pylist())
+            if known.lost.values[numbers].any():
+                raise KeyError("a pair of ids is not in the index")
+            ends = np.cumsum(n)
+            sums = [pa.array(sums_at(column.values[numbers], ends), pa.int64()) for column in known.sums]
+            cuts, told = np.concatenate(([0], ends)).tolist(), known.told.values[numbers].tolist()
+            groups = [hashlib.sha256(";".join(told[i:j]).encode()).hexdigest() if j > i else "" for i, j in zip(cuts, cuts[1:])]
+            columns = [part.column(0), *sums, pa.array(groups, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["row", *(c.split(" ")[0] for c in RESULT.split(", "))])
 
     return docs.select("row", "text").mapInArrow(run, f"row {kind}, {RESULT}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
@@ -72,7 +73,8 @@ def sums_at(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def flattened(lists: list, kind=np.int64) -> tuple[np.ndarray, np.ndarray]:
     """The values of all lists in a row, and how many each has."""
-    return np.array([value for values in lists for value in values], kind), np.array([len(values) for values in lists], np.int64)
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), kind, int(sizes.sum())), sizes
 
 
 def dealt_back(mine: np.ndarray, these: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import archives, bpe, decontaminate, idfiles, language, nearest, pages, prefixes, repeats, simhash, surrogates, toxicity
+from tessera.llm import alignment, archives, bpe, decontaminate, idfiles, language, nearest, pages, prefixes, repeats, simhash, surrogates, toxicity
 from tessera.llm.batches import table
 from tessera.session import scratch_path
 
@@ -70,6 +70,13 @@ def op12_idfiles(spark: SparkSession, folder: str) -> DataFrame:
     return idfiles.id_files(docs, public_tokenizers.path("word_bpe_49k.json"), 1, files)
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignments(table(spark, folder, "documents"), *paths)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pages": op2_pages,
@@ -83,6 +90,7 @@ QUERIES = {
     "op10_nearest": op10_nearest,
     "op11_prefixes": op11_prefixes,
     "op12_idfiles": op12_idfiles,
+    "op13_alignment": op13_alignment,
 }
 
 SQL: dict[str, str] = {
