@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,35 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
                 yield from slices(iter([part.slice(0, half), part.slice(half)]), limit)
             else:
                 yield part
+
+
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of complete shards, from batches sorted by ``shard``, their first column."""
+    held: list[pa.RecordBatch] = []
+
+    def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shards = np.asarray(batch.column(0))
+        # The rows come sorted by shard: all but the last shard of a batch are complete.
+        cut = int(np.searchsorted(shards, shards[-1]))
+        if cut:
+            yield whole([*held, batch.slice(0, cut)])
+            held = []
+        elif held and np.asarray(held[0].column(0))[0] != shards[0]:
+            yield whole(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield whole(held)
+
+
+def shards_of(whole: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Start and end of every shard of more than one row."""
+    shards = np.asarray(whole.column(0))
+    starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
+    for at in np.flatnonzero(np.diff(starts) > 1).tolist():
+        yield int(starts[at]), int(starts[at + 1])

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tessera.llm.batches import slices
+from tessera.llm.batches import by_shard, shards_of, slices
+from tessera.llm.similar_sets import similar_links
 from tessera.session import scratch_path
 
 #: Shingles unpacked to bits at a time.
@@ -183,38 +184,6 @@ def links(values: list[int], radius: int) -> list[tuple[int, int]]:
     return found
 
 
-def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of complete shards, from batches sorted by ``shard``, their first column."""
-    held: list[pa.RecordBatch] = []
-
-    def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        shards = np.asarray(batch.column(0))
-        # The rows come sorted by shard: all but the last shard of a batch are complete.
-        cut = int(np.searchsorted(shards, shards[-1]))
-        if cut:
-            yield whole([*held, batch.slice(0, cut)])
-            held = []
-        elif held and np.asarray(held[0].column(0))[0] != shards[0]:
-            yield whole(held)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield whole(held)
-
-
-def shards_of(whole: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """Start and end of every shard of more than one row."""
-    shards = np.asarray(whole.column(0))
-    starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
-    for at in np.flatnonzero(np.diff(starts) > 1).tolist():
-        yield int(starts[at]), int(starts[at + 1])
-
-
 def shard_edges(rows: DataFrame, radius: int) -> DataFrame:
     """Links ``u, v`` that join the nodes of ``shard, node, fp`` (binary) to groups, by one tree for each shard."""
 
@@ -234,39 +203,6 @@ def shard_edges(rows: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long").where("u != v")
 
 
-def open_edges(rows: DataFrame, radius: int, limit: int) -> DataFrame:
-    """Links ``u, v`` within the radius between nodes of ``shard, node, fp, root, refused`` that have different
-    roots, but for those to the nodes in ``refused``.
-
-    In each shard a node outside the largest group gives its ``limit`` nearest ones; ``more`` tells
-    that others are left. Any two nodes of different roots have one that is outside the largest group.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in by_shard(batches):
-            nodes, fps, roots, refused = np.asarray(whole.column(1)), whole.column(2), np.asarray(whole.column(3)), whole.column(4)
-            us, vs, more = [], [], []
-            for first, last in shards_of(whole):
-                mine, (names, group, sizes) = nodes[first:last], np.unique(roots[first:last], return_inverse=True, return_counts=True)
-                if len(names) == 1:
-                    continue
-                bits = np.frombuffer(b"".join(fps.slice(first, last - first).to_pylist()), "<u8").reshape(last - first, -1)
-                for i in np.flatnonzero(group != np.argmax(sizes)).tolist():
-                    apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
-                    fit = np.flatnonzero((apart <= radius) & (group != group[i]))
-                    known = refused[first + i].as_py()
-                    if known:
-                        fit = fit[~np.isin(mine[fit], np.array(known, np.int64))]
-                    near = fit[np.argsort(apart[fit], kind="stable")[:limit]]
-                    us += [mine[i]] * len(near)
-                    vs += mine[near].tolist()
-                    more += [len(near) < len(fit)] * len(near)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(more, pa.bool_())], names=["u", "v", "more"])
-
-    dealt = rows.select("shard", "node", "fp", "root", "refused").repartition("shard").sortWithinPartitions("shard", "node")
-    return dealt.mapInArrow(run, "u long, v long, more boolean")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each node with an edge reaches, itself included.
 
@@ -335,9 +271,6 @@ BAND, BANDS = 5, 24
 ORDERS = np.array([[xxh64_intdigest(b"%d" % i, seed) | seed for i in range(BAND * BANDS)] for seed in (0, 1)], np.uint64)
 #: Least Jaccard similarity of a link, on the sets of the texts' shingles.
 SIMILAR = 0.8
-#: Links a node may ask for in a shard, once the first ones have been held against the similarity; the
-#: number grows by this factor until all are asked for.
-ASKED = 8
 
 
 def band_keys(distinct: np.ndarray) -> list[int]:
@@ -367,10 +300,9 @@ def node_of(distinct: np.ndarray) -> int:
 def similar_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``u, v`` of a Jaccard similarity of ``SIMILAR`` that join the nodes of ``node, fp, keys, key`` to groups.
 
-    Candidates are nodes that share a shard key and lie within ``WIDE_RADIUS`` bits. The first ones come
-    from a tree a shard and join all candidates to groups; each is held against the sets of shingles. Where some
-    fail, others of the same shards may still join what they have parted: nodes of different groups
-    ask for further candidates until none is left. The sets are formed for nodes with candidates only.
+    Candidates are nodes that share a shard key and lie within ``WIDE_RADIUS`` bits; a tree a shard
+    joins all candidates to lots. The sets of shingles, formed for nodes with candidates only, are
+    compared exactly within each lot.
     """
     spark = nodes.sparkSession
 
@@ -379,43 +311,20 @@ def similar_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    def shards(nodes: DataFrame, *more: str) -> DataFrame:
-        return nodes.select(F.explode("keys").alias("shard"), "node", "fp", *more)
-
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             found = [distinct_hashes(t) for t in part.column(0).to_pylist()]
-            sets = pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, found), pa.int64()), sets], names=["node", "shingles"])
-
-    ordered = F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
-
-    edges = written(shard_edges(shards(nodes), WIDE_RADIUS).select(*ordered).distinct(), "candidates")
-    ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    active = written(nodes.join(ends, "node"), "candidates")
-    texts = docs.join(active.select("key").distinct(), "key", "left_semi").select("text")
-    sets = written(texts.mapInArrow(sets_of, "node long, shingles array<long>").join(ends, "node", "left_semi"), "shingles")
-
-    def judged(edges: DataFrame) -> DataFrame:
-        for end in ("u", "v"):
-            edges = edges.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")), end)
-        shared = F.size(F.array_intersect("u_set", "v_set"))
-        union = F.size("u_set") + F.size("v_set") - shared
-        # A key that repeats gives its set more than once.
-        return written(edges.select("u", "v", (shared >= SIMILAR * union - 1e-9).alias("holds")).distinct(), "candidates")
-
-    known, asked = judged(edges), ASKED
-    more = not known.where("not holds").isEmpty()
-    while more:
-        roots = components(known.where("holds").select("u", "v"))
-        no = known.where("not holds").select("u", "v")
-        no = no.unionByName(no.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.collect_set("v").alias("refused"))
-        held = active.join(roots, "node", "left").join(no.withColumnRenamed("u", "node"), "node", "left")
-        held = held.withColumn("root", F.coalesce("root", "node"))
-        found = written(open_edges(shards(held, "root", "refused"), WIDE_RADIUS, asked), "candidates")
-        more, asked = not found.where("more").isEmpty(), asked * ASKED
-        known = known.unionByName(judged(found.select(*ordered).distinct()))
-    return known.where("holds").select("u", "v")
+            sets = pa.array([h.astype("<u8").tobytes() for h in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, found), pa.int64()), sets], names=["node", "elements"])
+
+    shards = nodes.select(F.explode("keys").alias("shard"), "node", "fp")
+    rooted = components(shard_edges(shards, WIDE_RADIUS)).select(F.explode(F.array("node", "root")).alias("node"), F.col("root").alias("lot"))
+    lots = written(rooted.distinct(), "lots")
+    active = nodes.join(lots, "node", "left_semi").select("key").distinct()
+    texts = docs.join(active, "key", "left_semi").select("text")
+    # A key that repeats gives texts of other nodes as well, and sets more than once.
+    sets = written(texts.mapInArrow(sets_of, "node long, elements binary").join(lots, "node"), "shingles")
+    return similar_links(sets, components, SIMILAR)
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -444,5 +353,5 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     found = components(similar_edges(nodes, texts))
     rooted = rows.select("key", "node").join(found, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     first = rooted.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("root", "first")
-    gone = rooted.join(first, "root").where("key > first").select(F.col("key").alias("gone"))
-    return docs.join(gone.distinct(), F.col(key) == F.col("gone"), "left_anti")
+    gone = rooted.join(first, "root").where("key > first").select(F.col("key").alias(key))
+    return docs.join(gone.distinct(), key, "left_anti")
