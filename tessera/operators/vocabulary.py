@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -14,16 +15,18 @@ from pyspark.sql import functions as F
 from tessera.fixed_values import BASE_VOCAB_SIZE, PAD_TOKEN, UNK_TOKEN, VOCAB_SIZE
 from tessera.functions.bytes import byte_order, byte_tokens
 from tessera.functions.words import split_words
-from tessera.session import checkpointed, path_exists
-
-# Most and fewest pairs looked at per round; a round merges as many of them as is provably in
-# order, and the next one looks at four times as many, or half as many as it did.
-CANDIDATES = 1024
-FEWEST_CANDIDATES = 64
-# Distinct words per partition of the word table.
-WORDS_PER_PARTITION = 10_000
-# Rounds between two checkpoints of the word table.
-CHECKPOINT_ROUNDS = 8
+from tessera.session import path_exists, remove_path, scratch_path
+
+# Pairs whose counts the driver holds at a time, about.
+CANDIDATES = 1 << 15
+# Fewest and most merges tried in a round; the next round tries three times as many as were taken.
+FEWEST_TRIES, MOST_TRIES = 24, 1024
+# Distinct words per shard.
+WORDS_PER_PARTITION = 40_000
+# Number of the symbol that the first try would make; no vocabulary comes near it.
+TRIED = 1 << 30
+# Rounds after which the shards are written with the merges taken since, and their index is made anew.
+WRITE_ROUNDS = 8
 
 MERGES_SCHEMA = "rank int, left_id int, right_id int, new_id int"
 VOCAB_SCHEMA = "id int, symbol binary"
@@ -84,145 +87,254 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
     )
 
 
-def _pair_key(left: Column, right: Column) -> Column:
-    return F.shiftleft(left.cast("bigint"), 32).bitwiseOR(right.cast("bigint"))
+# -- training: words by shard, an index of their pairs, and counts by difference -------------------
+
 
+def _codes(left, right):
+    return (left << 32) | right
 
-@dataclass
-class _Context:
-    """What surrounds the candidate pairs, from the counts of three symbols in a row.
 
-    ``left`` and ``right``: how often the most frequent neighbour stands beside a pair, which
-    bounds every pair that merging it can create (for the left side with the smallest such
-    neighbour). ``overlaps``: for a pair (a, b), the candidates (b, c) or (x, a) that share a
-    symbol with it somewhere, and how often.
+class Shard:
+    """The words of a partition, each in its own stretch of ``symbols``, and the words of every pair.
+
+    The index is that of the words as they were when it was made; words are looked at again before
+    they are changed, so a pair that has gone meanwhile costs a look and nothing else. Pairs made since
+    are kept in ``fresh``.
     """
 
-    left: dict
-    right: dict
-    overlaps: dict
-
-
-def _context(symbols: DataFrame, pairs: Sequence[tuple[int, int]]) -> _Context:
-    """At most two rows per candidate and one per overlapping pair of candidates reach the
-    driver."""
-    a, b, c = F.col("t.a"), F.col("t.b"), F.col("t.c")
-    # One SQL list instead of a column per candidate: planning it is what a round waits for.
-    listed = ", ".join(f"{(a << 32) | b}L" for a, b in pairs)
-    triples = (
-        symbols.where(F.size("ids") > 2)
-        .select(F.explode(_neighbours(F.col("ids"), 3)).alias("t"), "n")
-        .select("t", "n", _pair_key(a, b).alias("ab"), _pair_key(b, c).alias("bc"))
-        .withColumns(
-            {"first": F.expr(f"ab IN ({listed})"), "second": F.expr(f"bc IN ({listed})")}
-        )
-        .where(F.col("first") | F.col("second"))
-        .groupBy(a.alias("a"), b.alias("b"), c.alias("c"), "first", "second")
-        .agg(F.sum("n").alias("n"))
-    )
+    PARTS = ("symbols", "starts", "lengths", "n", "codes", "owners")
+
+    def __init__(self, arrays: Sequence[np.ndarray]):
+        self.symbols, self.starts, self.lengths, self.n, self.codes, self.owners = arrays
+        self.fresh: dict[int, list[int]] = {}
+
+    @staticmethod
+    def of(words: Iterator[pa.RecordBatch]) -> Shard:
+        """A shard of (ids, n) rows."""
+        batches = [batch for batch in words if batch.num_rows]
+        ids = [np.asarray(batch.column(0).flatten(), np.int64) for batch in batches]
+        lengths = [np.asarray(batch.column(0).value_lengths(), np.int64) for batch in batches]
+        n = [np.asarray(batch.column(1), np.int64) for batch in batches]
+        none = np.zeros(0, np.int64)
+        symbols, sizes = np.concatenate([none, *ids]), np.concatenate([none, *lengths])
+        shard = Shard([symbols, np.cumsum(sizes) - sizes, sizes, np.concatenate([none, *n]), none, none])
+        shard.index()
+        return shard
+
+    @staticmethod
+    def read(row: dict) -> Shard:
+        arrays = [np.frombuffer(row[name], np.int64) for name in Shard.PARTS]
+        return Shard([arrays[0].copy(), arrays[1], arrays[2].copy(), *arrays[3:]])
+
+    def arrays(self) -> dict[str, bytes]:
+        """The shard as packed columns; pairs made since the index are put into it."""
+        if self.fresh:
+            codes = np.repeat(np.array(list(self.fresh), np.int64), [len(w) for w in self.fresh.values()])
+            owners = np.array([w for words in self.fresh.values() for w in words], np.int64)
+            codes, owners = np.concatenate([self.codes, codes]), np.concatenate([self.owners, owners])
+            order = np.argsort(codes, kind="stable")
+            self.codes, self.owners, self.fresh = codes[order], owners[order], {}
+        return {name: getattr(self, name).tobytes() for name in self.PARTS}
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of all words, and the word of each."""
+        owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        flat = self.symbols[np.arange(len(owner)) + np.repeat(self.starts - np.cumsum(self.lengths) + self.lengths, self.lengths)]
+        inside = owner[1:] == owner[:-1]
+        return _codes(flat[:-1], flat[1:])[inside], owner[1:][inside]
+
+    def index(self) -> None:
+        codes, owners = self.pairs()
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.owners, self.fresh = codes[order], owners[order], {}
+
+    def holders(self, code: int) -> list[int]:
+        """The words that hold a pair, or did."""
+        first, last = np.searchsorted(self.codes, (code, code + 1))
+        return list(dict.fromkeys([*self.owners[first:last].tolist(), *self.fresh.get(code, ())]))
+
+    def word(self, w: int) -> list[int]:
+        start = self.starts[w]
+        return self.symbols[start : start + self.lengths[w]].tolist()
+
+    def apply(self, merges: Sequence[tuple[int, int, int]]) -> None:
+        """Merge pairs, one after the other."""
+        changed: dict[int, list[int]] = {}
+        for a, b, new in merges:
+            for w, _, after in self.step(a, b, new, changed):
+                changed[w] = after
+                for x, y in zip(after, after[1:]):
+                    if x == new or y == new:
+                        self.fresh.setdefault(_codes(x, y), []).append(w)
+        for w, after in changed.items():
+            start = self.starts[w]
+            self.symbols[start : start + len(after)] = after
+            self.lengths[w] = len(after)
+
+    def step(self, a: int, b: int, new: int, changed: dict[int, list[int]]) -> Iterator[tuple[int, list[int], list[int]]]:
+        """The words that merging a and b changes, before and after; ``changed`` holds those changed already."""
+        for w in self.holders(_codes(a, b)):
+            before = changed.get(w) or self.word(w)
+            after, i, last = [], 0, len(before) - 1
+            while i <= last:
+                if before[i] == a and i < last and before[i + 1] == b:
+                    after.append(new)
+                    i += 2
+                else:
+                    after.append(before[i])
+                    i += 1
+            if len(after) <= last:
+                yield w, before, after
+
+    def differences(self, tries: Sequence[int]) -> Iterator[tuple[int, int, int]]:
+        """(try, pair, difference of its count) if the pairs were merged in turn, as symbols ``TRIED`` + try; the words stay.
+
+        A clash is told for two tries that stand next to each other somewhere, or of which the earlier one takes
+        a symbol from the later one: the later one's differences then hold only after the earlier one.
+        """
+        changed: dict[int, list[int]] = {}
+        firsts: dict[int, list[int]] = {}
+        spans: dict[int, list[tuple[int, int, int]]] = {}
+        number_of = {code: number for number, code in enumerate(tries)}
+        clashes: set[tuple[int, int]] = set()
+        for number, code in enumerate(tries):
+            new, total = TRIED + number, {}
+            for w, before, after in self.step(code >> 32, code & 0xFFFFFFFF, new, changed):
+                n = int(self.n[w])
+                for x, y in zip(before, before[1:]):
+                    total[_codes(x, y)] = total.get(_codes(x, y), 0) - n
+                for x, y in zip(after, after[1:]):
+                    total[_codes(x, y)] = total.get(_codes(x, y), 0) + n
+                # Where each symbol begins in the word as it stood before all tries.
+                was, now, at = firsts.get(w) or list(range(len(before) + 1)), [], 0
+                for x in after:
+                    now.append(was[at])
+                    at += 1 + (x == new)
+                    if x == new:
+                        spans.setdefault(w, []).append((now[-1], was[at], number))
+                changed[w], firsts[w] = after, [*now, was[-1]]
+            yield from ((number, pair, by) for pair, by in total.items() if by)
+            clashes.update((number, number_of[pair]) for pair in number_of.keys() & total.keys() if number_of[pair] > number)
+        for held in spans.values():
+            held.sort()
+            for (_, end, one), (start, _, other) in zip(held, held[1:]):
+                if end == start and one != other:
+                    clashes.add((min(one, other), max(one, other)))
+        yield from ((CLASH, -1 - _codes(one, other), 1) for one, other in clashes)
+
+    def counts(self, symbols: Sequence[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs and their counts, of all words or of the pairs that hold one of the symbols."""
+        codes, owners = self.pairs()
+        if symbols is not None:
+            kept = np.isin(codes >> 32, symbols) | np.isin(codes & 0xFFFFFFFF, symbols)
+            codes, owners = codes[kept], owners[kept]
+        names, place = np.unique(codes, return_inverse=True)
+        return names, np.bincount(place, self.n[owners], len(names)).astype(np.int64)
+
+
+#: What a round tells: a difference by its try, the count of a pair, or a clash (two tries in ``code``).
+COUNTED, CLASH = -1, -2
+TOLD_SCHEMA = "step int, code long, by long, candidate boolean"
+SHARD_SCHEMA = ", ".join(f"{name} binary" for name in Shard.PARTS)
+
+
+def _shards(symbols: DataFrame) -> DataFrame:
+    """One row for each partition of (ids, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = Shard.of(batches)
+        if len(shard.n):
+            yield pa.RecordBatch.from_pylist([shard.arrays()])
+
+    return symbols.select("ids", "n").mapInArrow(run, SHARD_SCHEMA)
+
+
+def _merged(shards: DataFrame, merges: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """The shards after ``merges``, their index made anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = Shard.read(row)
+                shard.apply(merges)
+                shard.index()
+                yield pa.RecordBatch.from_pylist([shard.arrays()])
+
+    return shards.mapInArrow(run, SHARD_SCHEMA)
+
+
+def _told(
+    shards: DataFrame, merges: Sequence[tuple[int, int, int]], tries: Sequence[int],
+    recount: Sequence[int] | None, candidates: np.ndarray,
+) -> DataFrame:
+    """After ``merges``: the differences of ``tries``, and the counts of pairs that hold a symbol of
+    ``recount`` (None: of all pairs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = Shard.read(row)
+                shard.apply(merges)
+                found = [np.array(list(shard.differences(tries)), np.int64).reshape(-1, 3)]
+                if recount is None or len(recount):
+                    codes, by = shard.counts(recount)
+                    found.append(np.stack([np.full(len(codes), COUNTED), codes, by], axis=1))
+                step, code, by = np.concatenate(found).T
+                columns = [pa.array(step, pa.int32()), pa.array(code), pa.array(by), pa.array(np.isin(code, candidates))]
+                yield pa.RecordBatch.from_arrays(columns, names=["step", "code", "by", "candidate"])
+
+    return shards.mapInArrow(run, TOLD_SCHEMA)
+
+
+class Candidates:
+    """Exact counts of the most frequent pairs, in the order of merging: count, then smaller ids. All others come
+    after ``floor``: pairs only lose occurrences, but for those with a symbol that a merge has just
+    made, which are told."""
+
+    def __init__(self) -> None:
+        self.floor: tuple[int, int] | None = None
+        self.counts: dict[int, int] = {}
+        self.queue: list[tuple[int, int]] = []
+
+    def fill(self, rows: Sequence, most: int) -> None:
+        """All candidates anew, from the ``most + 1`` most frequent pairs."""
+        self.floor = (-rows[most]["by"], rows[most]["code"]) if len(rows) > most else None
+        self.counts = {r["code"]: r["by"] for r in rows[:most]}
+        self.queue = [(-n, code) for code, n in self.counts.items()]
+        heapq.heapify(self.queue)
 
-    def fact(kind: str, left: str, right: str, x: Column, holds: Column) -> Column:
-        row = F.struct(
-            F.lit(kind).alias("kind"), F.col(left).alias("a"), F.col(right).alias("b"), x.alias("x")
-        )
-        return F.when(holds, row)
-
-    first, second, none = F.col("first"), F.col("second"), F.lit(-1)
-    facts = F.array_compact(
-        F.array(
-            fact("right", "a", "b", none, first),
-            fact("left", "b", "c", none, second),
-            fact("overlap", "a", "b", F.col("c"), first & second),
-        )
-    )
-    rows = (
-        triples.select(F.explode(facts).alias("f"), "n", (-F.col("a")).alias("negative"))
-        .groupBy("f.kind", "f.a", "f.b", "f.x")
-        .agg(F.max(F.struct("n", "negative")).alias("top"))
-        .select("kind", "a", "b", "x", "top.n", (-F.col("top.negative")).alias("beside"))
-        .collect()
-    )
-    found = _Context({}, {}, {})
-    for row in rows:
-        pair = (row["a"], row["b"])
-        if row["kind"] == "right":
-            found.right[pair] = row["n"]
-        elif row["kind"] == "left":
-            found.left[pair] = (row["n"], row["beside"])
+    @property
+    def least(self) -> int:
+        """The count below which no pair can come before the floor."""
+        return -self.floor[0] if self.floor else 1
+
+    def leads(self, n: int, code: int) -> bool:
+        return self.floor is None or (-n, code) < self.floor
+
+    def put(self, code: int, n: int) -> None:
+        if n > 0:
+            self.counts[code] = n
+            heapq.heappush(self.queue, (-n, code))
         else:
-            later = (row["b"], row["x"])
-            found.overlaps.setdefault(pair, []).append((later, row["n"]))
-            found.overlaps.setdefault(later, []).append((pair, row["n"]))
-    return found
-
-
-def _safe_run(
-    ranked: Sequence[tuple[tuple[int, int], int]], context: _Context, floor: int
-) -> Iterator[tuple[int, int]]:
-    """Candidates in the order one-merge-at-a-time training would take them, as far as the
-    counts prove it. ``floor`` is the highest count a pair outside the candidates may have."""
-    queue = [(-count, pair) for pair, count in ranked]
-    heapq.heapify(queue)
-    current = dict(ranked)
-    changed: set = set()  # lowered once, by a known amount
-    unknown: set = set()  # lowered by an amount the counts do not tell
-    done: list[tuple[int, int]] = []
-    while queue:
-        negative, pair = heapq.heappop(queue)
-        count = -negative
-        if count != current.get(pair):
-            continue  # an entry from before the pair was lowered
-        if pair in unknown or (pair in changed and count <= floor):
-            return
-        for earlier in done:
-            left_count, left_id = context.left.get(earlier, (0, 0))
-            if count < max(left_count, context.right.get(earlier, 0)):
-                return  # a pair created by ``earlier`` may be ahead
-            if count == left_count and left_id < pair[0]:
-                return  # ... or tie with it and have the smaller ids
-        yield pair
-        done.append(pair)
-        del current[pair]
-        for other, shared in context.overlaps.get(pair, ()):
-            if other not in current:
-                continue
-            simple = len({*pair, *other}) == 3 and pair not in changed and other not in changed
-            if other == pair or not simple:
-                unknown.add(other)
-                continue
-            changed.add(other)
-            current[other] -= shared
-            heapq.heappush(queue, (-current[other], other))
-
-
-def _merge_words(spark: SparkSession, merges: Sequence[tuple[int, int, int]]):
-    """An Arrow function that applies one round's merges to the words that hold them."""
-    ranks = {(a, b): (r, new) for r, (a, b, new) in enumerate(merges)}
-    wanted = np.array([(a << 32) | b for a, b in ranks], dtype=np.int64)
-
-    @F.arrow_udf("array<int>")
-    def merge(words: pa.Array) -> pa.Array:
-        flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = words.value_lengths().to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes)
-        hits = np.flatnonzero(np.isin((flat[:-1] << 32) | flat[1:], wanted))
-        rows = np.searchsorted(ends, hits, side="right")
-        rows = np.unique(rows[hits + 1 < ends[rows]])  # a pair never spans two words
-        out, done = [], 0
-        lengths = sizes.copy()
-        for row in rows:
-            start, end = ends[row] - sizes[row], ends[row]
-            merged = merge_symbols(flat[start:end].tolist(), ranks)
-            lengths[row] = len(merged)
-            out += [flat[done:start], np.array(merged, dtype=np.int64)]
-            done = end
-        out.append(flat[done:])
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(np.concatenate(out).astype(np.int32))
-        )
-
-    return merge
+            self.counts.pop(code, None)
+
+    def add(self, code: int, by: int) -> None:
+        if code in self.counts or self.leads(by, code):
+            self.put(code, self.counts.get(code, 0) + by)
+
+    def top(self) -> int | None:
+        """The pair to merge next; None where others may come before it."""
+        while self.queue:
+            negative, code = self.queue[0]
+            if self.counts.get(code) == -negative:
+                return code if self.leads(-negative, code) else None
+            heapq.heappop(self.queue)
+        return None
+
+    def first(self, n: int) -> list[int]:
+        """The next ``n`` pairs by their present counts."""
+        best = heapq.nsmallest(n, ((-count, code) for code, count in self.counts.items() if self.leads(count, code)))
+        return [code for _, code in best]
 
 
 def merge_symbols(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -255,78 +367,133 @@ def train_vocabulary(
 ) -> Vocabulary:
     """Byte-pair merges of a (word, n) table: most frequent pair first, ties to smaller ids.
 
-    Each round counts pairs on the cluster and brings at most ``candidates`` of them to the
-    driver, which takes the longest leading run that single merges would take in that order.
-    Words that have become one symbol take no further part.
+    The words stay on the cluster, by shard, each shard with an index from pairs to words. The driver
+    holds the exact counts of about ``candidates`` pairs. In a round the shards tell by how much merging
+    each of the most frequent ones in turn would change the counts of which pairs, touching only the
+    words that hold it, and which of them meet in a word. The driver then takes one merge after the
+    other, always the most frequent pair by exact counts, as long as it is one of the pairs tried and
+    was tried after the same ones, of those it meets. When no candidate is left above all other
+    pairs, all pairs are counted again.
     """
     spark = words.sparkSession
     symbols_of = base_symbols()
     known = {s: i for i, s in enumerate(symbols_of) if i > 1}
     merges: list[tuple[int, int, int]] = []
+    if len(symbols_of) >= vocab_size:
+        return Vocabulary((), symbols_of)
     # A filter on the symbols would move below the count of words and turn every occurrence into
     # symbols; the length of a word says the same. The counts are kept before the symbols are made.
     counted = words.where(F.octet_length("word") > 1).persist()
-    # Every round is heavy on the processor for the table's size, so it gets more partitions than
-    # that size calls for.
-    parts = max(counted.count() // WORDS_PER_PARTITION, 1)
-    current = word_symbols(counted.repartition(parts)).persist()
-    stale = [counted]
-    rounds = 0
-    looked_at = min(FEWEST_CANDIDATES, candidates)
+    parts = max(-(-counted.count() // WORDS_PER_PARTITION), 1)
+    current, path = _kept(_shards(word_symbols(counted.repartition(parts))))
+    counted.unpersist()
+    state = Candidates()
+    # The merges that the written shards lack.
+    since: list[tuple[int, int, int]] = []
+
+    def count_all() -> None:
+        told = _told(current, since, (), None, np.zeros(0, np.int64))
+        state.fill(_most_frequent(told, candidates + 1), candidates)
+
+    count_all()
+    recount: list[int] = []
+    rounds, tried = 0, FEWEST_TRIES
     while len(symbols_of) < vocab_size:
-        top = (
-            pair_counts(current)
-            .orderBy(F.desc("n"), "left_id", "right_id")
-            .limit(looked_at)
-            .collect()
-        )
-        for old in stale:
-            old.unpersist()
-        stale = []
-        if not top:
-            break
-        ranked = [((r["left_id"], r["right_id"]), r["n"]) for r in top]
-        floor = ranked[-1][1] if len(ranked) == looked_at else 0
+        tries = state.first(min(tried, vocab_size - len(symbols_of)))
+        if not tries and not recount:
+            if state.floor is None:
+                break
+            count_all()
+            continue
+        rounds += 1
+        if rounds % WRITE_ROUNDS == 0:
+            old, (current, path) = path, _kept(_merged(current, since))
+            remove_path(spark, old)
+            since = []
         fresh: list[tuple[int, int, int]] = []
-        for pair in _safe_run(ranked, _context(current, [p for p, _ in ranked]), floor):
+        known_codes = np.fromiter(state.counts, np.int64, len(state.counts))
+        steps = _by_step(_told(current, since, tries, recount, known_codes), state.least)
+        for code, n in steps.get(COUNTED, ()):
+            state.put(code, n)
+        recount = []
+        number_of = {code: number for number, code in enumerate(tries)}
+        clashes: dict[int, set[int]] = {}
+        for code, _ in steps.get(CLASH, ()):
+            one, other = (-1 - code) >> 32, (-1 - code) & 0xFFFFFFFF
+            clashes.setdefault(one, set()).add(other)
+            clashes.setdefault(other, set()).add(one)
+        taken: dict[int, int] = {}
+        while len(symbols_of) < vocab_size:
+            code = state.top()
+            number = number_of.get(code)
+            # Differences hold if those tried before are taken, and those tried later not yet, wherever they meet.
+            if number is None or any((other < number) != (other in taken) for other in clashes.get(number, ())):
+                break
+            pair = code >> 32, code & 0xFFFFFFFF
             text = symbols_of[pair[0]] + symbols_of[pair[1]]
             reused = text in known
             if not reused:
                 known[text] = len(symbols_of)
                 symbols_of.append(text)
+            taken[number] = known[text]
             fresh.append((*pair, known[text]))
-            # After a reused symbol, counts of pairs that hold it may have grown.
-            if reused or len(symbols_of) >= vocab_size:
+            for changed, by in steps.get(number, ()):
+                left, right = (taken[x - TRIED] if x >= TRIED else x for x in (changed >> 32, changed & 0xFFFFFFFF))
+                state.add(_codes(left, right), by)
+            if reused:
+                # Pairs that hold this symbol may have grown, whether they are candidates or not.
+                recount = [known[text]]
                 break
         merges += fresh
-        rounds += 1
-        looked_at = min(max(FEWEST_CANDIDATES, 4 * len(fresh), looked_at // 2), candidates)
-        merged = (
-            current.select(_merge_words(spark, fresh)("ids").alias("ids"), "n")
-            .where(F.size("ids") > 1)
-            .persist()
-        )
-        stale.append(current)
-        if rounds % CHECKPOINT_ROUNDS == 0:
-            stale.append(merged)
-            merged = checkpointed(merged)
-        current = merged
-    for old in [*stale, current]:
-        old.unpersist()
+        since += fresh
+        tried = min(max(FEWEST_TRIES, 3 * len(fresh)), MOST_TRIES)
+    remove_path(spark, path)
     return Vocabulary(tuple(merges), symbols_of)
 
 
+def _kept(shards: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a written table: a round then survives lost executors, and its plan stays short."""
+    path = scratch_path(shards.sparkSession, "shards")
+    shards.write.parquet(path)
+    return shards.sparkSession.read.schema(SHARD_SCHEMA).parquet(path), path
+
+
+def _most_frequent(told: DataFrame, n: int) -> list:
+    counts = told.groupBy("code").agg(F.sum("by").alias("by"))
+    return counts.orderBy(F.desc("by"), "code").limit(n).collect()
+
+
+def _by_step(told: DataFrame, least: int) -> dict[int, list[tuple[int, int]]]:
+    """(pair, difference) by try, of the candidates and of pairs that come to ``least`` or more; and all clashes."""
+    rows = told.groupBy("code").agg(F.max("candidate").alias("candidate"), F.collect_list(F.struct("step", "by")).alias("steps"))
+    total = F.aggregate("steps", F.lit(0).cast("long"), lambda held, step: held + F.greatest(step["by"], F.lit(0).cast("long")))
+    rows = rows.where((total >= least) | F.col("candidate") | (F.col("code") < 0))
+    steps: dict[int, dict[int, int]] = {}
+    for row in rows.select("code", "steps").collect():
+        for step, by in row["steps"]:
+            of_step = steps.setdefault(step, {})
+            of_step[row["code"]] = of_step.get(row["code"], 0) + by
+    return {step: list(found.items()) for step, found in steps.items()}
+
+
 def save_vocabulary(spark: SparkSession, vocab: Vocabulary, path: str) -> None:
-    vocab.merges_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
-    vocab.symbols_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
+    """Write a version below ``path`` and name it in the manifest last, in one commit: a save that stops half-way is
+    never loaded, and one that replaces another leaves it whole until then."""
+    version = f"version-{uuid.uuid4().hex}"
+    vocab.merges_frame(spark).coalesce(1).write.parquet(f"{path}/{version}/merges")
+    vocab.symbols_frame(spark).coalesce(1).write.parquet(f"{path}/{version}/vocab")
+    entry = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary | None:
-    """The saved vocabulary, or None when there is none at ``path``."""
-    if not path_exists(spark, f"{path}/merges"):
+    """The vocabulary saved last, or None when none was saved whole at ``path``."""
+    if not path_exists(spark, f"{path}/manifest/_SUCCESS"):
         return None
-    merges = spark.read.schema(MERGES_SCHEMA).parquet(f"{path}/merges")
-    symbols = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab")
+    manifest = spark.read.schema("version string, at timestamp").parquet(f"{path}/manifest")
+    version = manifest.agg(F.max_by("version", "at")).first()[0]
+    merges = spark.read.schema(MERGES_SCHEMA).parquet(f"{path}/{version}/merges")
+    symbols = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/{version}/vocab")
     return Vocabulary(
         tuple(tuple(r)[1:] for r in merges.orderBy("rank").collect()),
         [bytes(r["symbol"]) for r in symbols.orderBy("id").collect()],

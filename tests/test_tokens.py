@@ -13,6 +13,7 @@ from tessera.operators.vocabulary import (
     Vocabulary,
     load_or_train,
     load_vocabulary,
+    save_vocabulary,
     train_vocabulary,
     word_counts,
     word_symbols,
@@ -109,6 +110,31 @@ def test_few_candidates_give_the_same_merges(spark, trained):
     assert one_by_one.merges == vocab.merges[: len(one_by_one.merges)] and one_by_one.size == 300
 
 
+def test_thousands_of_merges_equal_the_public_trainer(spark):
+    """More merges than candidates, so pairs are counted again; several shards; repeated texts of symbols."""
+    import json
+
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(30)) for _ in range(150)]
+    size = 258 + 4096
+    model = json.loads(public_tokenizer(texts, size).to_str())["model"]
+    ids = model["vocab"]
+    merges = [(ids[a], ids[b], ids[a + b]) for a, b in model["merges"]]
+    vocab = train_vocabulary(word_counts(frame(spark, texts)), size, candidates=3000)
+    assert len(merges) == 4096 and list(vocab.merges) == merges
+
+
+def test_a_half_saved_vocabulary_is_not_loaded(spark, trained, tmp_path):
+    _, vocab = trained
+    path = f"{tmp_path}/half"
+    vocab.merges_frame(spark).write.parquet(f"{path}/version-x/merges")
+    assert load_vocabulary(spark, path) is None
+    save_vocabulary(spark, Vocabulary(), path)
+    save_vocabulary(spark, vocab, path)
+    again = load_vocabulary(spark, path)
+    assert again.merges == vocab.merges and again.symbols == vocab.symbols
+
+
 def test_encoding_equals_public_encoder(spark, trained):
     texts, vocab = trained
     tok = public_tokenizer(texts, 600)
