@@ -1,7 +1,7 @@
 """Answer pairs and their judging into preference pairs.
 
 Calls to a model or a judge cost money, so each stage is written before it is used and a row is
-identified by its key: a second run reads what is there and calls only for what is missing.
+identified by its key and what was asked: a second run reads what is there and calls only for what is missing.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import logging
 import time
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,6 +26,7 @@ from tessera.functions.chat import format_prompt, judge_request
 from tessera.functions.words import is_blank
 from tessera.operators.encoding import decode_ids, encode_ids
 from tessera.operators.vocabulary import Vocabulary
+from tessera.session import scratch_path
 from tessera.sources.ledger import append_ledger, pending, read_ledger
 
 logger = logging.getLogger(__name__)
@@ -130,16 +130,17 @@ def judge_stage(
     requests: DataFrame, judge_factory: Callable[[], Judge], key: str = "key",
     max_attempts: int = JUDGE_MAX_ATTEMPTS, retry_seconds: float = JUDGE_RETRY_SECONDS,
 ) -> DataFrame:
-    """(key, status, verdict, content, attempts) for every (key, request)."""
-    columns = requests.select(key, "request")
-    fields = [columns.schema[key], *T._parse_datatype_string(VERDICTS_SCHEMA).fields]
+    """(key, status, verdict, content, attempts) for every (key, request); other columns stand beside the key."""
+    kept = [key, *(c for c in requests.columns if c not in (key, "request"))]
+    columns = requests.select(*kept, "request")
+    fields = [*(columns.schema[c] for c in kept), *T._parse_datatype_string(VERDICTS_SCHEMA).fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         judge = judge_factory()
         for batch in batches:
             answers = [ask(judge, r, max_attempts, retry_seconds) for r in batch["request"]]
             answered = pd.DataFrame(answers, columns=["status", "verdict", "content", "attempts"])
-            yield pd.concat([batch[[key]].reset_index(drop=True), answered], axis=1)
+            yield pd.concat([batch[kept].reset_index(drop=True), answered], axis=1)
 
     return columns.mapInPandas(run, T.StructType(fields))
 
@@ -152,35 +153,42 @@ def judge_pairs(
     """Judge (key, prompt, completion_a, completion_b) in both orders; see ``decide``.
 
     Degenerate pairs are never asked about, and the swapped order only where the forward order
-    gave a verdict. Both orders are kept in tables below ``ledger``, so an interrupted run goes on
-    where it stopped. ``concurrency`` bounds the number of calls at a time. Each stage is written
-    in parts of about ``rows_per_commit`` rows: what an interruption can lose is one part. The pairs
-    are written first, so both orders and the result see the same ones, even where a plan that
+    gave a verdict. Both orders are kept in tables below ``ledger``, by key and a digest of what was asked, so an
+    interrupted run goes on where it stopped, and a pair whose prompt or answers have changed
+    meanwhile is asked about anew. ``concurrency`` bounds the number of calls at a time. Each stage is
+    written in parts of about ``rows_per_commit`` rows: what an interruption can lose is one part. Pairs
+    and requests are written before they are used, so both orders and the result see the same ones, even where a plan that
     calls a model made them.
     """
     spark = pairs.sparkSession
-    path = f"{ledger}/pairs-{uuid.uuid4().hex}"
-    pairs.write.parquet(path)
-    pairs = spark.read.schema(pairs.schema).parquet(path)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    pairs = written(pairs, "pairs")
     a, b = F.col("completion_a"), F.col("completion_b")
     askable = pairs.where(~is_degenerate(a, b))
 
     def stage(name: str, todo: DataFrame, first: Column, second: Column) -> DataFrame:
         path = f"{ledger}/{name}"
-        requests = pending(todo, path, key).select(
-            key, judge_request(F.col("prompt"), first, second).alias("request")
-        )
-        commits = -(-requests.count() // rows_per_commit)
-        verdicts = judge_stage(requests, judge_factory, key, max_attempts, retry_seconds)
+        asked = todo.select(key, judge_request(F.col("prompt"), first, second).alias("request"))
+        asked = asked.withColumn("request_id", F.sha2("request", 256))
+        left = written(pending(asked, path, key, "request_id"), "requests")
+        commits = -(-left.count() // rows_per_commit)
         for part in range(commits):
-            share = requests.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
+            share = left.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
             if concurrency is not None:
                 share = share.repartition(concurrency)
             verdicts = judge_stage(share, judge_factory, key, max_attempts, retry_seconds)
             passed = F.count_if(F.col("status") == "ok").alias("with_verdict")
             progress = append_ledger(verdicts, path, passed)
             logger.info("%s part %d of %d: %s", name, part + 1, commits, progress)
-        return read_ledger(spark, path, verdicts.schema)
+        verdicts = judge_stage(left, judge_factory, key, max_attempts, retry_seconds).schema
+        known = read_ledger(spark, path, verdicts).join(asked.select(key, "request_id"), [key, "request_id"], "left_semi")
+        # A compaction that stopped half-way leaves rows twice.
+        return known.dropDuplicates([key, "request_id"])
 
     forward = stage("forward", askable, a, b)
     passed = forward.where(F.col("status") == "ok").select(key)

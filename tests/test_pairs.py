@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import pairs as P
 from tessera.plans.preferences import stub_completer
-from tessera.sources.ledger import append_ledger, pending, read_ledger
+from tessera.sources.ledger import append_ledger, compact_ledger, pending, read_ledger
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -218,3 +218,28 @@ def test_preference_metrics(spark):
     margins = [0.1, -90.0]
     assert row["accuracy"] == 0.5 and row["margin"] == pytest.approx(sum(margins) / 2)
     assert row["loss"] == pytest.approx(sum(math.log1p(math.exp(-m)) for m in margins) / 2)
+
+
+def test_changed_answers_are_judged_anew(spark, tmp_path):
+    """Verdicts of an earlier run hold for the answers they were given for, and for no others."""
+    def shorter():
+        def judge(request):
+            first, second = (request.split(f"<response_{x}>")[1].split(f"</response_{x}>")[0] for x in "ab")
+            return '{"verdict": "%s"}' % ("A" if len(first) <= len(second) else "B")
+
+        return judge
+
+    schema, ledger = "key int, prompt string, completion_a string, completion_b string", f"{tmp_path}/ledger"
+    rows = [(i, f"question {i}", "tiny", "a much longer answer") for i in range(6)]
+    P.judge_pairs(spark.createDataFrame(rows, schema), shorter, ledger, retry_seconds=0).collect()
+    asked = read_ledger(spark, f"{ledger}/forward", "key int, request_id string").count()
+    rows = [(k, p, b, a) if k < 2 else (k, p, a, b) for k, p, a, b in rows]
+    again = P.judge_pairs(spark.createDataFrame(rows, schema), shorter, ledger, retry_seconds=0)
+    assert {r.chosen for r in again.collect() if r.kept} <= {"tiny"}
+    table = read_ledger(spark, f"{ledger}/forward", "key int, request_id string")
+    assert (asked, table.count()) == (6, 8)
+    kept = "key int, request_id string, status string, verdict string, content string, attempts int"
+    compact_ledger(spark, f"{ledger}/forward", kept, "key", "request_id")
+    third = P.judge_pairs(spark.createDataFrame(rows, schema), shorter, ledger, retry_seconds=0).collect()
+    assert sorted(third) == sorted(again.collect())
+    assert read_ledger(spark, f"{ledger}/forward", kept).count() == 8
