@@ -1,9 +1,10 @@
 """Main text of web pages by the maximum-scoring stretch of tokens (operator 2).
 
 A page becomes a row of words and tags. Elements that are never the article (menus, footers, forms,
-scripts, and small elements whose class, id or role says so) are cut out first. Every word then scores
-positive and every tag negative, with weights learned from the labelled pages below; one linear scan
-finds the contiguous stretch of the highest sum, and its text is the page's text.
+scripts, and elements whose class, id or role says so) are cut out first. If the markup names the
+article, all of it scores positive and all else negative; otherwise every word scores positive and
+every tag negative, with weights learned from the labelled pages below. One linear scan finds the
+contiguous stretch of the highest sum, and its text is the page's text.
 """
 
 from __future__ import annotations
@@ -45,19 +46,22 @@ NEVER = frozenset(
     "head title script style noscript template nav footer aside form button select textarea iframe object svg canvas "
     "menu dialog audio video math option input label".split()
 )
-#: One of these as a class, id or role marks an element that does not belong to it either, if it is small.
+#: One of these as a class, id or role marks an element that does not belong to it either, whatever its size.
 MARKS = frozenset(
     "ad ads adv advert advertisement adverts banner promo promotion sponsor sponsored sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer header masthead topbar comment comments disqus reply replies respond cookie cookies notice notices consent "
     "gdpr popup modal overlay newsletter subscribe signup login share sharing social related recommended widget "
     "pagination pager toolbar search form contentinfo complementary alert skip hidden".split()
 )
-#: A marked element is cut only if it has at most one in ``SHARE`` of the page's words and none of ``RESUME``.
-SHARE = 3
-#: Of any size if it is one of these and the page has one of ``RESUME`` elsewhere.
-ADVERTS = frozenset("ad ads adv advert advertisement adverts sponsor sponsored".split())
+#: Joined to marks by hyphens or underscores, these leave a class a mark, as in ``comment-list``.
+NEUTRAL = frozenset(
+    "list area section wrap wrapper container box block bar item items thread holder inner outer left right top bottom site "
+    "page user reader buttons button links icons primary secondary global module panel region unit slot row column col text title".split()
+)
 #: Elements that a mark does not cut.
 UNMARKED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: Least score of a token inside the article that the page names, and highest outside it.
+INSIDE, OUTSIDE = 0.01, -0.5
 #: Elements whose content is no markup.
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -108,7 +112,8 @@ def tokenise(page: str) -> list[Token]:
 def marks_of(attr: str) -> frozenset[str]:
     if "=" not in attr:
         return frozenset()
-    return MARKS.intersection(part for value in ATTRIBUTE.findall(attr) for part in value.strip("\"'").lower().split())
+    names = [name for value in ATTRIBUTE.findall(attr) for name in value.strip("\"'").lower().split()]
+    return frozenset(part for name in names if (parts := set(re.split("[-_]+", name))) <= MARKS | NEUTRAL for part in parts & MARKS)
 
 
 def end_of(tokens: list[Token], start: int) -> int:
@@ -141,35 +146,44 @@ def end_of(tokens: list[Token], start: int) -> int:
     return len(tokens)
 
 
-def small_marked(tokens: list[Token]) -> dict[int, int]:
-    """Start and end of the marked elements that may be cut: closed, small, and without an article in them."""
-    marks = [at for at, token in enumerate(tokens) if token.marks]
-    if not marks:
-        return {}
+def spans_of(tokens: list[Token], wanted: list[int]) -> dict[int, int]:
+    """Start and end of those elements that are closed."""
     ends: dict[int, int] = {}
     open_at: dict[str, list[int]] = {}
-    words, resumes = [0], [0]
     for at, token in enumerate(tokens):
-        words.append(words[-1] + len(token.text.split()))
-        resumes.append(resumes[-1] + (token.name in RESUME and not token.close))
         if token.close and open_at.get(token.name):
             ends[open_at[token.name].pop()] = at + 1
         elif token.name and not token.close:
             open_at.setdefault(token.name, []).append(at)
     found = {}
-    for at in marks:
+    for at in wanted:
         end = end_of(tokens, at) if tokens[at].name in OPEN_ENDED or tokens[at].name in VOID else ends.get(at)
-        if not end or resumes[end] > resumes[at]:
-            continue
-        if SHARE * (words[end] - words[at]) <= words[-1] or resumes[-1] and tokens[at].marks & ADVERTS:
+        if end:
             found[at] = end
     return found
 
 
+def marked(tokens: list[Token]) -> dict[int, int]:
+    """Start and end of the marked elements that are cut: those closed and without an article in them; none if no
+    word would be left."""
+    wanted = [at for at, token in enumerate(tokens) if token.marks]
+    if not wanted:
+        return {}
+    resumes, words = [0], [0]
+    for token in tokens:
+        resumes.append(resumes[-1] + (token.name in RESUME and not token.close))
+        words.append(words[-1] + bool(token.text.strip()))
+    found = {at: end for at, end in spans_of(tokens, wanted).items() if resumes[end] == resumes[at]}
+    left, covered = words[-1], 0
+    for at, end in sorted(found.items()):
+        left -= max(0, words[end] - words[max(at, covered)])
+        covered = max(covered, end)
+    return found if left else {}
+
+
 def belonging(tokens: list[Token]) -> list[Token]:
     """The tokens without the elements that never belong; a header counts only inside an article."""
     kept, at, inside = [], 0, 0
-    small = small_marked(tokens)
     while at < len(tokens):
         token = tokens[at]
         if token.name in ("article", "main"):
@@ -177,12 +191,49 @@ def belonging(tokens: list[Token]) -> list[Token]:
         if token.out or token.name == "header" and not token.close and not inside:
             at = end_of(tokens, at)
             continue
-        if at in small:
-            at = small[at]
-            continue
         kept.append(token)
         at += 1
-    return kept
+    cut = marked(kept)
+    rest, at = [], 0
+    while at < len(kept):
+        if at in cut:
+            at = cut[at]
+        else:
+            rest.append(kept[at])
+            at += 1
+    return rest
+
+
+def article_of(tokens: list[Token]) -> tuple[int, int] | None:
+    """The page's article, if its markup names one: the only ``article``, else the only ``main``, else the
+    ``article`` whose best stretch scores highest."""
+    places: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
+    for name, found in places.items():
+        depth, start = 0, 0
+        for at, token in enumerate(tokens):
+            if token.name != name:
+                continue
+            if not token.close:
+                start = at if not depth else start
+                depth += 1
+            elif depth:
+                depth -= 1
+                if not depth:
+                    found.append((start, at + 1))
+        if depth:
+            found.append((start, len(tokens)))
+    for found in places.values():
+        if len(found) == 1:
+            return found[0]
+    if not places["article"]:
+        return None
+
+    def score(place: tuple[int, int]) -> float:
+        scores = scored(tokens[place[0] : place[1]], learned())
+        start, end = best_stretch(scores)
+        return sum(scores[start:end])
+
+    return max(places["article"], key=score)
 
 
 def scored(tokens: list[Token], weights: dict[str, float]) -> list[float]:
@@ -238,6 +289,7 @@ def learned() -> dict[str, float]:
     weights["word"] = max(0.5, odds["word"])
     weights["linked word"] = min(0.1, odds["linked word"])
     weights |= {kind: -0.05 for kind in ("p", "br", "b", "i", "em", "strong", "span", "article", "main")}
+    weights |= {kind: -0.1 for kind in ("table", "thead", "tbody", "tr", "td", "th")}
     return weights | {"other tag": -0.2}
 
 
@@ -257,7 +309,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tokens = belonging(tokenise(page))
-    start, end = best_stretch(scored(tokens, learned()))
+    scores, place = scored(tokens, learned()), article_of(tokens)
+    if place:
+        # Whatever stands in the article the page names is inside, all else is outside.
+        scores = [max(s, INSIDE) if place[0] <= at < place[1] else min(s, OUTSIDE) for at, s in enumerate(scores)]
+    start, end = best_stretch(scores)
     return " ".join(filter(None, blocks(tokens[start:end])))
 
 
