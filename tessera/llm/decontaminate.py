@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import slices
+from tessera.session import remove_path, scratch_path
 
 #: Share of its score against itself an item needs to be retrieved.
 THRESHOLD = 0.6
@@ -168,8 +169,8 @@ class Index:
 
 
 def indexes(items: DataFrame, threshold: float = THRESHOLD, key: str = "item_id", text: str = "text") -> Iterator[Index]:
-    """The shards. Items without a word are left out; of items that repeat an id the first text by order counts."""
-    rows = items.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("id")).agg(F.min(text).alias("text"))
+    """The shards. An item is a different pair of id, null included, and text; those without a word are left out."""
+    rows = items.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).distinct()
     rows = rows.where(F.col("text").rlike(r"[\p{L}\p{N}]"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +188,8 @@ def indexes(items: DataFrame, threshold: float = THRESHOLD, key: str = "item_id"
     n = total["n"] if total else 0
     shards = -(-n // SHARD)
     for shard in range(shards):
-        mine = sorted((r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard).collect() if words_of(r["text"]))
+        mine = [(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == shard).collect() if words_of(r["text"])]
+        mine.sort(key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
         if mine:
             needed = mine_words(mine)
             held = rows.sparkSession.createDataFrame([(w,) for w in needed], "word string")
@@ -203,16 +205,18 @@ def mine_words(items: list[tuple[int, str]]) -> list[str]:
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` for each text that holds an item.
 
-    One row for each row of ``docs`` and item, of its best passage. Null and empty texts hold none; null
-    and repeated keys are kept as they are. Other columns are not read. Without items, or rows, the
-    result is empty.
+    One row for each row of ``docs`` and item, of its best passage; items that repeat an id with other texts are items of
+    their own. Null and empty texts hold none; null and repeated keys are kept as they are, and so are null
+    item ids. Other columns are not read. Without items, or rows, the result is empty. Shards are sent one
+    at a time: the hits of each are written before the next.
     """
+    spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, item_id long, score double, question_overlap double, answer_overlap double"
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    found = None
+    found = spark.createDataFrame([], schema)
     for index in indexes(items):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+        sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
@@ -223,18 +227,24 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
                     names=["key", "item_id", "score", "question_overlap", "answer_overlap"],
                 )
 
-        part = rows.mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], schema)
+        path = scratch_path(spark, "hits")
+        rows.mapInArrow(run, schema).write.parquet(path)
+        sent.destroy()
+        found = found.unionByName(spark.read.schema(schema).parquet(path))
     return found.withColumnRenamed("key", key)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text holds no item."""
-    at = docs.columns.index(text)
-    for index in indexes(items):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    """The rows, all columns as they are, whose text holds no item.
+
+    Shards are sent one at a time: what each but the last one leaves is written before the next.
+    """
+    spark = docs.sparkSession
+    at, schema, path = docs.columns.index(text), docs.schema, None
+    shards = indexes(items)
+    index = next(shards, None)
+    while index is not None:
+        sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
@@ -242,5 +252,13 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
                 keep[[hit[0] for hit in sent.value.found(part.column(at).to_pylist())]] = False
                 yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(run, schema)
+        index = next(shards, None)
+        if index is not None:
+            before, path = path, scratch_path(spark, "clean")
+            docs.write.parquet(path)
+            sent.destroy()
+            docs = spark.read.schema(schema).parquet(path)
+            if before:
+                remove_path(spark, before)
     return docs
