@@ -105,7 +105,8 @@ def script_of(word: Column) -> Column:
 
 
 def atoms_of(mention: Column) -> Column:
-    """The atoms of a mention: ``kind`` (names with gender and script) and ``value``, its form without case and marks."""
+    """The atoms of a mention: ``kind`` (names with gender and script) and ``value``, its form without case and marks; a secret
+    keeps its case, as secrets that differ in it are different ones."""
     kind = kind_of(mention)
     title = F.regexp_extract(mention, f"^({TITLE}) ", 1)
     words = F.split(F.regexp_replace(mention, f"^{TITLE} ", ""), " ")
@@ -123,6 +124,7 @@ def atoms_of(mention: Column) -> Column:
         F.when(kind == "email", F.lower(mention))
         .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, "[^0-9]", ""))
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
+        .when(kind == "secret", mention)
         .otherwise(F.lower(mention))
     )
     return F.when(kind == "person", person).otherwise(F.array(atom(kind, plain)))
@@ -182,7 +184,7 @@ def drawn(key: str, kind: Column, value: Column, draw: int) -> Column:
         for gender in ("f", "m"):
             found = found.when(kind == f"given-{gender}-{script}", name(script, gender, 3))
         found = found.when(kind == f"surname-{script}", name(script, "s", 4))
-    marked = F.regexp_extract(value, "^(akia|ghp_|sk-)", 1)
+    marked = F.regexp_extract(value, "^(?i)(akia|ghp_|sk-)", 1)
     return found.otherwise(F.concat(marked, F.substring(filled(value), F.length(marked) + 1, F.length(value))))
 
 
@@ -208,10 +210,12 @@ def registry(atoms: DataFrame, key: str) -> DataFrame:
         df.write.parquet(path)
         return spark.read.parquet(path)
 
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     todo = atoms = written(atoms.distinct())
     taken = None
     for draw in count():
-        tried = todo.withColumn("surrogate", drawn(key, F.col("kind"), F.col("value"), draw))
+        # The draws are heavy for the rows' size, so these are dealt out whatever it is.
+        tried = todo.repartition(parts).withColumn("surrogate", drawn(key, F.col("kind"), F.col("value"), draw))
         own = atoms.select("kind", F.col("value").alias("surrogate"))
         tried = tried.join(own.withColumn("real", F.lit(True)), ["kind", "surrogate"], "left")
         if taken is not None:
@@ -255,6 +259,7 @@ def written_as(mention: Column, parts: Column) -> Column:
         F.when(kind == "person", person)
         .when(kind.isin("phone", "card", "ssn"), slotted("[0-9]"))
         .when(kind == "iban", slotted("[A-Z0-9]"))
+        .when(kind == "secret", one)
         .otherwise(F.when(shouted, F.upper(one)).otherwise(one))
     )
 
@@ -279,7 +284,8 @@ def replaced(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text",
     pairs = held.where(perhaps).select(F.col("row").getField(doc).alias("id"), F.explode(F.array_distinct(mentions(words))).alias("mention"))
     pairs.write.parquet(path)
     pairs = spark.read.parquet(path)
-    distinct = pairs.select("mention").distinct().select("mention", F.posexplode(atoms_of(F.col("mention"))).alias("at", "atom"))
+    dealt = pairs.select("mention").distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "mention")
+    distinct = dealt.select("mention", F.posexplode(atoms_of(F.col("mention"))).alias("at", "atom"))
     distinct = distinct.select("mention", "at", "atom.kind", "atom.value")
     names = registry(distinct.select("kind", "value"), key)
     parts = distinct.join(names, ["kind", "value"]).groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("parts"))
