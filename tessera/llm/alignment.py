@@ -515,6 +515,11 @@ def looked_up(docs: DataFrame, index: Index | None, best: np.ndarray, byte_path:
     return docs.select("row", "text").mapInArrow(run, f"row {kind}, {RESULT}")
 
 
+def least_parts(tools: Aligner) -> int:
+    """So many parts of the pairs that none has more than a lot can hold."""
+    return -(-len(tools.a_bytes) * len(tools.b_bytes) // LOT_KEYS)
+
+
 def alignments(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``RESULT`` of every row: tokens by both, groups, links, links whose pair is the most frequent one of
     its first id, the sum of the links' document counts, and the SHA-256 of the groups.
@@ -531,7 +536,7 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc
         return spark.read.schema(df.schema).parquet(path)
 
     tools = aligner(byte_path, piece_path)
-    parts = max(384, -(-len(tools.a_bytes) * len(tools.b_bytes) // LOT_KEYS))
+    parts = least_parts(tools)
     rows = docs.select(F.col(key).alias("row"), F.col(text).alias("text"))
     stretches = written(counted(rows, byte_path, piece_path), "stretches")
     parts_of = written(indexed(stretches, parts), "index")
