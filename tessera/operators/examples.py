@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.fixed_values import IGNORE_INDEX, MAX_SEQ_LEN, PAD_ID, PAD_TOKEN
+from tessera.functions.bytes import byte_token_count
 from tessera.functions.chat import format_prompt, format_turn
 from tessera.functions.sequences import fit_length, labels_for
 from tessera.operators.encoding import encode_ids
@@ -34,6 +35,30 @@ def pretraining_examples(
     )
 
 
+def pretraining_counts(
+    docs: DataFrame, vocab: Vocabulary | None = None, max_seq_len: int = MAX_SEQ_LEN, text: str = "text"
+) -> DataFrame:
+    """``n_tokens`` before the cut and ``n_targets`` of each document's example, which is not built.
+
+    Every kept token but the first is a target, unless it is a literal padding token. Without merges
+    tokens are only listed for texts that hold one.
+    """
+    ids = encode_ids(F.col(text), vocab or Vocabulary(), docs.sparkSession)
+
+    def targets(n: Column) -> Column:
+        return F.greatest(F.least(n, F.lit(max_seq_len)) - 1, F.lit(0))
+
+    def listed(ids: Column) -> Column:
+        return F.size(F.filter(F.slice(ids, 2, max_seq_len - 1), lambda i: i != PAD_ID))
+
+    if vocab is not None and vocab.merges:
+        counted = docs.withColumn("_ids", ids).withColumn("n_tokens", F.size("_ids"))
+        return counted.withColumn("n_targets", listed(F.col("_ids"))).drop("_ids")
+    counted = docs.withColumn("n_tokens", byte_token_count(F.col(text)).cast("int"))
+    plain = targets(F.col("n_tokens"))
+    return counted.withColumn("n_targets", F.when(F.contains(F.col(text), F.lit(PAD_TOKEN)), listed(ids)).otherwise(plain))
+
+
 def chat_examples(
     turns: DataFrame, vocab: Vocabulary | None = None, max_seq_len: int = MAX_SEQ_LEN,
     key: str = "conv_id", order: str = "turn", role: str = "role", content: str = "text",

@@ -18,6 +18,7 @@ from tessera.operators.conversations import (
     messages_error,
     validate_conversations,
 )
+from tessera.operators.budget import corpus_report
 from tessera.operators.examples import chat_examples
 from tessera.operators.replies import assemble_replies
 from tessera.operators.requests import prompt_token_counts, request_outcomes
@@ -29,6 +30,8 @@ from tessera.plans.tables import (
     response_chunks,
     table,
 )
+from tessera.session import scratch_path
+from tessera.sources.corpora import CORPORA, load_corpus
 
 CONTEXT = 1200
 CHAT_BATCH = 8
@@ -68,6 +71,20 @@ def shift_targets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def chat_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """A named chat corpus with a validation split of its own, from message lists in files to its token budget."""
+    spec, root = CORPORA["smoltalk"], scratch_path(spark, "corpora")
+    talks = assemble(_turns(spark, folder)).select("conv_id", F.col("messages").alias(spec.messages_column))
+    own = F.col("conv_id") % 4 == 0
+    talks.where(~own).write.parquet(spec.location(root, spec.split))
+    talks.where(own).write.parquet(spec.location(root, spec.val_split))
+    train, val = load_corpus(spark, spec, root, "conv_id")
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    examples = chat_examples(flatten_messages(both)).join(both.select("conv_id", "split"), "conv_id")
+    counted = examples.withColumn("n_targets", target_count(F.col("labels")))
+    return corpus_report(counted, ["split"], "kept_ids", batch_size=4, accumulation=2).drop("raw_tokens", "truncated")
+
+
 def turn_markups(spark: SparkSession, folder: str) -> DataFrame:
     role, text = F.col("role"), F.col("text")
     return _turns(spark, folder).select(
@@ -261,6 +278,16 @@ QUERIES = {
         SELECT conv_id, pos // {CHAT_BATCH} AS batch_no, pos % {CHAT_BATCH} AS slot, least(n, {MAX_SEQ_LEN}) AS kept_ids
         FROM p WHERE pos // {CHAT_BATCH} < (SELECT count(*) FROM v) // {CHAT_BATCH}""",
     ),
+    "chat_corpus": (
+        chat_corpus,
+        f"""WITH {_EXAMPLES},
+        k AS (SELECT CASE WHEN conv_id % 4 = 0 THEN 'val' ELSE 'train' END AS split, least(len(ids), {MAX_SEQ_LEN}) AS k,
+            len(list_filter(labels[2:{MAX_SEQ_LEN}], lambda x: x <> {IGNORE_INDEX})) AS n_targets FROM v)
+        SELECT split, count(*) AS n_docs, sum(k)::BIGINT AS kept_tokens, sum({MAX_SEQ_LEN} - k)::BIGINT AS pad_tokens,
+            sum(n_targets)::BIGINT AS targets, count(*) // 4 AS n_batches, count(*) // 8 AS n_steps,
+            (count(*) // 8) * {8 * MAX_SEQ_LEN} AS step_tokens
+        FROM k GROUP BY split""",
+    ),
     "shift_targets": (
         shift_targets,
         f"""WITH {_EXAMPLES}

@@ -7,13 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.fixed_values import ACCUMULATION_STEPS, BATCH_SIZE, MAX_SEQ_LEN
+from tessera.fixed_values import ACCUMULATION_STEPS, BATCH_SIZE, MAX_SEQ_LEN, VAL_EXAMPLES, VOCAB_SIZE
 from tessera.functions.bytes import byte_token_count, special_count
-from tessera.functions.sequences import ids_digest, target_count
+from tessera.functions.sequences import ids_digest
 from tessera.operators import ordering
 from tessera.operators.budget import corpus_report
 from tessera.operators.encoding import decode_ids, encode_ids
-from tessera.operators.examples import pretraining_examples
+from tessera.operators.examples import pretraining_counts, pretraining_examples
 from tessera.operators.vocabulary import (
     Vocabulary,
     load_or_train,
@@ -170,8 +170,23 @@ def literal_specials(spark: SparkSession, folder: str) -> DataFrame:
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
     docs = ordering.with_split(_documents(spark, folder), "doc_id", HOLDOUT)
-    counted = pretraining_examples(docs).withColumn("n_targets", target_count(F.col("labels")))
-    return corpus_report(counted, ["split", "source"], batch_size=4, accumulation=2)
+    return corpus_report(pretraining_counts(docs), ["split", "source"], batch_size=4, accumulation=2)
+
+
+def native_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """A named corpus with a validation split of its own, both renamed, the training rows shuffled: tokens and targets."""
+    spec, root = CORPORA["tiny_shakespeare"], scratch_path(spark, "corpora")
+    for split, name, key in ((spec.split, "documents", "doc_id"), (spec.val_split, "benchmark", "item_id")):
+        rows = table(spark, folder, name).select(F.col(key).alias("id"), F.col("text").alias(spec.text_column))
+        rows.write.parquet(spec.location(root, split))
+    train, val = load_corpus(spark, spec, root, "id")
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    return pretraining_counts(both).select("id", "split", "n_tokens", "n_targets")
+
+
+def reference_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """The merges of a vocabulary of the full size, from all documents."""
+    return train_vocabulary(word_counts(_texts(spark, folder)), VOCAB_SIZE).merges_frame(spark)
 
 
 def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,6 +349,15 @@ QUERIES = {
             count(*) // 8 AS n_steps, (count(*) // 8) * {4 * 2 * MAX_SEQ_LEN} AS step_tokens
         FROM t GROUP BY split, source""",
     ),
+    "native_corpus": (
+        native_corpus,
+        f"""WITH d AS (SELECT doc_id AS id, 'train' AS split, text FROM documents
+            UNION ALL (SELECT item_id, 'val', text FROM benchmark ORDER BY item_id LIMIT {VAL_EXAMPLES})),
+        n AS (SELECT id, split, octet_length(encode(text)) AS n FROM d)
+        SELECT id, split, n::INT AS n_tokens, greatest(least(n, {MAX_SEQ_LEN}) - 1, 0)::INT AS n_targets FROM n""",
+    ),
+    # No SQL: recursive SQL takes one merge at a time over the whole word table.
+    "reference_vocabulary": (reference_vocabulary, None),
     "stream_equals_batch": (
         stream_equals_batch,
         f"""WITH c AS (SELECT doc_id, {byte_ids('text')} AS ids FROM documents),

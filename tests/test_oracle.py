@@ -13,10 +13,17 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(ALL))
+#: Tested against the public trainer instead.
+WITHOUT_SQL = {"reference_vocabulary"}
+
+
+def test_queries_without_sql_are_known():
+    assert {name for name, (_, sql) in ALL.items() if sql is None} == WITHOUT_SQL
+
+
+@pytest.mark.parametrize("name", sorted(ALL.keys() - WITHOUT_SQL))
 def test_query_equals_sql(spark, con, name):
     query, sql = ALL[name]
-    assert sql is not None
     assert differences(spark, con, query, sql, FOLDER) is None
 
 

@@ -8,7 +8,7 @@ from tessera.functions.bytes import byte_order, byte_token_count, byte_tokens
 from tessera.functions.sequences import fit_length, labels_for, next_token_targets, target_count
 from tessera.functions.words import is_blank, split_pieces, split_words
 from tessera.operators.encoding import decode_ids, encode_ids, token_counts
-from tessera.operators.examples import pretraining_examples
+from tessera.operators.examples import pretraining_counts, pretraining_examples
 from tessera.operators.vocabulary import (
     Vocabulary,
     load_or_train,
@@ -249,3 +249,14 @@ def test_ids_outside_the_vocabulary_decode_to_nothing(spark):
     for vocab in (Vocabulary(), train_vocabulary(word_counts(frame(spark, ["aa ab"])), 260)):
         row = ids.select(decode_ids(F.col("ids"), vocab, spark).alias("t")).first()
         assert row["t"] == (vocab.symbols[66] + vocab.symbols[67]).decode()
+
+
+def test_counts_equal_those_of_the_examples(spark, trained):
+    """Targets counted without building examples, with literal padding tokens and cuts."""
+    _, vocab = trained
+    texts = frame(spark, [*TEXTS, "[PAD]", "a[PAD]", "[PAD][PAD]b" * 9, "plain words " * 9])
+    for v in (None, vocab):
+        for length in (8, 40):
+            built = pretraining_examples(texts, v, length).select("id", "n_tokens", target_count(F.col("labels")).alias("n_targets"))
+            counted = pretraining_counts(texts, v, length).select("id", "n_tokens", "n_targets")
+            assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, built.collect()))
