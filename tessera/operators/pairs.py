@@ -10,6 +10,7 @@ import json
 import logging
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,8 +110,9 @@ def read_verdict(content: str | None) -> tuple[str, str | None]:
     return ("ok", verdict) if verdict in ("A", "B") else ("parse_failure", None)
 
 
-def ask(judge: Judge, request: str, max_attempts: int, retry_seconds: float) -> dict:
-    """One judge call with retries for transient errors; unusable answers are not retried."""
+def ask(judge: Judge, request: str, max_attempts: int, retry_seconds: float, backoff: float = 1.0) -> dict:
+    """One judge call with retries for transient errors; unusable answers are not retried. Each pause is
+    ``backoff`` times the one before."""
     content = None
     for attempt in range(1, max_attempts + 1):
         try:
@@ -122,25 +124,31 @@ def ask(judge: Judge, request: str, max_attempts: int, retry_seconds: float) ->
             if status != "retry":
                 return {"status": status, "verdict": verdict, "content": content, "attempts": attempt}
         if attempt < max_attempts:
-            time.sleep(retry_seconds)
+            time.sleep(retry_seconds * backoff ** (attempt - 1))
     return {"status": "api_failure", "verdict": None, "content": content, "attempts": max_attempts}
 
 
 def judge_stage(
     requests: DataFrame, judge_factory: Callable[[], Judge], key: str = "key",
     max_attempts: int = JUDGE_MAX_ATTEMPTS, retry_seconds: float = JUDGE_RETRY_SECONDS,
+    in_flight: int = 1, backoff: float = 1.0,
 ) -> DataFrame:
-    """(key, status, verdict, content, attempts) for every (key, request); other columns stand beside the key."""
+    """(key, status, verdict, content, attempts) for every (key, request); other columns stand beside the key.
+
+    A task keeps up to ``in_flight`` calls going at a time, so a judge made by the factory must then be safe to call
+    from several threads. Answers are put back in the order of the requests.
+    """
     kept = [key, *(c for c in requests.columns if c not in (key, "request"))]
     columns = requests.select(*kept, "request")
     fields = [*(columns.schema[c] for c in kept), *T._parse_datatype_string(VERDICTS_SCHEMA).fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         judge = judge_factory()
-        for batch in batches:
-            answers = [ask(judge, r, max_attempts, retry_seconds) for r in batch["request"]]
-            answered = pd.DataFrame(answers, columns=["status", "verdict", "content", "attempts"])
-            yield pd.concat([batch[kept].reset_index(drop=True), answered], axis=1)
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                answers = list(pool.map(lambda r: ask(judge, r, max_attempts, retry_seconds, backoff), batch["request"]))
+                answered = pd.DataFrame(answers, columns=["status", "verdict", "content", "attempts"])
+                yield pd.concat([batch[kept].reset_index(drop=True), answered], axis=1)
 
     return columns.mapInPandas(run, T.StructType(fields))
 
@@ -149,13 +157,15 @@ def judge_pairs(
     pairs: DataFrame, judge_factory: Callable[[], Judge], ledger: str, key: str = "key",
     max_attempts: int = JUDGE_MAX_ATTEMPTS, retry_seconds: float = JUDGE_RETRY_SECONDS,
     concurrency: int | None = None, rows_per_commit: int = ROWS_PER_COMMIT,
+    in_flight: int = 1, backoff: float = 1.0,
 ) -> DataFrame:
     """Judge (key, prompt, completion_a, completion_b) in both orders; see ``decide``.
 
     Degenerate pairs are never asked about, and the swapped order only where the forward order
     gave a verdict. Both orders are kept in tables below ``ledger``, by key and a digest of what was asked, so an
     interrupted run goes on where it stopped, and a pair whose prompt or answers have changed
-    meanwhile is asked about anew. ``concurrency`` bounds the number of calls at a time. Each stage is
+    meanwhile is asked about anew. ``concurrency`` bounds the number of tasks at a time, ``in_flight`` the calls
+    of each. Each stage is
     written in parts of about ``rows_per_commit`` rows: what an interruption can lose is one part. Pairs
     and requests are written before they are used, so both orders and the result see the same ones, even where a plan that
     calls a model made them.
@@ -181,7 +191,7 @@ def judge_pairs(
             share = left.where(F.pmod(F.xxhash64(key), F.lit(commits)) == part)
             if concurrency is not None:
                 share = share.repartition(concurrency)
-            verdicts = judge_stage(share, judge_factory, key, max_attempts, retry_seconds)
+            verdicts = judge_stage(share, judge_factory, key, max_attempts, retry_seconds, in_flight, backoff)
             passed = F.count_if(F.col("status") == "ok").alias("with_verdict")
             progress = append_ledger(verdicts, path, passed)
             logger.info("%s part %d of %d: %s", name, part + 1, commits, progress)

@@ -1,3 +1,4 @@
+import os
 import json
 import math
 import sys
@@ -243,3 +244,38 @@ def test_changed_answers_are_judged_anew(spark, tmp_path):
     third = P.judge_pairs(spark.createDataFrame(rows, schema), shorter, ledger, retry_seconds=0).collect()
     assert sorted(third) == sorted(again.collect())
     assert read_ledger(spark, f"{ledger}/forward", kept).count() == 8
+
+
+def test_calls_in_flight_keep_their_places(spark, tmp_path):
+    """Several calls of a task at a time, the later ones done first: every request is asked about once and keeps its answer."""
+    calls = str(tmp_path)
+
+    def slow_start():
+        import os
+        import time
+        import uuid
+
+        def judge(request):
+            number = int(request.rsplit(" ", 1)[1])
+            open(os.path.join(calls, f"{number}-{time.monotonic()}-{uuid.uuid4().hex}"), "w").close()
+            time.sleep(0.2 if number % 8 == 0 else 0.02)
+            return '{"verdict": "%s"}' % "AB"[number % 2]
+
+        return judge
+
+    asked = spark.createDataFrame([(i, f"request {i}") for i in range(32)], "key int, request string").coalesce(1)
+    got = P.judge_stage(asked, slow_start, retry_seconds=0, in_flight=8).collect()
+    assert [(r.key, r.verdict) for r in got] == [(i, "AB"[i % 2]) for i in range(32)]
+    numbers = [int(name.split("-")[0]) for name in os.listdir(calls)]
+    assert sorted(numbers) == list(range(32))
+    assert sorted(P.judge_stage(asked, slow_start, retry_seconds=0).collect()) == sorted(got)
+
+
+def test_pauses_grow_by_the_backoff(monkeypatch):
+    pauses = []
+    monkeypatch.setattr(P.time, "sleep", pauses.append)
+
+    def failing(request):
+        raise OSError
+
+    assert P.ask(failing, "r", 4, 2.0, 3.0)["status"] == "api_failure" and pauses == [2.0, 6.0, 18.0]
