@@ -46,6 +46,8 @@ DATA_BITS = 60
 HEADER = "<4sQQQQ"
 HEADER_BYTES = struct.calcsize(HEADER)
 MAGIC = b"S8B1"
+#: Text encoded at a time: the more, the fewer stretches are looked up again.
+TEXT_BYTES = 8 << 20
 #: Bytes of words after which a block is closed, and blocks of a file.
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_FILE = 16
@@ -345,7 +347,7 @@ def packed_rows(rows: DataFrame, encode: Callable, ranges: Ranges) -> DataFrame:
     nulls, cuts = ranges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, TEXT_BYTES):
             ids, ends = encode(part.column(2))
             words, word_ends = packed(ids, ends)
             data, places = words.astype("<u8").tobytes(), (8 * np.concatenate(([0], word_ends))).tolist()
