@@ -16,6 +16,8 @@ from tessera.plans.tables import JUDGED_SQL, RUN_LOG_SQL, raw_pairs, request_log
 from tessera.session import scratch_path
 from tessera.sources.ledger import append_ledger, read_ledger
 from tessera.sources.logs import evaluations, read_chunks, read_request_log, read_run_log
+from tessera.streaming.incremental import read_new_files
+from tessera.streaming.replies import STATE_STORE, reply_stream
 
 RUNS = 8
 
@@ -48,6 +50,29 @@ def chunk_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("request_id").cast("long").alias("request_id"), "reply", "status")
 
 
+def streamed_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """Replies put together by a stream over the chunks in several files, stopped and started again; a last chunk
+    of a later time lets it close what stays open."""
+    chunks = response_chunks(spark, folder).withColumn("at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq") % 7))
+    base = scratch_path(spark, "reply-stream")
+    later = spark.createDataFrame([(-1, 1)], "request_id long, seq long").select(
+        "request_id", "seq", F.lit(None).cast("string").alias("token"), F.lit(False).alias("done"),
+        F.lit(None).cast("string").alias("error"), F.timestamp_seconds(F.lit(1_800_000_000)).alias("at"),
+    )
+    part = F.pmod(F.xxhash64("request_id", "seq"), F.lit(3)) == 0
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        for wave in (chunks.where(part), chunks.where(~part), later):
+            wave.write.mode("append").parquet(f"{base}/in")
+            stream = read_new_files(spark, f"{base}/in", chunks.schema).withWatermark("at", "1 minute")
+            query = reply_stream(stream, 60).writeStream.format("parquet").option("path", f"{base}/out")
+            query.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(STATE_STORE[0], before)
+    return spark.read.parquet(f"{base}/out").where("request_id >= 0")
+
+
 def judge_progress(spark: SparkSession, folder: str) -> DataFrame:
     """A self-check, then the forward order judged into a ledger: what was observed while it was
     written, and what the ledger holds."""
@@ -80,6 +105,7 @@ QUERIES = {
         f"WITH {_OUTCOMES} SELECT outcome, 2 * count(*) AS n, 2 * count(*) AS n_ids FROM outcomes GROUP BY outcome",
     ),
     "chunk_files": (chunk_files, CHAT["replies"][1]),
+    "streamed_replies": (streamed_replies, CHAT["replies"][1]),
     "judge_progress": (
         judge_progress,
         f"""WITH {JUDGED_SQL}, n AS (

@@ -6,11 +6,13 @@ from test_pairs import CASES, first_word_judge, frame
 
 from tessera.operators.examples import pretraining_examples
 from tessera.operators.pairs import judge_pairs, preference_pairs, sample_pairs
+from tessera.operators.replies import assemble_replies
 from tessera.plans.preferences import stub_completer
 from tessera.session import scratch_path
 from tessera.sources.jsonl import PREFERENCE_SCHEMA, RAW_PAIRS_SCHEMA, append_lines, read_lines, recover
 from tessera.sources.logs import evaluations, read_chunks, read_request_log, read_run_log
 from tessera.streaming.incremental import encode_stream, generate_stream, judge_stream, read_new_files
+from tessera.streaming.replies import STATE_STORE, reply_stream
 
 
 def test_broken_lines_are_quarantined_with_a_reason(spark, tmp_path):
@@ -114,3 +116,32 @@ def test_generated_pairs_stream(spark):
     generate_stream(stream, lambda df: sample_pairs(df, stub_completer), f"{base}/out", f"{base}/progress").awaitTermination()
     back = spark.read.schema("key int, " + RAW_PAIRS_SCHEMA).json(f"{base}/out")
     assert sorted(r["prompt"] for r in back.collect()) == ["bye", "hello"]
+
+
+def test_streamed_replies_equal_the_batch(spark):
+    """Chunks in any order over several files and a restart; what stays open is closed by its timer."""
+    rows = []
+    for request in range(12):
+        words = [f"{request}:{i} " for i in range(request % 4 + 1)]
+        rows += [(request, i, w, False, None) for i, w in enumerate(words)]
+        if request % 3 != 1:
+            rows.append((request, len(words), None, True, "boom" if request % 3 == 2 else None))
+    schema = "request_id long, seq long, token string, done boolean, error string"
+    chunks = spark.createDataFrame(rows, schema)
+    timed = chunks.withColumn("at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("request_id")))
+    base = scratch_path(spark, "replies")
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        parity = F.pmod(F.xxhash64("request_id", "seq"), F.lit(3))
+        late = spark.createDataFrame([(99, 1, None, True, None)], schema).withColumn("at", F.timestamp_seconds(F.lit(1_800_000_000)))
+        waves = [timed.where(parity == 0), timed.where(parity != 0), late]
+        for wave in waves:
+            wave.coalesce(1).write.mode("append").parquet(f"{base}/in")
+            stream = read_new_files(spark, f"{base}/in", timed.schema, files_per_batch=1).withWatermark("at", "1 minute")
+            query = reply_stream(stream, 60).writeStream.format("parquet").option("path", f"{base}/out")
+            query.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.parquet(f"{base}/out").where("request_id < 99").collect()
+    finally:
+        spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(STATE_STORE[0], before)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, assemble_replies(chunks).collect()))
