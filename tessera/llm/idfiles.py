@@ -47,7 +47,7 @@ HEADER = "<4sQQQQ"
 HEADER_BYTES = struct.calcsize(HEADER)
 MAGIC = b"S8B1"
 #: Text encoded at a time: the more, the fewer stretches are looked up again.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 #: Bytes of words after which a block is closed, and blocks of a file.
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_FILE = 16
