@@ -7,7 +7,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
-from tessera.operators.vocabulary import CLASH, TRIED, Shard, _codes
+from tessera.operators.vocabulary import CLASH, TRIED, Candidates, Shard, _codes, train_vocabulary, word_counts
 
 
 def shard_of(words, n):
@@ -77,3 +77,19 @@ def test_frequent_pairs_of_many_words_take_little_time():
     began = time.perf_counter()
     assert len(list(shard.differences(tries))) > 0
     assert time.perf_counter() - began < 0.5
+
+
+def test_candidates_stay_bounded_while_pairs_are_made(spark, monkeypatch):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefgh", [9, 7, 5, 4, 3, 2, 1, 1], k=draw.randrange(2, 9))) for _ in range(1_500)]
+    words = word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    whole = train_vocabulary(words, 400, candidates=10**6)
+    first, held = Candidates.first, []
+
+    def watched(self, n):
+        held.append(len(self.counts))
+        return first(self, n)
+
+    monkeypatch.setattr(Candidates, "first", watched)
+    assert train_vocabulary(words, 400, candidates=64).merges == whole.merges
+    assert max(held) <= 128
