@@ -47,3 +47,38 @@ def test_slices_of_any_size_give_the_same_ids(spark, monkeypatch, size):
     monkeypatch.setattr(encoding, "_SLICE", size)
     assert encoding._words_to_ids(spark, VOCAB)(words).equals(whole)
     assert whole.to_pylist() == [[258, A], None, [], [B] * 7, [], [1]]
+
+
+def test_ids_of_a_batch_are_sent_slice_by_slice(spark):
+    row = ["ab", " b", "[PAD]"] * 20_000
+    words = pa.array([None, [], *[row] * 60], pa.list_(pa.string()))
+    encode = encoding._encoder(spark, VOCAB).func
+
+    def sent():
+        seen = rows = 0
+        for ids in encode(iter([words.slice(0, 30), words.slice(30)])):
+            seen, rows = seen + len(ids.flatten()), rows + len(ids)
+        return seen, rows
+
+    (seen, rows), peak = peak_of(sent)
+    assert (seen, rows) == (60 * 80_000, 62)
+    assert peak < 4 * seen
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_slices_are_bounded_in_bytes_too(monkeypatch, kind):
+    monkeypatch.setattr(encoding, "_SLICE_BYTES", 1_000)
+    rows = [["a" * (i % 300), " b"] if i % 7 else None for i in range(500)] + [[], ["c" * 5_000], None, ["d"]]
+    words = pa.array(rows, pa.list_(kind)).slice(3)
+    parts = [part.to_pylist() for part in encoding._slices(words)]
+    assert sum(parts, []) == rows[3:]
+    assert all(len(p) == 1 or sum(len(w) for row in p for w in row or ()) <= 1_000 for p in parts)
+    assert len(parts) < 150 and [[], []] not in parts
+
+
+def test_long_words_are_not_kept(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "_SLICE_BYTES", 1 << 14)
+    words = pa.array([[f"{i:04}" + "ab" * 500] for i in range(1_500)], pa.list_(pa.string()))
+    encode = encoding._encoder(spark, VOCAB).func
+    seen, peak = peak_of(lambda: sum(len(ids.flatten()) for ids in encode(iter([words]))))
+    assert seen == 1_500 * 504 and peak < seen * 2
