@@ -4,8 +4,11 @@ import tracemalloc
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from tessera.operators import encoding
+from tessera.operators.examples import pretraining_examples
 from tessera.operators.vocabulary import Vocabulary, base_symbols
 
 A, B = (base_symbols().index(x) for x in (b"a", b"b"))
@@ -82,3 +85,14 @@ def test_long_words_are_not_kept(spark, monkeypatch):
     encode = encoding._encoder(spark, VOCAB).func
     seen, peak = peak_of(lambda: sum(len(ids.flatten()) for ids in encode(iter([words]))))
     assert seen == 1_500 * 504 and peak < seen * 2
+
+
+def test_examples_of_several_slices_keep_their_rows(spark):
+    docs = spark.range(0, 60, 1, 1).select("id", F.expr("repeat(' ab', 15000 + cast(id as int))").alias("text"))
+    docs = docs.withColumn("text", F.when(F.col("id") % 9 != 4, F.col("text")))
+    coded = pretraining_examples(docs, VOCAB, 4)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and f", {PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF}\n" in plan
+    rows = {r["id"]: r["n_tokens"] for r in coded.select("id", "n_tokens").collect()}
+    assert {i: n for i, n in rows.items() if i % 9 != 4} == {i: 2 * (15_000 + i) for i in range(60) if i % 9 != 4}
+    assert len(rows) == 60
