@@ -96,3 +96,20 @@ def test_examples_of_several_slices_keep_their_rows(spark):
     rows = {r["id"]: r["n_tokens"] for r in coded.select("id", "n_tokens").collect()}
     assert {i: n for i, n in rows.items() if i % 9 != 4} == {i: 2 * (15_000 + i) for i in range(60) if i % 9 != 4}
     assert len(rows) == 60
+
+
+def test_what_encoding_holds_beside_its_batch_does_not_grow_with_it(spark):
+    encode = encoding._encoder(spark, VOCAB).func
+
+    def held(rows):
+        words = pa.array([["ab", " b", "[PAD]"] * 20_000] * rows, pa.list_(pa.string()))
+        before, most = pa.total_allocated_bytes(), 0
+
+        def sent():
+            nonlocal most
+            for ids in encode(iter([words])):
+                most = max(most, pa.total_allocated_bytes() - before)
+
+        return peak_of(sent)[1] + most
+
+    assert held(120) < 1.2 * held(15)
