@@ -1,8 +1,11 @@
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
 from tessera.operators import ordering, skew
 from tessera.operators.skew import first_rows, join_one_per_key
+from tessera.plans.catalogue import ALL
 from tessera.sources.corpora import CORPORA, CorpusSpec, first_prompts, load_corpus, rename_text
 
 
@@ -136,3 +139,19 @@ def test_join_with_hot_keys_keeps_every_row(spark):
     per_key = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("o").alias("top"))
     joined = join_one_per_key(rows, per_key, ["g"], "n")
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, rows.join(per_key, "g").collect()))
+
+
+def test_chat_corpus_counts_its_whole_validation_split(spark, tmp_path):
+    """1,100 of the conversations are validation, more than the first 1,000."""
+    query, sql = ALL["chat_corpus"]
+    turns = spark.range(4400).select(
+        F.col("id").alias("conv_id"),
+        F.explode(F.expr("array(named_struct('turn', 0L, 'role', 'user', 'text', concat('question ', id)), "
+                         "named_struct('turn', 1L, 'role', 'assistant', 'text', repeat('answer', 1 + id % 9)))")).alias("t"),
+    )
+    turns.select("conv_id", "t.*").write.parquet(f"{tmp_path}/conversations.parquet")
+    counted = {r["split"]: r["n_docs"] for r in query(spark, str(tmp_path)).collect()}
+    assert counted == {"train": 3300, "val": 1100}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert differences(spark, con, query, sql, str(tmp_path)) is None
