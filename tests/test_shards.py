@@ -4,6 +4,7 @@ import random
 import time
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -93,3 +94,42 @@ def test_candidates_stay_bounded_while_pairs_are_made(spark, monkeypatch):
     monkeypatch.setattr(Candidates, "first", watched)
     assert train_vocabulary(words, 400, candidates=64).merges == whole.merges
     assert max(held) <= 128
+
+
+def test_like_counts_of_pairs_that_meet_take_few_rounds(spark, monkeypatch):
+    """Words of drawn letters: all pairs are about as frequent and each merge changes which one is next."""
+    draw = random.Random(11)
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnopqrst", k=9)) for _ in range(40)) for _ in range(300)]
+    first, rounds = Candidates.first, []
+
+    def watched(self, n):
+        rounds.append(n)
+        return first(self, n)
+
+    monkeypatch.setattr(Candidates, "first", watched)
+    vocab = train_vocabulary(word_counts(spark.createDataFrame([(t,) for t in texts], "text string")), 258 + 1500)
+    assert len(vocab.merges) >= 1500
+    assert len(rounds) <= 8
+
+
+def test_the_driver_holds_bounded_stretches(spark, monkeypatch):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("abcdefgh", [9, 7, 5, 4, 3, 2, 1, 1], k=draw.randrange(2, 12))) for _ in range(2_000)]
+    words = word_counts(spark.createDataFrame([(t,) for t in texts + ["a" * n for n in range(2, 40)]], "text string"))
+    whole = train_vocabulary(words, 500)
+    of_stretches, held = Shard.of_stretches, []
+
+    def watched(found):
+        held.append(of_stretches(found))
+        return held[-1]
+
+    monkeypatch.setattr(Shard, "of_stretches", staticmethod(watched))
+    assert train_vocabulary(words, 500, stretch_symbols=300).merges == whole.merges
+    assert len(held) > 3 and max((shard.symbols >= 0).sum() for shard in held) <= 600
+
+
+def test_stretches_are_runs_of_asked_pairs():
+    shard = shard_of([[1, 2, 3, 4], [9, 1, 2, 3, 7, 3, 4], [5, 6], [4, 4, 4]], [5, 2, 1, 3])
+    asked = np.array(sorted(_codes(a, b) for a, b in [(1, 2), (2, 3), (4, 4)]), np.int64)
+    rows = [(np.frombuffer(i, np.int32).tolist(), n) for b in shard.stretches(asked) for i, n in zip(*map(pa.Array.to_pylist, b.columns))]
+    assert sorted(rows) == [([1, 2, 3], 7), ([4, 4, 4], 3)]
